@@ -18,6 +18,10 @@ NO_TIME_CODES = ("dnf", "dq", "fs", "nt", "ns")
 NO_DISTANCE_CODES = ("nm",)
 # Accepted date layouts, tried in this order (Spark pattern letters).
 DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "MMM d, yyyy", "MMM d yyyy")
+# Shape of each layout: a parse is only attempted when the text has that shape, so no
+# row pays for failed parses (each failure costs an exception inside the parser).
+DATE_SHAPES = (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$",
+               r"^[A-Za-z]{3} [0-9]{1,2}, [0-9]{4}$", r"^[A-Za-z]{3} [0-9]{1,2} [0-9]{4}$")
 
 NUM = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 FLOAT_RE = rf"^\s*{NUM}\s*$"
@@ -102,7 +106,8 @@ def wind_mps(wind: Column) -> Column:
 def parse_date(s: Column, *, stripped: bool = False) -> Column:
     """First of the four accepted layouts that parses; else null."""
     t = _strip(s, stripped)
-    return F.coalesce(*[F.try_to_date(t, f) for f in DATE_FORMATS])
+    return F.coalesce(*[F.when(t.rlike(shape), F.try_to_date(t, f))
+                        for shape, f in zip(DATE_SHAPES, DATE_FORMATS)])
 
 
 # ---- scoring-input parsers ------------------------------------------------

@@ -11,9 +11,14 @@ HTML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
                  ("&nbsp;", " "), ("&amp;", "&"))
 
 
+# Fixed value: the characters Python's ``str.strip()`` removes (``str.isspace``).
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
+                 "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def pystrip(c: Column) -> Column:
-    """Strip leading/trailing whitespace (Python ``str.strip`` on ASCII whitespace)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Strip leading/trailing whitespace like Python ``str.strip()`` (a character trim, no regex)."""
+    return F.btrim(c, F.lit(PY_WHITESPACE))
 
 
 def slug(c: Column) -> Column:

@@ -76,7 +76,7 @@ def typed_layout(rows: DataFrame) -> DataFrame:
         src = F.col(c) if c in rows.columns else F.lit("")
         if c in INT_COLUMNS:
             num = F.when(src.cast("string").rlike(FLOAT_RE), pystrip(src.cast("string")).cast("double"))
-            out.append(F.coalesce(F.try_cast(num, "int"), F.lit(-1)).alias(c))
+            out.append(F.coalesce(num.try_cast("int"), F.lit(-1)).alias(c))
         else:
             out.append(F.coalesce(src.cast("string"), F.lit("")).alias(c))
     return rows.select(*out)

@@ -9,6 +9,7 @@ Doubles are rounded to 6 decimals and dates rendered as text in both engines.
 from __future__ import annotations
 
 from ..functions.events import EVENT_ALIASES, FIELD_EVENTS, RUN_EVENTS, SAME_NAME_FAMILIES
+from ..functions.text import PY_WHITESPACE
 
 NUM = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 TIME2 = rf"^\s*([+-]?[0-9]+)\s*:\s*({NUM})\s*$"
@@ -27,7 +28,7 @@ def _in(values) -> str:
 
 
 def strip(c: str) -> str:
-    return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+    return f"trim({c}, {_q(PY_WHITESPACE)})"
 
 
 RAW_MARKS = r"""

@@ -163,3 +163,84 @@ def m1_training_set(spark, sf):
     t = core.training(spark, sf)
     return t.select("fam_key", "season_key", "Gender", "event", "split", "event_id", r6("y").alias("y"),
                     r6("z").alias("z"))
+
+
+# ---- 2.1 / 2.3 / 2.5 / 2.8: inspection of the raw mark table ------------------------------
+
+from ..operators.clean import typed_layout  # noqa: E402
+from ..operators.inspect import counts_by, head, mark_filters, max_string_lengths, summary  # noqa: E402
+from ..sources.fixture import ORDINAL_COLS, raw_marks  # noqa: E402
+from ..sources.layout import STRING_COLUMNS  # noqa: E402
+
+_TYPED_SQL = """
+typed AS (
+  SELECT Division, School, Gender, SeasonLabel, CAST(SeasonYear AS INTEGER) AS SeasonYear, -1 AS ListHnd,
+         -1 AS SeasonHnd, '' AS SourceURL, '' AS Team, Event, Athlete, '' AS ClassYear, MarkOrTime, Wind, Meet,
+         MeetDate
+  FROM raw_marks)"""
+
+
+@register("s4_typed_layout", O.with_ctes(O.RAW_MARKS, _TYPED_SQL, body="SELECT * FROM typed"))
+def s4_typed_layout(spark, sf):
+    return typed_layout(raw_marks(spark, sf))
+
+
+def _top_sql(keys: list[str], k: int) -> str:
+    ks = ", ".join(keys)
+    return O.with_ctes(O.RAW_MARKS, body=f"""
+SELECT {ks}, count(*) AS count FROM raw_marks GROUP BY {ks}
+ORDER BY count DESC, {", ".join(f"{c} ASC NULLS LAST" for c in keys)} LIMIT {k}""")
+
+
+@register("a6_counts_by_year_season_gender", _top_sql(["SeasonYear", "SeasonLabel", "Gender"], 15))
+def a6_counts_by_year_season_gender(spark, sf):
+    return counts_by(raw_marks(spark, sf), ["SeasonYear", "SeasonLabel", "Gender"], 15)
+
+
+@register("a7_top_events", _top_sql(["Event"], 50))
+def a7_top_events(spark, sf):
+    return counts_by(raw_marks(spark, sf), ["Event"], 50)
+
+
+@register("a8_top_schools", _top_sql(["School"], 10))
+def a8_top_schools(spark, sf):
+    return counts_by(raw_marks(spark, sf), ["School"], 10)
+
+
+@register("a15_dataset_summary", O.with_ctes(O.RAW_MARKS, _TYPED_SQL, body="""
+SELECT count(*) AS n_rows, 16 AS n_columns FROM typed"""))
+def a15_dataset_summary(spark, sf):
+    return summary(typed_layout(raw_marks(spark, sf)))
+
+
+@register("o3_sample_head", O.with_ctes(O.RAW_MARKS, body=f"""
+SELECT {O.ORD}, SeasonYear, SeasonLabel, Gender, Division, School, Event, Athlete, MarkOrTime, Wind, Meet, MeetDate
+FROM raw_marks ORDER BY {O.ORD} LIMIT 10"""))
+def o3_sample_head(spark, sf):
+    return head(raw_marks(spark, sf), ORDINAL_COLS, 10)
+
+
+@register("c21_max_lengths", O.with_ctes(O.RAW_MARKS, _TYPED_SQL, body="SELECT " + ", ".join(
+    f"greatest(1, coalesce(max(length({c})), 1)) AS {c}" for c in STRING_COLUMNS) + " FROM typed"))
+def c21_max_lengths(spark, sf):
+    return max_string_lengths(typed_layout(raw_marks(spark, sf)), STRING_COLUMNS)
+
+
+_FILTERS = dict(year=2022, season="outdoors", gender="MEN", school="school [1-3]", event="meters",
+                athlete="athlete 1")
+
+
+@register("f7_filtered_marks", O.with_ctes(O.RAW_MARKS, body=f"""
+SELECT * FROM raw_marks
+WHERE SeasonYear = 2022 AND lower(SeasonLabel) = lower('outdoors') AND lower(Gender) = lower('MEN')
+  AND coalesce(regexp_matches(School, '(?i)school [1-3]'), false)
+  AND coalesce(regexp_matches(Event, '(?i)meters'), false)
+  AND coalesce(regexp_matches(Athlete, '(?i)athlete 1'), false)"""))
+def f7_filtered_marks(spark, sf):
+    return mark_filters(raw_marks(spark, sf), **_FILTERS)
+
+
+@register("a9_task_lists", O.with_ctes(*CORE, body="""
+SELECT DISTINCT Event, Gender, SeasonLabel FROM marks"""))
+def a9_task_lists(spark, sf):
+    return core.prepared(spark, sf).select("Event", "Gender", "SeasonLabel").distinct()

@@ -17,6 +17,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     cpus = os.environ.get("BENCH_CPUS")
     parts = shuffle_partitions or (int(cpus) if cpus else 8)
     b = (b.config("spark.ui.enabled", "false")
+          .config("spark.ui.showConsoleProgress", "false")
           .config("spark.sql.shuffle.partitions", str(parts))
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -28,11 +28,11 @@ def _pad2(c: Column) -> Column:
 
 
 def raw_marks_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    l = lineitem.select(
+    l = spread(lineitem.select(
         F.col("l_orderkey").cast("long").alias("ok"), F.col("l_linenumber").cast("int").alias("ln"),
         F.col("l_partkey").cast("long").alias("pk"), F.col("l_suppkey").cast("long").alias("sk"),
         F.to_date("l_shipdate").alias("d"), F.col("l_quantity").cast("long").alias("qty"),
-    ).withColumn("h", (F.col("pk") * 7919 + F.col("ok") * 104729 + F.col("ln") * 31) % 1000)
+    ), "ok", "ln").withColumn("h", (F.col("pk") * 7919 + F.col("ok") * 104729 + F.col("ln") * 31) % 1000)
     y, m, dd = (F.year("d") + 24).cast("int"), F.month("d"), F.dayofmonth("d")
     b = l.select("*", y.alias("y"), m.alias("m"), dd.alias("dd"), (F.col("pk") % 16).alias("ev"),
                  F.when(F.col("sk") % 2 == 0, "Men").otherwise("Women").alias("g"))
@@ -90,6 +90,21 @@ def raw_marks_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a narrow scan at least the cluster's default parallelism.
+
+    A file that is a single row group scans as one task, which would leave every
+    row-level parser before the first shuffle on one core. Only when the scan has
+    fewer partitions than ``defaultParallelism`` is it hash-repartitioned on its row
+    key (deterministic, no sort), after column pruning; a large input already has
+    more splits than cores and is left untouched (no shuffle).
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want, *keys) if keys else df.repartition(want)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
