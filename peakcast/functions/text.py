@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # HTML entities decoded in visible text, in the order applied
 # (``&amp;`` last so that ``&amp;lt;`` stays ``&lt;``).
 HTML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                 ("&nbsp;", " "), ("&amp;", "&"))
+                 ("&nbsp;", "\xa0"), ("&amp;", "&"))
 
 
 # Fixed value: the characters Python's ``str.strip()`` removes (``str.isspace``).
@@ -33,8 +33,8 @@ def decode_entities(c: Column) -> Column:
 
 
 def visible_text(fragment: Column) -> Column:
-    """Text of an HTML fragment: tags removed, each text node trimmed, joined with nothing."""
-    return decode_entities(F.regexp_replace(fragment, r"\s*<[^>]*>\s*", ""))
+    """Text of an HTML fragment: tags removed, each text node stripped, joined with nothing."""
+    return pystrip(decode_entities(F.regexp_replace(fragment, r"\s*<[^>]*>\s*", "")))
 
 
 def url_query_param(url: Column, name: str) -> Column:

@@ -27,8 +27,12 @@ def _in(values) -> str:
     return "(" + ", ".join(_q(v) for v in values) + ")"
 
 
+# Python's whitespace set as a DuckDB expression (control characters spelled with chr()).
+WS_SQL = "(" + " || ".join(f"chr({ord(ch)})" for ch in PY_WHITESPACE) + ")"
+
+
 def strip(c: str) -> str:
-    return f"trim({c}, {_q(PY_WHITESPACE)})"
+    return f"trim({c}, {WS_SQL})"
 
 
 RAW_MARKS = r"""

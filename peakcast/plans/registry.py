@@ -244,3 +244,124 @@ def f7_filtered_marks(spark, sf):
 SELECT DISTINCT Event, Gender, SeasonLabel FROM marks"""))
 def a9_task_lists(spark, sf):
     return core.prepared(spark, sf).select("Event", "Gender", "SeasonLabel").distinct()
+
+
+# ---- 2.2: pages, anchors, catalogue ---------------------------------------------------------
+
+from ..functions import gender_from_url, slug, url_has_required_query, url_query_param  # noqa: E402
+from ..functions.text import PY_WHITESPACE  # noqa: E402
+from ..operators.catalogue import ANCHOR_RE, anchors, build_catalogue, valid_catalogue  # noqa: E402
+from ..operators.pages import page_rows, pages_without_rows  # noqa: E402
+from ..sources.fixture import read_table  # noqa: E402
+from ..sources.layout import SEASONS  # noqa: E402
+from ..sources.rendered import division_pages, result_pages  # noqa: E402
+
+_WS = O.WS_SQL
+
+
+@register("p1_page_anchors", f"""
+WITH a AS (
+  SELECT page_id, generate_subscripts(h, 1) - 1 AS pos, unnest(h) AS href, unnest(t) AS inner_html
+  FROM (SELECT page_id, regexp_extract_all(html, '{ANCHOR_RE}', 1) AS h,
+               regexp_extract_all(html, '{ANCHOR_RE}', 2) AS t FROM pages))
+SELECT page_id, CAST(pos AS INTEGER) AS pos, href, text FROM (
+  SELECT *, trim(regexp_replace(regexp_replace(inner_html, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'), {_WS}) AS text FROM a)
+WHERE text <> ''""")
+def p1_page_anchors(spark, sf):
+    return anchors(read_table(spark, sf, "pages").select("page_id", "html"))
+
+
+def _param_sql(name: str) -> str:
+    return f"regexp_extract('&' || q, '&{name}=([^&]*)', 1)"
+
+
+@register("p10_url_params", f"""
+SELECT page_id, url, {_param_sql('page')} AS page_param, {_param_sql('ref')} AS ref_param,
+       {_param_sql('list_hnd')} AS list_hnd,
+       regexp_matches({_param_sql('list_hnd')}, '^[0-9]+$') AND regexp_matches({_param_sql('season_hnd')}, '^[0-9]+$')
+         AS has_required_query,
+       CASE WHEN contains(url, '_m_') THEN 'Men' WHEN contains(url, '_f_') OR contains(url, '_w_') THEN 'Women'
+            ELSE 'Unknown' END AS url_gender
+FROM (SELECT *, regexp_extract(url, '^[^?#]*\\?([^#]*)', 1) AS q FROM pages)""")
+def p10_url_params(spark, sf):
+    u = F.col("url")
+    return read_table(spark, sf, "pages").select(
+        "page_id", "url", url_query_param(u, "page").alias("page_param"), url_query_param(u, "ref").alias("ref_param"),
+        url_query_param(u, "list_hnd").alias("list_hnd"), url_has_required_query(u).alias("has_required_query"),
+        gender_from_url(u).alias("url_gender"))
+
+
+@register("p23_pages_without_rows", """
+SELECT page_id, url FROM pages WHERE NOT contains(html, '<div class="performance-list-row">')""")
+def p23_pages_without_rows(spark, sf):
+    pages = read_table(spark, sf, "pages").select("page_id", "url", "html")
+    return pages_without_rows(pages, page_rows(pages, meta_cols=False)).select("page_id", "url")
+
+
+_SEASON_VALUES = ", ".join(f"({y}, '{lab}', {lh}, {sh})" for y, lab, lh, sh in SEASONS)
+
+_CATALOGUE_SQL = f"""
+WITH t AS (
+  SELECT s_suppkey AS k, s_name,
+         CASE s_suppkey % 3 WHEN 0 THEN 'NCAA Division I' WHEN 1 THEN 'NCAA Division II' ELSE 'NCAA Division III' END
+           AS division,
+         chr(CAST(65 + s_nationkey % 26 AS INTEGER)) || chr(CAST(65 + (s_nationkey * 7 + 3) % 26 AS INTEGER)) AS st,
+         regexp_replace(s_name, '[^A-Za-z0-9]+', '_', 'g') AS sl
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 11 <> 0),
+teams AS (
+  SELECT division, CASE WHEN k % 7 = 0 THEN s_name || ' (Men)' ELSE s_name END AS school, 'Men' AS gender,
+         st || '_college_m_' || sl || '.html' AS tail FROM t
+  UNION ALL
+  SELECT division, s_name, 'Women', st || '_college_' || CASE WHEN k % 13 = 0 THEN 'w' ELSE 'f' END || '_' || sl || '.html'
+  FROM t),
+seasons(year, season, lh, sh) AS (VALUES {_SEASON_VALUES})
+SELECT division, school, gender, year, season,
+       'https://www.tfrrs.org/all_performances/' || tail || '?list_hnd=' || CAST(lh AS VARCHAR) || '&season_hnd='
+         || CAST(sh AS VARCHAR) AS url
+FROM teams CROSS JOIN seasons"""
+
+
+@register("p5_result_urls", _CATALOGUE_SQL)
+def p5_result_urls(spark, sf):
+    pages = division_pages(read_table(spark, sf, "supplier"), read_table(spark, sf, "nation"))
+    return valid_catalogue(build_catalogue(pages))
+
+
+_RAW_ROW_COLS = "Division, School, Gender, SeasonLabel, SeasonYear, Event"
+_CLASS_YEAR_SQL = "CASE line_no % 4 WHEN 0 THEN 'FR-1' WHEN 1 THEN 'SO-2' WHEN 2 THEN 'JR-3' ELSE 'SR-4' END"
+
+
+def _round_trip(spark, sf, mode: str) -> DataFrame:
+    pages, cat = result_pages(raw_marks(spark, sf))
+    rows = page_rows(pages.join(cat, "url"), mode=mode)
+    return rows.select("Division", "School", "Gender", "SeasonLabel", "SeasonYear", "Event", "Athlete", "ClassYear",
+                       "MarkOrTime", "Wind", "Meet", "MeetDate")
+
+
+@register("p14_page_rows", O.with_ctes(O.RAW_MARKS, body=f"""
+SELECT {_RAW_ROW_COLS}, trim(Athlete, {_WS}) AS Athlete, {_CLASS_YEAR_SQL} AS ClassYear, MarkOrTime, Wind, Meet,
+       MeetDate
+FROM raw_marks"""))
+def p14_page_rows(spark, sf):
+    return _round_trip(spark, sf, "npy")
+
+
+@register("p20_page_rows_csv_mode", O.with_ctes(O.RAW_MARKS, body=f"""
+SELECT {_RAW_ROW_COLS}, trim(Athlete, {_WS}) AS Athlete, {_CLASS_YEAR_SQL} AS ClassYear,
+       CASE WHEN (ord_key + line_no) % 5 = 1 THEN '' ELSE MarkOrTime END AS MarkOrTime, Wind, Meet, MeetDate
+FROM raw_marks"""))
+def p20_page_rows_csv_mode(spark, sf):
+    return _round_trip(spark, sf, "csv")
+
+
+@register("p12_inferred_page_meta", O.with_ctes(O.RAW_MARKS, body="""
+SELECT DISTINCT School, Gender, Division FROM raw_marks"""))
+def p12_inferred_page_meta(spark, sf):
+    pages, _ = result_pages(raw_marks(spark, sf))
+    return page_rows(pages, meta_cols=False).select("School", "Gender", "Division").distinct()
+
+
+@register("p22_event_slugs", O.with_ctes(O.RAW_MARKS, body="""
+SELECT DISTINCT Event, trim(regexp_replace(Event, '[^A-Za-z0-9]+', '_', 'g'), '_') AS slug FROM raw_marks"""))
+def p22_event_slugs(spark, sf):
+    return raw_marks(spark, sf).select("Event", slug(F.col("Event")).alias("slug")).distinct()
