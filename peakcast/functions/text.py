@@ -33,8 +33,13 @@ def decode_entities(c: Column) -> Column:
 
 
 def visible_text(fragment: Column) -> Column:
-    """Text of an HTML fragment: tags removed, each text node stripped, joined with nothing."""
-    return pystrip(decode_entities(F.regexp_replace(fragment, r"\s*<[^>]*>\s*", "")))
+    """Text of an HTML fragment: tags removed, each text node stripped, joined with nothing.
+
+    The tag strip and the entity decoding only run on text that has a ``<`` / ``&``.
+    """
+    no_tags = F.when(fragment.contains("<"), F.regexp_replace(fragment, r"\s*<[^>]*>\s*", "")).otherwise(fragment)
+    decoded = F.when(no_tags.contains("&"), decode_entities(no_tags)).otherwise(no_tags)
+    return pystrip(decoded)
 
 
 def url_query_param(url: Column, name: str) -> Column:

@@ -30,13 +30,13 @@ def history_windows(seasons: DataFrame, key: str = "fam_key", k: int = 4,
 
     Output: key, season_key, SeasonYear (= sample year), SeasonLabel, Gender, family, event (modal
     event of the last season), peak_value (current peak), y (next peak), n_seasons, and
-    ``window``: array of K structs (season_key, label_id, length[, seq]) left-padded with
-    (null, 0, 0[, []]).
+    ``window``: array of K structs (season_key, label_id, length, peak[, seq]) left-padded with
+    (null, 0, 0, null[, []]).
     """
     fields = [F.col("season_key"), season_label_id(F.col("SeasonLabel")).alias("label_id"),
-              F.col("length")]
+              F.col("length"), F.col("peak_value").alias("peak")]
     pad_fields = [F.lit(None).cast("string").alias("season_key"), F.lit(0).alias("label_id"),
-                  F.lit(0).alias("length")]
+                  F.lit(0).alias("length"), F.lit(None).cast("double").alias("peak")]
     if with_seq:
         fields.append(F.col("seq").cast(SEQ_TYPE).alias("seq"))
         pad_fields.append(F.array().cast(SEQ_TYPE).alias("seq"))

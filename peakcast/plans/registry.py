@@ -365,3 +365,193 @@ def p12_inferred_page_meta(spark, sf):
 SELECT DISTINCT Event, trim(regexp_replace(Event, '[^A-Za-z0-9]+', '_', 'g'), '_') AS slug FROM raw_marks"""))
 def p22_event_slugs(spark, sf):
     return raw_marks(spark, sf).select("Event", slug(F.col("Event")).alias("slug")).distinct()
+
+
+# ---- 2.11 / 2.5 / 2.10: forecasting, metrics, scoring ---------------------------------------
+
+from ..functions.events import FIELD_KEYWORDS, TIME_KEYWORDS  # noqa: E402
+from ..operators import forecast as FC  # noqa: E402
+
+
+def _r4(c) -> F.Column:
+    return F.round(F.col(c) if isinstance(c, str) else c, 4)
+
+
+@register("m8_persistence_metrics", O.with_ctes(*TRAIN_CTES, body="""
+SELECT Gender, event, round(avg(abs(peak_value - y)), 6) AS val_mae, count(*) AS n
+FROM tset WHERE split = 'val' GROUP BY Gender, event"""))
+def m8_persistence_metrics(spark, sf):
+    m = FC.per_event_mae(FC.persistence(core.training(spark, sf)))
+    return m.select("Gender", "event", r6("val_mae").alias("val_mae"), "n")
+
+
+@register("a12_overall_mae", O.with_ctes(*TRAIN_CTES, body="""
+SELECT Gender, round(coalesce(avg(CASE WHEN split = 'val' THEN abs(peak_value - y) END), CAST('nan' AS DOUBLE)), 6)
+         AS overall_val_mae
+FROM tset GROUP BY Gender"""))
+def a12_overall_mae(spark, sf):
+    o = FC.overall_mae(FC.persistence(core.training(spark, sf)))
+    return o.select("Gender", r6("overall_val_mae").alias("overall_val_mae"))
+
+
+@register("a14_wide_metrics")
+def a14_wide_metrics(spark, sf):
+    pred = FC.persistence(core.training(spark, sf))
+    n_ev = pred.groupBy("Gender").agg(F.countDistinct("event").alias("n_events"))
+    return FC.wide_metrics(FC.per_event_mae(pred), FC.overall_mae(pred), n_ev)
+
+
+@register("a17_task_counts", O.with_ctes(*WINDOW_CTES, body="""
+SELECT event, Gender, SeasonLabel,
+       count(*) FILTER (WHERE SeasonYear <= 2023) AS n_train, count(*) FILTER (WHERE SeasonYear = 2024) AS n_val,
+       CAST(0 AS BIGINT) AS n_test
+FROM samples GROUP BY event, Gender, SeasonLabel"""))
+def a17_task_counts(spark, sf):
+    from ..operators.training import task_counts, time_split
+    return task_counts(time_split(core.samples(spark, sf, with_seq=False)), FC.TASK_KEYS)
+
+
+_MODEL_CTES = TRAIN_CTES + ("""
+models AS (
+  SELECT event, Gender, SeasonLabel, count(*) AS n_train,
+         coalesce(regr_slope(y, peak_value), 0.0) AS slope,
+         coalesce(regr_intercept(y, peak_value), avg(y)) AS intercept
+  FROM tset WHERE split = 'train' GROUP BY event, Gender, SeasonLabel HAVING count(*) >= 60)""",)
+
+
+@register("m3_task_models", O.with_ctes(*_MODEL_CTES, body="""
+SELECT event, Gender, SeasonLabel, n_train, round(slope, 4) AS slope, round(intercept, 4) AS intercept FROM models"""))
+def m3_task_models(spark, sf):
+    m = FC.fit_task_models(core.training(spark, sf))
+    return m.select(*FC.TASK_KEYS, "n_train", _r4("slope").alias("slope"), _r4("intercept").alias("intercept"))
+
+
+@register("m3_task_metrics", O.with_ctes(*_MODEL_CTES, body="""
+SELECT t.event, t.Gender, t.SeasonLabel, round(avg(abs(m.intercept + m.slope * t.peak_value - t.y)), 4) AS val_mae,
+       count(*) AS n
+FROM tset t JOIN models m USING (event, Gender, SeasonLabel) WHERE t.split = 'val'
+GROUP BY t.event, t.Gender, t.SeasonLabel"""))
+def m3_task_metrics(spark, sf):
+    ts = core.training(spark, sf)
+    scored = FC.score_task_models(ts, FC.fit_task_models(ts))
+    return (scored.filter(F.col("split") == "val").groupBy(*FC.TASK_KEYS)
+            .agg(_r4(F.avg(F.abs(F.col("yhat") - F.col("y")))).alias("val_mae"), F.count(F.lit(1)).alias("n")))
+
+
+def _is_time_event_sql(c: str) -> str:
+    lo = f"lower({c})"
+    field = " OR ".join(f"contains({lo}, '{k}')" for k in FIELD_KEYWORDS)
+    time = " OR ".join(f"contains({lo}, '{k}')" for k in TIME_KEYWORDS)
+    return (f"(CASE WHEN {field} THEN false WHEN {time} THEN true "
+            f"ELSE coalesce(regexp_matches({lo}, '\\d+\\s*m'), false) END)")
+
+
+def _fmt_sql(v: str, ev: str) -> str:
+    fin = f"({v} IS NOT NULL AND NOT isnan({v}) AND abs({v}) < CAST('inf' AS DOUBLE))"
+    mins = f"floor({v} / 60)"
+    return (f"CASE WHEN NOT {fin} THEN 'n/a' WHEN {_is_time_event_sql(ev)} THEN "
+            f"(CASE WHEN {v} >= 60 THEN printf('%d:%05.2f', CAST({mins} AS BIGINT), {v} - {mins} * 60) "
+            f"ELSE printf('%.2fs', {v}) END) ELSE printf('%.2f m', {v}) END")
+
+
+@register("c16_formatted_peaks", O.with_ctes(*SEASON_CTES, body=f"""
+SELECT fam_key, season_key, event_used, {_fmt_sql('peak_value', 'event_used')} AS peak_text FROM seasons"""))
+def c16_formatted_peaks(spark, sf):
+    s = core.build_seasons(core.prepared(spark, sf), with_seq=False)
+    return s.select("fam_key", "season_key", "event_used",
+                    FC.format_forecast(F.col("peak_value"), F.col("event_used")).alias("peak_text"))
+
+
+@register("m6_batch_forecast", O.with_ctes(*_MODEL_CTES, f"""
+latest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY fam_key ORDER BY SeasonYear DESC, {O.LABEL_ORDER} DESC NULLS FIRST,
+                                  SeasonLabel DESC) AS r
+    FROM seasons) WHERE r = 1),
+scored AS (
+  SELECT l.fam_key, l.season_key, l.event_used AS event, m.intercept + m.slope * l.peak_value AS yhat
+  FROM latest l JOIN models m ON m.event = l.event_used AND m.Gender = l.Gender AND m.SeasonLabel = l.SeasonLabel)""",
+    body=f"SELECT fam_key, season_key, event, round(yhat, 4) AS yhat, {_fmt_sql('round(yhat, 4)', 'event')} "
+         "AS forecast_text FROM scored"))
+def m6_batch_forecast(spark, sf):
+    marks = core.prepared(spark, sf)
+    seasons = core.build_seasons(marks, with_seq=False)
+    ts = core.training(spark, sf)
+    models = FC.fit_task_models(ts)
+    latest = FC.latest_seasons(seasons).withColumnRenamed("event_used", "event")
+    scored = FC.score_task_models(latest, models).withColumn("yhat", _r4("yhat"))
+    return scored.select("fam_key", "season_key", "event", "yhat",
+                         FC.format_forecast(F.col("yhat"), F.col("event")).alias("forecast_text"))
+
+
+def _submissions(spark, sf) -> DataFrame:
+    r = raw_marks(spark, sf)
+    sid = F.concat_ws("|", F.lower(F.trim("Athlete")), "Gender", "Event", F.col("SeasonYear").cast("string"),
+                      "SeasonLabel")
+    return r.select(sid.alias("submission_id"), F.col("Gender").alias("gender"),
+                    F.col("SeasonLabel").alias("season_label"), F.col("Event").alias("event"),
+                    F.struct(*ORDINAL_COLS).alias("mark_no"), F.col("MeetDate").alias("date_text"),
+                    F.col("MarkOrTime").alias("mark"), F.col("Wind").alias("wind"))
+
+
+_TIME_LIKE = r"^\s*(?:([0-9]+):)?([0-9]+)(?:\.([0-9]+))?\s*$"
+
+
+def _parse_float_sql(c: str) -> str:
+    t = f"replace(replace(lower({O.strip(c)}), 'm/s', ''), 'm', '')"
+    return f"(CASE WHEN regexp_matches({t}, '{O.FLOAT}') THEN TRY_CAST(trim({t}) AS DOUBLE) END)"
+
+
+_SUBS_SQL = f"""
+subs AS (
+  SELECT lower(trim(Athlete)) || '|' || Gender || '|' || Event || '|' || CAST(SeasonYear AS VARCHAR) || '|' || SeasonLabel
+           AS submission_id,
+         Gender AS gender, SeasonLabel AS season_label, Event AS event, ord_key, line_no, part_key, supp_key,
+         {O.DATE_SQL.replace('MeetDate', 'trim(MeetDate, ' + O.WS_SQL + ')')} AS date,
+         coalesce(CASE WHEN {_is_time_event_sql('Event')} AND regexp_matches(trim(MarkOrTime, {O.WS_SQL}), '{_TIME_LIKE}')
+                  THEN coalesce(60.0 * TRY_CAST(nullif(regexp_extract(trim(MarkOrTime, {O.WS_SQL}), '{_TIME_LIKE}', 1), '')
+                                                AS DOUBLE), 0.0)
+                       + TRY_CAST(regexp_extract(trim(MarkOrTime, {O.WS_SQL}), '{_TIME_LIKE}', 2) AS DOUBLE)
+                       + coalesce(TRY_CAST('0.' || nullif(regexp_extract(trim(MarkOrTime, {O.WS_SQL}), '{_TIME_LIKE}', 3), '')
+                                           AS DOUBLE), 0.0) END,
+                  {_parse_float_sql('MarkOrTime')}) AS value,
+         CASE WHEN SeasonLabel = 'Indoors' THEN 0.0 ELSE coalesce({_parse_float_sql(
+             "replace(replace(replace(" + O.strip('Wind') + ", 'm/s', ''), '(', ''), ')', '')")}, 0.0) END AS wind
+  FROM raw_marks),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY submission_id ORDER BY coalesce(date, DATE '2000-01-01') DESC,
+                                 ord_key DESC, line_no DESC, part_key DESC, supp_key DESC) AS rn,
+         last_value(date IGNORE NULLS) OVER (PARTITION BY submission_id ORDER BY coalesce(date, DATE '2000-01-01'),
+             ord_key, line_no, part_key, supp_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_dated
+  FROM subs WHERE value IS NOT NULL)"""
+
+
+@register("v9_scoring_blocks", O.with_ctes(O.RAW_MARKS, _SUBS_SQL, body="""
+SELECT submission_id, CAST(32 - rn AS INTEGER) AS step, round(value, 6) AS value,
+       CAST(CASE WHEN date IS NULL THEN 0 ELSE coalesce(greatest(date_diff('day', prev_dated, date), 0), 0) END AS DOUBLE)
+         AS gap,
+       round(wind, 6) AS wind
+FROM ordered WHERE rn <= 32"""))
+def v9_scoring_blocks(spark, sf):
+    b = FC.scoring_blocks(_submissions(spark, sf))
+    return b.select("submission_id", "step", r6("value").alias("value"), "gap", r6("wind").alias("wind"))
+
+
+@register("v10_scoring_rejects", O.with_ctes(*TRAIN_CTES, body="""
+SELECT DISTINCT lower(trim(Athlete)) || '|' || Gender || '|' || Event || '|' || CAST(SeasonYear AS VARCHAR) || '|'
+         || SeasonLabel AS submission_id, Gender AS gender, Event AS event
+FROM raw_marks r WHERE NOT EXISTS (SELECT 1 FROM allowed a WHERE a.Gender = r.Gender AND a.event = r.Event)"""))
+def v10_scoring_rejects(spark, sf):
+    from ..operators.training import allowed_events, time_split
+    subs = _submissions(spark, sf)
+    allowed = allowed_events(time_split(core.samples(spark, sf, with_seq=False)))
+    blocks = FC.scoring_blocks(subs)
+    _, rejects = FC.scoring_window(blocks, subs, allowed)
+    return rejects.select("submission_id", "gender", "event")
+
+
+@register("m2_gbt_forecast")
+def m2_gbt_forecast(spark, sf):
+    ts = core.training(spark, sf, with_seq=True)
+    pred = FC.gbt_forecast(ts)
+    return FC.per_event_mae(pred).select("Gender", "event", r6("val_mae").alias("val_mae"), "n")
