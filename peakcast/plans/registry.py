@@ -555,3 +555,35 @@ def m2_gbt_forecast(spark, sf):
     ts = core.training(spark, sf, with_seq=True)
     pred = FC.gbt_forecast(ts)
     return FC.per_event_mae(pred).select("Gender", "event", r6("val_mae").alias("val_mae"), "n")
+
+
+# ---- 2.12: streaming (stream result = batch result) -----------------------------------------
+
+from ..session import scratch_path  # noqa: E402
+from ..streaming.ingest import ingest_pages, stage_files  # noqa: E402
+from ..streaming.peaks import latest_version, stream_peaks  # noqa: E402
+
+RAW_SCHEMA_DDL = ("ord_key long, line_no int, part_key long, supp_key long, School string, Division string, "
+                  "Gender string, SeasonLabel string, SeasonYear int, Event string, Athlete string, "
+                  "MarkOrTime string, Wind string, Meet string, MeetDate string")
+
+
+@register("st1_stream_ingest", SQL["p14_page_rows"])
+def st1_stream_ingest(spark, sf):
+    base = scratch_path(spark, "st1")
+    pages, cat = result_pages(raw_marks(spark, sf))
+    stage_files(pages.join(cat, "url"), f"{base}/in", 4, "url")
+    ingest_pages(spark, f"{base}/in", f"{base}/out", f"{base}/chk").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(
+        "Division", "School", "Gender", "SeasonLabel", "SeasonYear", "Event", "Athlete", "ClassYear", "MarkOrTime",
+        "Wind", "Meet", "MeetDate")
+
+
+@register("st2_streaming_peaks", SQL["a3_family_season_peaks"])
+def st2_streaming_peaks(spark, sf):
+    base = scratch_path(spark, "st2")
+    stage_files(raw_marks(spark, sf), f"{base}/in", 4, "ord_key")
+    stream_peaks(spark, f"{base}/in", RAW_SCHEMA_DDL, ORDINAL_COLS, f"{base}/out", f"{base}/chk").awaitTermination()
+    out = spark.read.parquet(latest_version(spark, f"{base}/out"))
+    return out.select("fam_key", "season_key", "SeasonYear", "SeasonLabel", "Gender", "family", "is_time",
+                      r6("peak_value").alias("peak_value"))
