@@ -587,3 +587,52 @@ def st2_streaming_peaks(spark, sf):
     out = spark.read.parquet(latest_version(spark, f"{base}/out"))
     return out.select("fam_key", "season_key", "SeasonYear", "SeasonLabel", "Gender", "family", "is_time",
                       r6("peak_value").alias("peak_value"))
+
+
+# ---- 2.1: sources and sinks, as round trips over derived data -------------------------------
+
+from ..sources import io as IO  # noqa: E402
+
+CATALOGUE_COLS = ["division", "school", "gender", "year", "season", "url"]
+
+
+@register("s1_catalogue_csv", _CATALOGUE_SQL)
+def s1_catalogue_csv(spark, sf):
+    base = scratch_path(spark, "s1")
+    cat = p5_result_urls(spark, sf)
+    IO.write_csv(cat.toDF(*[c.upper() for c in cat.columns]), f"{base}/catalogue")
+    return IO.read_catalogue_csv(spark, f"{base}/catalogue").select(*CATALOGUE_COLS)
+
+
+
+
+
+@register("s2_npy_roundtrip", SQL["s4_typed_layout"])
+def s2_npy_roundtrip(spark, sf):
+    base = scratch_path(spark, "s2")
+    written = IO.write_npy(raw_marks(spark, sf), f"{base}/npy").collect()  # one summary row per file
+    assert sum(r.rows for r in written) >= 0
+    return IO.read_npy(spark, f"{base}/npy/*.npy")
+
+
+@register("s6_saved_table", SQL["f1_prepared_marks"])
+def s6_saved_table(spark, sf):
+    base = scratch_path(spark, "s6")
+    IO.save_table(f1_prepared_marks(spark, sf), f"{base}/marks_prepared")
+    t = IO.load_table(spark, f"{base}/marks_prepared")
+    return t.select(F.col("ord_key").cast("long"), F.col("line_no").cast("int"), F.col("part_key").cast("long"),
+                    F.col("supp_key").cast("long"), "fam_key", "season_key", "Event", "family", "date", "value",
+                    "is_time")
+
+
+@register("s9_model_metadata", O.with_ctes(*TRAIN_CTES, body="""
+SELECT i.Gender AS gender, i.event, i.event_id, round(st.mu, 6) AS mu, round(st.sd, 6) AS sd
+FROM ids i JOIN stats st USING (Gender, event)"""))
+def s9_model_metadata(spark, sf):
+    base = scratch_path(spark, "s9")
+    ts = core.training(spark, sf)
+    stats = ts.select("Gender", "event", "event_id", "mu", "sd").distinct()
+    pred = FC.persistence(ts)
+    IO.write_metadata(IO.build_metadata(stats, FC.per_event_mae(pred), FC.overall_mae(pred)), f"{base}/models")
+    st = IO.metadata_event_stats(IO.read_metadata(spark, f"{base}/models"))
+    return st.select("gender", "event", "event_id", r6("mu").alias("mu"), r6("sd").alias("sd"))
