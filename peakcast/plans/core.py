@@ -16,16 +16,35 @@ SEQLEN = 32
 K_SEASONS = 4
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table under the shared checkpoint folder and read it back.
+
+    Used where one input feeds several branches of a plan: the branches then scan the
+    table (with column pruning) instead of each recomputing the upstream, and the lineage
+    is cut, so a lost executor never forces the upstream parse to run again.
+    """
+    from ..session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def prepared(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return prepare_marks(raw_marks(spark, sf_dir), ORDINAL_COLS, **kw)
 
 
 def build_seasons(marks: DataFrame, key: str = "fam_key", seqlen: int = SEQLEN,
-                  with_seq: bool = True) -> DataFrame:
-    """Season table: peak, orientation, attributes, length, modal event and (optionally) the sequence."""
-    agg = season_aggregate(marks, key, seqlen=seqlen)
+                  with_seq: bool = True, materialize_marks: bool = True) -> DataFrame:
+    """Season table: peak, orientation, attributes, length, modal event and (optionally) the sequence.
+
+    With sequences the marks feed two branches (aggregate, last-L window); they are then
+    written once (``materialize_marks``) rather than computed twice.
+    """
     if not with_seq:
-        return agg
+        return season_aggregate(marks, key, seqlen=seqlen)
+    if materialize_marks:
+        marks = materialize(marks, "marks")
+    agg = season_aggregate(marks, key, seqlen=seqlen)
     seq = season_sequences(marks, key, seqlen).drop("length")
     return agg.join(seq, [key, "season_key"], "left")
 
@@ -35,7 +54,9 @@ def samples(spark: SparkSession, sf_dir: str, k: int = K_SEASONS, with_seq: bool
 
 
 def training(spark: SparkSession, sf_dir: str, k: int = K_SEASONS, with_seq: bool = False, **kw) -> DataFrame:
-    return training_set(samples(spark, sf_dir, k=k, with_seq=with_seq), **kw)
+    """Training set; the samples table feeds four branches (split flags, allowed events, ids,
+    statistics), so it is written once first."""
+    return training_set(materialize(samples(spark, sf_dir, k=k, with_seq=with_seq), "samples"), **kw)
 
 
 def date_str(c: str) -> F.Column:

@@ -331,9 +331,14 @@ _RAW_ROW_COLS = "Division, School, Gender, SeasonLabel, SeasonYear, Event"
 _CLASS_YEAR_SQL = "CASE line_no % 4 WHEN 0 THEN 'FR-1' WHEN 1 THEN 'SO-2' WHEN 2 THEN 'JR-3' ELSE 'SR-4' END"
 
 
-def _round_trip(spark, sf, mode: str) -> DataFrame:
+def captured_pages(spark, sf) -> DataFrame:
+    """Rendered result pages joined to their catalogue rows, stored as a table (as captured pages are)."""
     pages, cat = result_pages(raw_marks(spark, sf))
-    rows = page_rows(pages.join(cat, "url"), mode=mode)
+    return core.materialize(pages.join(cat, "url"), "pages")
+
+
+def _round_trip(spark, sf, mode: str) -> DataFrame:
+    rows = page_rows(captured_pages(spark, sf), mode=mode)
     return rows.select("Division", "School", "Gender", "SeasonLabel", "SeasonYear", "Event", "Athlete", "ClassYear",
                        "MarkOrTime", "Wind", "Meet", "MeetDate")
 
@@ -572,7 +577,7 @@ RAW_SCHEMA_DDL = ("ord_key long, line_no int, part_key long, supp_key long, Scho
 def st1_stream_ingest(spark, sf):
     base = scratch_path(spark, "st1")
     pages, cat = result_pages(raw_marks(spark, sf))
-    stage_files(pages.join(cat, "url"), f"{base}/in", 4, "url")
+    stage_files(pages.join(cat, "url"), f"{base}/in", 4, "url")  # pages arriving as files
     ingest_pages(spark, f"{base}/in", f"{base}/out", f"{base}/chk").awaitTermination()
     return spark.read.parquet(f"{base}/out").select(
         "Division", "School", "Gender", "SeasonLabel", "SeasonYear", "Event", "Athlete", "ClassYear", "MarkOrTime",
