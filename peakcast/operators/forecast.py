@@ -121,9 +121,17 @@ def window_features(samples: DataFrame, k: int = 4) -> DataFrame:
         "features_arr", F.array(*[f.cast("double") for f in feats + hist]))
 
 
-def gbt_forecast(ts_with_windows: DataFrame, k: int = 4, max_iter: int = 10,
-                 seed: int = 1) -> DataFrame:
-    """Fit per gender on train rows (z target, absolute loss), predict val rows in native units."""
+def gbt_forecast(ts_with_windows: DataFrame, k: int = 4, max_iter: int = 10, seed: int = 1,
+                 group_keys: tuple[str, ...] = ("Gender",), early_stop: bool = False,
+                 save_root: str | None = None) -> DataFrame:
+    """One forecaster per group (gender; or gender x season label for the per-label variant).
+
+    Fits on train rows (z target, absolute loss); with ``early_stop`` the validation rows are
+    the stopping set (tolerance 1e-3). Predicts validation rows in native units. With
+    ``save_root`` each model is saved under ``<root>/<slug of group>``.
+    """
+    import re
+
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import OneHotEncoder, VectorAssembler
     from pyspark.ml.functions import array_to_vector
@@ -134,16 +142,28 @@ def gbt_forecast(ts_with_windows: DataFrame, k: int = 4, max_iter: int = 10,
     # checkpoint of the narrow feature table (in the session's shared checkpoint folder).
     from ..session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
-    df = (df.select("fam_key", "season_key", "Gender", "event", "event_id", "split", "y", "z", "mu", "sd",
-                    "features_arr").checkpoint(eager=True))
+    df = (df.select("fam_key", "season_key", *[g for g in group_keys if g != "Gender"], "Gender", "event",
+                    "event_id", "split", "y", "z", "mu", "sd", "features_arr").checkpoint(eager=True))
     df = df.withColumn("x", array_to_vector("features_arr")).withColumn("event_id_d", F.col("event_id").cast("double"))
     enc = OneHotEncoder(inputCols=["event_id_d"], outputCols=["event_vec"], handleInvalid="keep")
     asm = VectorAssembler(inputCols=["x", "event_vec"], outputCol="features")
-    gbt = GBTRegressor(featuresCol="features", labelCol="z", lossType="absolute", maxIter=max_iter, seed=seed)
+    extra = {"validationIndicatorCol": "is_val", "validationTol": 1e-3} if early_stop else {}
+    gbt = GBTRegressor(featuresCol="features", labelCol="z", lossType="absolute", maxIter=max_iter, seed=seed,
+                       **extra)
+    if early_stop:
+        df = df.withColumn("is_val", F.col("split") == "val")
     out = []
-    for g in [r[0] for r in df.select("Gender").distinct().collect()]:  # a handful of genders, not rows
-        part = df.filter(F.col("Gender") == g)
-        model = Pipeline(stages=[enc, asm, gbt]).fit(part.filter(F.col("split") == "train"))
+    groups = [tuple(r) for r in df.select(*group_keys).distinct().collect()]  # a handful of model units
+    for g in groups:
+        cond = F.lit(True)
+        for c, v in zip(group_keys, g):
+            cond = cond & (F.col(c) == F.lit(v))
+        part = df.filter(cond)
+        fit_on = part.filter(F.col("split").isin("train", "val") if early_stop else F.col("split") == "train")
+        model = Pipeline(stages=[enc, asm, gbt]).fit(fit_on)
+        if save_root:
+            name = re.sub(r"[^A-Za-z0-9]+", "_", "_".join(str(v) for v in g)).strip("_")
+            model.write().overwrite().save(f"{save_root}/{name}")
         out.append(model.transform(part.filter(F.col("split") == "val")))
     if not out:
         return df.limit(0).withColumn("yhat", F.lit(None).cast("double"))

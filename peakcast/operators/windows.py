@@ -65,8 +65,9 @@ def explode_window(samples: DataFrame, key: str = "fam_key") -> DataFrame:
                     F.col("h.label_id").alias("label_id"), F.col("h.length").alias("length")))
 
 
-def flat_features(samples: DataFrame) -> DataFrame:
-    """Dense feature vector for a learner: the padded window flattened (K * L * 3 numbers)."""
+def flat_features(samples: DataFrame, seqlen: int = 32) -> DataFrame:
+    """Dense K * L * 3 vector for a learner: every window season left-padded to L, then flattened."""
+    from .sequences import pad_left
     return samples.withColumn(
         "x", F.flatten(F.transform("window", lambda s: F.flatten(
-            F.transform(s["seq"], lambda m: F.array(m["value"], m["gap"], m["wind"]))))))
+            F.transform(pad_left(s["seq"], seqlen), lambda m: F.array(m["value"], m["gap"], m["wind"]))))))

@@ -114,17 +114,41 @@ DATE_SQL = ("CAST(coalesce(try_strptime(MeetDate, '%Y-%m-%d'), try_strptime(Meet
 STR_COLS = ["Division", "School", "Gender", "SeasonLabel", "Event", "Athlete", "MarkOrTime", "Wind", "Meet", "MeetDate"]
 KNOWN = tuple(RUN_EVENTS) + tuple(FIELD_EVENTS)
 
-PREPARED = f"""
+def prepared_sql(beta: bool = False) -> str:
+    """Cleaning in SQL; ``beta`` = the older variant (shorter run set and alias table, per-event key)."""
+    from ..functions.events import EVENT_ALIASES_BETA, RUN_EVENTS_BETA
+    run = RUN_EVENTS_BETA if beta else RUN_EVENTS
+    aliases = EVENT_ALIASES_BETA if beta else EVENT_ALIASES
+    known = tuple(run) + tuple(FIELD_EVENTS)
+    alias_case = "CASE lower(" + strip("Event") + ") " + " ".join(
+        f"WHEN {_q(k)} THEN {_q(v)}" for k, v in aliases.items()) + " END"
+    keys = ("lower(Athlete) || '||' || lower(Event) || '||' || Gender AS key" if beta else
+            "lower(Athlete) || '||' || Gender AS ath_key")
+    family = "" if beta else f"""
+         CASE WHEN Event IN {_in(SAME_NAME_FAMILIES)} THEN Event
+              WHEN Event IN ('60 Meters', '100 Meters') THEN 'short_sprint'
+              WHEN Event IN ('Mile', '1500 Meters') THEN 'metric_mile'
+              WHEN Event = '60 Hurdles' THEN 'short_hurdles'
+              WHEN Event = '110 Hurdles' AND starts_with(lower(Gender), 'men') THEN 'short_hurdles'
+              WHEN Event = '100 Hurdles' AND starts_with(lower(Gender), 'women') THEN 'short_hurdles'
+              ELSE Event END AS family,"""
+    marks = ("""marks AS (
+  SELECT *, row_number() OVER (ORDER BY ord_key, line_no, part_key, supp_key) AS gpos FROM prepared)""" if beta else
+             """marks AS (
+  SELECT *, ath_key || '||' || family AS fam_key,
+         row_number() OVER (ORDER BY ord_key, line_no, part_key, supp_key) AS gpos
+  FROM prepared)""")
+    return f"""
 p0 AS (
   SELECT ord_key, line_no, part_key, supp_key, CAST(SeasonYear AS INTEGER) AS SeasonYear,
          {", ".join(f"{strip(c)} AS {c}" for c in STR_COLS)}
   FROM raw_marks),
 p1 AS (
-  SELECT * REPLACE (CASE WHEN Event IN {_in(KNOWN)} THEN Event ELSE coalesce({_alias_case('Event')}, Event) END AS Event)
+  SELECT * REPLACE (CASE WHEN Event IN {_in(known)} THEN Event ELSE coalesce({alias_case}, Event) END AS Event)
   FROM p0),
 p2 AS (
   SELECT *, {DATE_SQL} AS date, {_time('MarkOrTime')} AS _t, {_dist('MarkOrTime')} AS _d,
-         Event IN {_in(RUN_EVENTS)} AS _run, Event IN {_in(FIELD_EVENTS)} AS _field
+         Event IN {_in(run)} AS _run, Event IN {_in(FIELD_EVENTS)} AS _field
   FROM p1),
 p3 AS (
   SELECT *,
@@ -135,23 +159,17 @@ p3 AS (
   FROM p2),
 prepared AS (
   SELECT ord_key, line_no, part_key, supp_key, SeasonYear, Division, School, Gender, SeasonLabel, Event, Athlete,
-         MarkOrTime, Wind, Meet, MeetDate, date, value, is_time,
-         CASE WHEN Event IN {_in(SAME_NAME_FAMILIES)} THEN Event
-              WHEN Event IN ('60 Meters', '100 Meters') THEN 'short_sprint'
-              WHEN Event IN ('Mile', '1500 Meters') THEN 'metric_mile'
-              WHEN Event = '60 Hurdles' THEN 'short_hurdles'
-              WHEN Event = '110 Hurdles' AND starts_with(lower(Gender), 'men') THEN 'short_hurdles'
-              WHEN Event = '100 Hurdles' AND starts_with(lower(Gender), 'women') THEN 'short_hurdles'
-              ELSE Event END AS family,
-         lower(Athlete) || '||' || Gender AS ath_key,
+         MarkOrTime, Wind, Meet, MeetDate, date, value, is_time,{family}
+         {keys},
          CAST(SeasonYear AS VARCHAR) || '-' || SeasonLabel AS season_key
   FROM p3
   WHERE value IS NOT NULL AND NOT isnan(value) AND date IS NOT NULL AND Event IS NOT NULL
     AND Athlete IS NOT NULL AND SeasonLabel IS NOT NULL AND SeasonYear IS NOT NULL),
-marks AS (
-  SELECT *, ath_key || '||' || family AS fam_key,
-         row_number() OVER (ORDER BY ord_key, line_no, part_key, supp_key) AS gpos
-  FROM prepared)"""
+{marks}"""
+
+
+PREPARED = prepared_sql(False)
+PREPARED_BETA = prepared_sql(True)
 
 ORD = "ord_key, line_no, part_key, supp_key"
 ORD_DESC = "ord_key DESC, line_no DESC, part_key DESC, supp_key DESC"

@@ -641,3 +641,63 @@ def s9_model_metadata(spark, sf):
     IO.write_metadata(IO.build_metadata(stats, FC.per_event_mae(pred), FC.overall_mae(pred)), f"{base}/models")
     st = IO.metadata_event_stats(IO.read_metadata(spark, f"{base}/models"))
     return st.select("gender", "event", "event_id", r6("mu").alias("mu"), r6("sd").alias("sd"))
+
+
+# ---- older per-event variant, event lookup, catalogue head ---------------------------------
+
+from ..operators.lookup import resolve_events  # noqa: E402
+
+_BETA_CTES = (O.RAW_MARKS, O.PREPARED_BETA)
+
+
+@register("c9_event_level_targets", O.with_ctes(*_BETA_CTES, f"""
+firsts AS (
+  SELECT * FROM (SELECT key, season_key, SeasonYear, SeasonLabel, Event, Gender, is_time,
+                        row_number() OVER (PARTITION BY key, season_key ORDER BY {O.ORD}) AS rn FROM marks)
+  WHERE rn = 1),
+agg AS (SELECT key, season_key, min(value) AS mn, max(value) AS mx FROM marks GROUP BY key, season_key),
+peaks AS (
+  SELECT f.key, f.season_key, f.SeasonYear, f.SeasonLabel, f.Event, f.Gender,
+         CASE WHEN f.is_time THEN a.mn ELSE a.mx END AS peak_value
+  FROM firsts f JOIN agg a USING (key, season_key))""", body="""
+SELECT a.key, a.season_key, a.Event, round(a.peak_value, 6) AS peak_value, round(b.peak_value, 6) AS y_next
+FROM peaks a JOIN peaks b ON b.key = a.key AND b.SeasonLabel = a.SeasonLabel AND b.SeasonYear = a.SeasonYear + 1"""))
+def c9_event_level_targets(spark, sf):
+    m = core.prepared(spark, sf, variant="event")
+    p = family_season_peaks(m, key="key", attrs=("SeasonYear", "SeasonLabel", "Event", "Gender"))
+    t = next_season_targets_join(p, key="key")
+    return t.select("key", "season_key", "Event", r6("peak_value").alias("peak_value"), r6("y_next").alias("y_next"))
+
+
+@register("c24_event_lookup", O.with_ctes(*TRAIN_CTES, """
+req AS (
+  SELECT DISTINCT gender, text FROM (
+    SELECT Gender AS gender, Event AS text FROM raw_marks
+    UNION ALL SELECT Gender, split_part(Event, ' ', 1) FROM raw_marks
+    UNION ALL SELECT Gender, CAST(part_key % 30 AS VARCHAR) FROM raw_marks)),
+pos AS (SELECT r.gender, r.text, i.event FROM req r JOIN ids i ON i.Gender = r.gender
+          AND regexp_matches(r.text, '^[0-9]+$') AND TRY_CAST(r.text AS BIGINT) - 1 = i.event_id),
+nam AS (SELECT r.gender, r.text, i.event FROM req r JOIN ids i ON i.Gender = r.gender AND r.text = i.event),
+sub AS (SELECT r.gender, r.text, count(*) AS n, min(i.event) AS ev1 FROM req r JOIN ids i
+          ON i.Gender = r.gender AND contains(lower(i.event), lower(r.text)) GROUP BY r.gender, r.text)""", body="""
+SELECT r.gender, r.text, coalesce(p.event, n.event, CASE WHEN s.n = 1 THEN s.ev1 END) AS event,
+       CASE WHEN coalesce(p.event, n.event, CASE WHEN s.n = 1 THEN s.ev1 END) IS NOT NULL THEN 'ok'
+            WHEN s.n > 1 THEN 'ambiguous' ELSE 'not_found' END AS status
+FROM req r LEFT JOIN pos p USING (gender, text) LEFT JOIN nam n USING (gender, text) LEFT JOIN sub s USING (gender, text)"""))
+def c24_event_lookup(spark, sf):
+    from ..operators.training import allowed_events, event_ids
+    r = raw_marks(spark, sf)
+    req = (r.select(F.col("Gender").alias("gender"), F.col("Event").alias("text"))
+           .unionByName(r.select(F.col("Gender").alias("gender"), F.split("Event", " ").getItem(0).alias("text")))
+           .unionByName(r.select(F.col("Gender").alias("gender"),
+                                 F.pmod(F.col("part_key"), F.lit(30)).cast("string").alias("text"))))
+    ts = core.materialize(core.samples(spark, sf, with_seq=False), "samples")
+    ids = event_ids(allowed_events(time_split(ts)))
+    return resolve_events(req, ids)
+
+
+@register("o1_catalogue_head", "SELECT * FROM (" + _CATALOGUE_SQL + ") c "
+          "ORDER BY division, school, gender, year DESC, season, url LIMIT 12")
+def o1_catalogue_head(spark, sf):
+    cat = p5_result_urls(spark, sf)
+    return cat.orderBy("division", "school", "gender", F.col("year").desc(), "season", "url").limit(12)
