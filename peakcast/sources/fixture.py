@@ -99,8 +99,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     key (deterministic, no sort), after column pruning; a large input already has
     more splits than cores and is left untouched (no shuffle).
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without the RDD API: leave the scan as it is
+        return df
+    if have < want:
         return df.repartition(want, *keys) if keys else df.repartition(want)
     return df
 
