@@ -20,6 +20,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
           .config("spark.ui.showConsoleProgress", "false")
           .config("spark.sql.shuffle.partitions", str(parts))
           .config("spark.sql.adaptive.enabled", "true")
+          .config("spark.sql.codegen.hugeMethodLimit", os.environ.get("PEAKCAST_HUGE_METHOD_LIMIT", "8000"))
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
