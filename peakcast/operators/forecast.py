@@ -77,7 +77,8 @@ def fit_task_models(ts: DataFrame, min_train: int = 60, keys: list[str] = TASK_K
 
 
 def score_task_models(samples: DataFrame, models: DataFrame, keys: list[str] = TASK_KEYS) -> DataFrame:
-    return (samples.join(models, keys, "inner")
+    """Apply the task models; one model row per (event, gender, label) — bounded, so broadcast."""
+    return (samples.join(F.broadcast(models), keys, "inner")
             .withColumn("yhat", F.col("intercept") + F.col("slope") * F.col("peak_value")))
 
 

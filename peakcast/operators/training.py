@@ -1,9 +1,10 @@
 """Training-set construction: time split, rare-event filter, event ids, per-event z-scores.
 
-Per-gender work is a grouping key, never a driver loop. The small per-(gender,
-event) tables (allowed events, ids, statistics) are aggregates whose size is
-bounded by the number of distinct events; they are joined back with a plain
-join and AQE turns it into a broadcast from the measured runtime size.
+Per-gender work is a grouping key, never a driver loop. The small per-gender and
+per-(gender, event) tables (has-training flags, allowed events, ids, statistics)
+are aggregates whose size is bounded by the event vocabulary (one row per event
+name and gender), not by the data, so they are broadcast explicitly: a shuffle
+join keyed on gender would otherwise put every sample of a gender in one task.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ def time_split(samples: DataFrame, *, train_max_year: int = TRAIN_MAX_YEAR, vali
                  .agg(F.max((yr <= train_max_year).cast("int")).alias("_has_train")))
     u = hash_unit(list(key_cols), seed)
     random_split = (F.when(u < fallback[0], "train").when(u < fallback[1], "val").otherwise("test"))
-    return (samples.join(has_train, group, "left")
+    return (samples.join(F.broadcast(has_train), group, "left")
             .withColumn("split", F.when(F.col("_has_train") == 1, by_year).otherwise(random_split))
             .drop("_has_train"))
 
@@ -81,10 +82,10 @@ def training_set(samples: DataFrame, *, train_max_year: int = TRAIN_MAX_YEAR, va
     s = time_split(samples, train_max_year=train_max_year, valid_year=valid_year,
                    test_min_year=test_min_year, group=group, seed=seed, fallback=fallback)
     allowed = allowed_events(s, min_train, group)
-    kept = s.join(allowed.select(group, "event"), [group, "event"], "left_semi")
+    kept = s.join(F.broadcast(allowed.select(group, "event")), [group, "event"], "left_semi")
     ids = event_ids(allowed, group)
     stats = event_stats(kept, group)
-    return (kept.join(ids, [group, "event"], "inner").join(stats, [group, "event"], "inner")
+    return (kept.join(F.broadcast(ids), [group, "event"], "inner").join(F.broadcast(stats), [group, "event"], "inner")
             .withColumn("z", (F.col("y") - F.col("mu")) / F.col("sd")))
 
 
