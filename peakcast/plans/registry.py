@@ -701,3 +701,18 @@ def c24_event_lookup(spark, sf):
 def o1_catalogue_head(spark, sf):
     cat = p5_result_urls(spark, sf)
     return cat.orderBy("division", "school", "gender", F.col("year").desc(), "season", "url").limit(12)
+
+
+@register("f8_partition_pruned_seasons", O.with_ctes(*SEASON_CTES, body="""
+SELECT fam_key, season_key, Gender, SeasonYear, SeasonLabel, round(peak_value, 6) AS peak_value, length, event_used
+FROM seasons WHERE Gender = 'Men' AND SeasonYear = 2022"""))
+def f8_partition_pruned_seasons(spark, sf):
+    """The season table persisted partitioned by (Gender, SeasonYear); a per-gender, per-year slice
+    then reads only its partition folders (PartitionFilters on the scan)."""
+    base = scratch_path(spark, "f8")
+    seasons = core.build_seasons(core.prepared(spark, sf), with_seq=False)
+    IO.save_table(seasons, f"{base}/seasons", partition_by=["Gender", "SeasonYear"])
+    t = IO.load_table(spark, f"{base}/seasons").filter((F.col("Gender") == "Men") & (F.col("SeasonYear") == 2022))
+    return t.select("fam_key", "season_key", "Gender", F.col("SeasonYear").cast("int").alias("SeasonYear"),
+                    "SeasonLabel", r6("peak_value").alias("peak_value"), F.col("length").cast("int").alias("length"),
+                    "event_used")
