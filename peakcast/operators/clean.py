@@ -23,13 +23,28 @@ KEEP_COLS = ["Division", "School", "Gender", "SeasonLabel", "SeasonYear", "Event
 ORD = "_ord"
 
 
-def ordinal(cols: list[str]) -> Column:
-    """Source position of a row as an orderable struct (the total tie order)."""
-    return F.struct(*[F.col(c) for c in cols])
+def ordinal(cols: list[str], digits: dict[str, int] | None = None) -> Column:
+    """Source position of a row (the total tie order).
+
+    With ``digits`` (decimal width of each non-negative integer key, 38 in total at most) the keys
+    are packed into one DECIMAL(38,0) whose numeric order is their lexicographic order; a fixed-width
+    value lets ``min`` / ``min_by`` run as hash aggregates. A key outside its width fails the job
+    rather than mis-order rows. Without ``digits`` the position is an orderable struct.
+    """
+    if not digits:
+        return F.struct(*[F.col(c) for c in cols])
+    from decimal import Decimal
+    dec = "decimal(38,0)"
+    packed, ok = F.lit(Decimal(0)).cast(dec), F.lit(True)
+    for c in cols:
+        w = digits[c]
+        packed = (packed * F.lit(Decimal(10) ** w).cast(dec) + F.col(c).cast(dec)).cast(dec)
+        ok = ok & (F.col(c) >= 0) & (F.col(c) < F.lit(10 ** w))
+    return F.when(ok, packed).otherwise(F.raise_error(F.lit("ordinal key outside its declared width")).cast(dec))
 
 
 def prepare_marks(raw: DataFrame, ordinal_cols: list[str], *, variant: str = "family",
-                  blank_as_null: bool = False) -> DataFrame:
+                  blank_as_null: bool = False, ordinal_digits: dict[str, int] | None = None) -> DataFrame:
     """Clean marks into values, dates, orientation, families and keys.
 
     ``variant="family"`` gives athlete+gender+family keys (the main model);
@@ -38,10 +53,12 @@ def prepare_marks(raw: DataFrame, ordinal_cols: list[str], *, variant: str = "fa
     """
     beta = variant == "event"
     str_cols = [c for c in KEEP_COLS if c != "SeasonYear"]
-    df = raw.select(ordinal(ordinal_cols).alias(ORD), F.col("SeasonYear").cast("int").alias("SeasonYear"),
+    df = raw.select(*ordinal_cols, ordinal(ordinal_cols, ordinal_digits).alias(ORD),
+                    F.col("SeasonYear").cast("int").alias("SeasonYear"),
                     *[pystrip(F.col(c).cast("string")).alias(c) for c in str_cols])
     if blank_as_null:
-        df = df.select(ORD, "SeasonYear", *[F.nullif(F.col(c), F.lit("")).alias(c) for c in str_cols])
+        df = df.select(*ordinal_cols, ORD, "SeasonYear",
+                       *[F.nullif(F.col(c), F.lit("")).alias(c) for c in str_cols])
     df = df.withColumn("Event", canonical_event(F.col("Event"), beta=beta))
     # Parsed intermediates get their own projection: each is referenced several times below,
     # so Catalyst keeps it apart and every parser runs once per row.

@@ -1,11 +1,11 @@
 """Season-level aggregates: oriented peaks, group attributes, modal event, lengths, next-season targets.
 
-Plan shape: a two-level aggregation. Level 1 groups marks by (key, season, event)
-with a map-side partial aggregate, so a hot key is combined before the shuffle.
-Level 2 groups those few rows per season by (key, season). Orientation and the
-attributes are "value of the first row" (``min_by`` on the source position);
-the modal event is the event with most marks, ties to the earliest first
-appearance, then the name.
+Plan shape. Level 1 runs over every mark and groups by (key, season, event, attributes) with
+fixed-width aggregates only (count, min / max of the value, the first position, the orientation
+of the first row): with a packed numeric position this is a hash aggregate whose map-side partial
+step combines a hot key before the shuffle. The "value of the first row" picks (orientation,
+attributes, modal event with ties to the earliest first appearance, then the name) are then
+resolved over the level-1 output, which has about one row per season and event.
 """
 
 from __future__ import annotations
@@ -23,27 +23,30 @@ def _first_non_null(c: str, order: Column) -> Column:
     return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order))
 
 
+def _level1(marks: DataFrame, keys: list[str]) -> DataFrame:
+    return marks.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(ORD).alias("_o"),
+        F.min("value").alias("_mn"), F.max("value").alias("_mx"),
+        F.min_by("is_time", F.col(ORD)).alias("_t"))
+
+
 def season_aggregate(marks: DataFrame, key: str = "fam_key", attrs=SEASON_ATTRS,
                      seqlen: int = 32, event_col: str = "Event") -> DataFrame:
     """One row per (key, season): peak_value, is_time, attributes, n_marks, length, event_used."""
-    lvl1 = marks.groupBy(key, "season_key", event_col).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(ORD).alias("_o"),
-        F.min("value").alias("_mn"), F.max("value").alias("_mx"),
-        F.min_by("is_time", F.col(ORD)).alias("_t"),
-        *[F.struct(_first_non_null(a, F.col(ORD)).alias("v"),
-                   F.min(F.when(F.col(a).isNotNull(), F.col(ORD))).alias("o")).alias(f"_a_{a}")
-          for a in attrs],
-    )
-    is_time = F.min_by("_t", F.col("_o"))
-    lvl2 = lvl1.groupBy(key, "season_key").agg(
-        is_time.alias("is_time"),
-        F.min("_mn").alias("_mn"), F.max("_mx").alias("_mx"),
-        F.sum("_n").alias("n_marks"),
+    attrs = list(attrs)
+    l1 = _level1(marks, [key, "season_key", event_col, *attrs])
+    # per event: totals, first appearance, and each attribute's first non-null value with its position
+    l2 = l1.groupBy(key, "season_key", event_col).agg(
+        F.sum("_n").alias("_n"), F.min("_o").alias("_o"), F.min("_mn").alias("_mn"), F.max("_mx").alias("_mx"),
+        F.min_by("_t", F.col("_o")).alias("_t"),
+        *[F.struct(_first_non_null(a, F.col("_o")).alias("v"),
+                   F.min(F.when(F.col(a).isNotNull(), F.col("_o"))).alias("o")).alias(f"_a_{a}") for a in attrs])
+    l3 = l2.groupBy(key, "season_key").agg(
+        F.min_by("_t", F.col("_o")).alias("is_time"),
+        F.min("_mn").alias("_mn"), F.max("_mx").alias("_mx"), F.sum("_n").alias("n_marks"),
         F.min_by(F.col(event_col), F.struct(-F.col("_n"), F.col("_o"), F.col(event_col))).alias("event_used"),
-        *[F.min_by(F.col(f"_a_{a}.v"), F.col(f"_a_{a}.o")).alias(a) for a in attrs],
-    )
-    return lvl2.select(
+        *[F.min_by(F.col(f"_a_{a}.v"), F.col(f"_a_{a}.o")).alias(a) for a in attrs])
+    return l3.select(
         key, "season_key", *attrs, "is_time",
         F.when(F.col("is_time"), F.col("_mn")).otherwise(F.col("_mx")).alias("peak_value"),
         F.col("n_marks").cast("long").alias("n_marks"),
@@ -53,11 +56,13 @@ def season_aggregate(marks: DataFrame, key: str = "fam_key", attrs=SEASON_ATTRS,
 
 
 def family_season_peaks(marks: DataFrame, key: str = "fam_key", attrs=SEASON_ATTRS) -> DataFrame:
-    """Oriented season peak (min for times, max for distances) with first-row attributes, one aggregation."""
-    agg = marks.groupBy(key, "season_key").agg(
-        F.min_by("is_time", F.col(ORD)).alias("is_time"),
-        F.min("value").alias("_mn"), F.max("value").alias("_mx"),
-        *[_first_non_null(a, F.col(ORD)).alias(a) for a in attrs],
+    """Oriented season peak (min for times, max for distances) with first-row attributes."""
+    attrs = list(attrs)
+    l1 = _level1(marks, [key, "season_key", *attrs])
+    agg = l1.groupBy(key, "season_key").agg(
+        F.min_by("_t", F.col("_o")).alias("is_time"),
+        F.min("_mn").alias("_mn"), F.max("_mx").alias("_mx"),
+        *[_first_non_null(a, F.col("_o")).alias(a) for a in attrs],
     )
     return agg.select(key, "season_key", *attrs, "is_time",
                       F.when(F.col("is_time"), F.col("_mn")).otherwise(F.col("_mx")).alias("peak_value"))

@@ -10,7 +10,7 @@ from ..operators.seasons import season_aggregate
 from ..operators.sequences import season_sequences
 from ..operators.training import training_set
 from ..operators.windows import history_windows
-from ..sources.fixture import ORDINAL_COLS, raw_marks
+from ..sources.fixture import ORDINAL_COLS, ORDINAL_DIGITS, raw_marks
 
 SEQLEN = 32
 K_SEASONS = 4
@@ -30,6 +30,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def prepared(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    kw.setdefault("ordinal_digits", ORDINAL_DIGITS)
     return prepare_marks(raw_marks(spark, sf_dir), ORDINAL_COLS, **kw)
 
 

@@ -53,9 +53,7 @@ SELECT ord_key, line_no, part_key, supp_key, fam_key, season_key, Event, family,
 FROM marks"""))
 def f1_prepared_marks(spark, sf):
     m = core.prepared(spark, sf)
-    return m.select(F.col("_ord.ord_key").alias("ord_key"), F.col("_ord.line_no").alias("line_no"),
-                    F.col("_ord.part_key").alias("part_key"), F.col("_ord.supp_key").alias("supp_key"),
-                    "fam_key", "season_key", "Event", "family", core.date_str("date").alias("date"),
+    return m.select("ord_key", "line_no", "part_key", "supp_key", "fam_key", "season_key", "Event", "family", core.date_str("date").alias("date"),
                     r6("value").alias("value"), "is_time")
 
 

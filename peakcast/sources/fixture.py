@@ -17,6 +17,9 @@ MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 
 # Columns of ``raw_marks``; the first four are the row's source position (total tie order).
 ORDINAL_COLS = ["ord_key", "line_no", "part_key", "supp_key"]
+# Decimal widths of those keys (order, line, part and supplier keys of the lineitem source; 38 in
+# all) so the position packs into one DECIMAL(38,0).
+ORDINAL_DIGITS = {"ord_key": 15, "line_no": 2, "part_key": 11, "supp_key": 10}
 
 
 def _s(c: Column) -> Column:
