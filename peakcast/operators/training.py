@@ -20,10 +20,40 @@ MIN_TRAIN_PER_EVENT = 60
 SPLIT_SEED = 42
 
 
-def hash_unit(cols: list[str], seed: int) -> F.Column:
-    """Reproducible uniform number in [0, 1) from the row's key (same under any partitioning)."""
-    h = F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
-    return F.pmod(h, F.lit(1 << 30)).cast("double") / float(1 << 30)
+BUCKET_BITS = 16  # 65,536 hash buckets per group for the exact seeded ranking
+
+
+def seeded_rank(df: DataFrame, group_cols: list[str], key_cols: list[str], seed: int) -> DataFrame:
+    """Add ``_rank`` (0-based) and ``_n``: each row's position in a seeded shuffle of its group, exactly.
+
+    The shuffle order is (xxhash64(key, seed), key). Instead of one window over a whole group
+    (which could hold a third of all rows), rows are counted per (group, top hash bits) bucket
+    with a partial aggregate, a running sum over at most 2^16 buckets per group gives each
+    bucket's start, and rows are ranked only inside their bucket, which hashing keeps small.
+    Reproducible under any partitioning.
+    """
+    h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
+    d = df.withColumn("_h", h).withColumn("_b", F.shiftright(F.col("_h"), 64 - BUCKET_BITS))
+    counts = d.groupBy(*group_cols, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    w_cum = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = (counts.withColumn("_start", F.sum("_c").over(w_cum) - F.col("_c"))
+              .withColumn("_n", F.sum("_c").over(Window.partitionBy(*group_cols))).drop("_c"))
+    w_in = Window.partitionBy(*group_cols, "_b").orderBy("_h", *key_cols)
+    return (d.join(starts, [*group_cols, "_b"])
+            .withColumn("_rank", F.col("_start") + F.row_number().over(w_in) - 1)
+            .drop("_h", "_b", "_start"))
+
+
+def fraction_split(rank: F.Column, n: F.Column, train_frac: float, val_frac: float,
+                   min_train: int = 0) -> F.Column:
+    """train = first max(min_train, floor(train_frac*n)); val up to floor(val_frac*n); test the rest.
+
+    When the minimum pushes train past the validation cut, validation is empty (the train
+    positions take precedence over test).
+    """
+    a = F.greatest(F.lit(min_train), F.floor(n * train_frac).cast("long"))
+    b = F.floor(n * val_frac).cast("long")
+    return F.when(rank < a, "train").when(rank < b, "val").otherwise("test")
 
 
 def time_split(samples: DataFrame, *, train_max_year: int = TRAIN_MAX_YEAR, valid_year: int = VALID_YEAR,
@@ -32,8 +62,9 @@ def time_split(samples: DataFrame, *, train_max_year: int = TRAIN_MAX_YEAR, vali
                key_cols: tuple[str, ...] = ("fam_key", "season_key")) -> DataFrame:
     """Add ``split`` (train / val / test / null) by sample year.
 
-    A group (gender) without any training row falls back to a seeded hash split: the
-    first ``fallback[0]`` share is train, up to ``fallback[1]`` validation, the rest test.
+    A group (gender) without any training row falls back to a seeded random split with exact
+    sizes: the first floor(fallback[0] * n) rows of the shuffle are train, up to floor(fallback[1] * n)
+    validation, the rest test (0.8 / 1.0 for the main model, 0.7 / 0.85 for the per-label one).
     """
     yr = F.col("SeasonYear")
     by_year = F.when(yr <= train_max_year, "train").when(yr == valid_year, "val")
@@ -41,11 +72,30 @@ def time_split(samples: DataFrame, *, train_max_year: int = TRAIN_MAX_YEAR, vali
         by_year = by_year.when(yr >= test_min_year, "test")
     has_train = (samples.groupBy(group)
                  .agg(F.max((yr <= train_max_year).cast("int")).alias("_has_train")))
-    u = hash_unit(list(key_cols), seed)
-    random_split = (F.when(u < fallback[0], "train").when(u < fallback[1], "val").otherwise("test"))
-    return (samples.join(F.broadcast(has_train), group, "left")
+    ranked = seeded_rank(samples, [group], list(key_cols), seed)
+    random_split = fraction_split(F.col("_rank"), F.col("_n"), fallback[0], fallback[1])
+    return (ranked.join(F.broadcast(has_train), group, "left")
             .withColumn("split", F.when(F.col("_has_train") == 1, by_year).otherwise(random_split))
-            .drop("_has_train"))
+            .drop("_has_train", "_rank", "_n"))
+
+
+def task_split(samples: DataFrame, task_keys: list[str], *, min_train: int = MIN_TRAIN_PER_EVENT,
+               train_max_year: int = TRAIN_MAX_YEAR, valid_year: int = VALID_YEAR, test_min_year: int = 2025,
+               seed: int = SPLIT_SEED, key_cols: tuple[str, ...] = ("key", "season_key")) -> DataFrame:
+    """Per-task split of the per-event models: by year (train / val / test); a task with fewer than
+    ``min_train`` training rows is re-split at random (train = max(min_train, 70%), validation to
+    85%, rest test) and dropped when that train would take every row."""
+    yr = F.col("SeasonYear")
+    by_year = (F.when(yr <= train_max_year, "train").when(yr == valid_year, "val")
+               .when(yr >= test_min_year, "test"))
+    n_train = samples.groupBy(*task_keys).agg(F.count_if(yr <= train_max_year).alias("_ntr"))
+    ranked = seeded_rank(samples, task_keys, list(key_cols), seed).join(n_train, task_keys)
+    a = F.greatest(F.lit(min_train), F.floor(F.col("_n") * 0.7).cast("long"))
+    fallback = F.col("_ntr") < min_train
+    return (ranked.filter(~fallback | (a < F.col("_n")))
+            .withColumn("split", F.when(fallback, fraction_split(F.col("_rank"), F.col("_n"), 0.7, 0.85, min_train))
+                        .otherwise(by_year))
+            .drop("_rank", "_n", "_ntr"))
 
 
 def allowed_events(samples: DataFrame, min_train: int = MIN_TRAIN_PER_EVENT,

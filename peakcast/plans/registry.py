@@ -714,3 +714,18 @@ def f8_partition_pruned_seasons(spark, sf):
     return t.select("fam_key", "season_key", "Gender", F.col("SeasonYear").cast("int").alias("SeasonYear"),
                     "SeasonLabel", r6("peak_value").alias("peak_value"), F.col("length").cast("int").alias("length"),
                     "event_used")
+
+
+@register("w9_fallback_split_sizes", O.with_ctes(*WINDOW_CTES, body="""
+SELECT Gender, split, count(*) AS n FROM (
+  SELECT Gender, CASE WHEN r < floor(0.8 * n) THEN 'train' ELSE 'val' END AS split FROM (
+    SELECT Gender, row_number() OVER (PARTITION BY Gender ORDER BY fam_key, season_key) - 1 AS r,
+           count(*) OVER (PARTITION BY Gender) AS n
+    FROM samples))
+GROUP BY Gender, split"""))
+def w9_fallback_split_sizes(spark, sf):
+    """The no-training-year fallback (every sample year is past the training cut): exact 80 / 20
+    sizes per gender from the seeded shuffle. Which rows land where is hash-chosen, the sizes are
+    exact, so the oracle checks the sizes."""
+    s = time_split(core.samples(spark, sf, with_seq=False), train_max_year=1900, valid_year=1901)
+    return s.groupBy("Gender", "split").agg(F.count(F.lit(1)).alias("n"))

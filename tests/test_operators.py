@@ -166,3 +166,19 @@ def test_window_explode_slots(spark):
     e = explode_window(s)
     assert e.filter((F.col("slot") < 0) | (F.col("slot") > 3)).count() == 0
     assert e.filter(F.col("slot") == 3).count() == s.count()
+
+
+def test_task_split_fallback_sizes(spark):
+    from peakcast.operators.training import task_split
+    rows = []
+    for task, n in (("a", 100), ("b", 70), ("c", 50), ("d", 80)):
+        for i in range(n):
+            year = 2024 if task != "d" else (2022 if i < 65 else 2024)  # d has 65 training rows by year
+            rows.append((task, f"k{i}", f"{year}-Outdoors", year))
+    df = spark.createDataFrame(rows, "event string, key string, season_key string, SeasonYear int")
+    out = task_split(df, ["event"], min_train=60)
+    got = {(r.event, r.split): r["count"] for r in out.groupBy("event", "split").count().collect()}
+    assert (got[("a", "train")], got[("a", "val")], got[("a", "test")]) == (70, 15, 15)
+    assert (got[("b", "train")], got.get(("b", "val"), 0), got[("b", "test")]) == (60, 0, 10)
+    assert not any(k[0] == "c" for k in got)
+    assert (got[("d", "train")], got[("d", "val")]) == (65, 15)
