@@ -729,3 +729,40 @@ def w9_fallback_split_sizes(spark, sf):
     exact, so the oracle checks the sizes."""
     s = time_split(core.samples(spark, sf, with_seq=False), train_max_year=1900, valid_year=1901)
     return s.groupBy("Gender", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("m3_event_task_metrics", O.with_ctes(*_BETA_CTES, f"""
+firsts AS (
+  SELECT * FROM (SELECT key, season_key, SeasonYear, SeasonLabel, Event, Gender, is_time,
+                        row_number() OVER (PARTITION BY key, season_key ORDER BY {O.ORD}) AS rn FROM marks)
+  WHERE rn = 1),
+agg AS (SELECT key, season_key, min(value) AS mn, max(value) AS mx FROM marks GROUP BY key, season_key),
+peaks AS (
+  SELECT f.key, f.season_key, f.SeasonYear, f.SeasonLabel, f.Event, f.Gender,
+         CASE WHEN f.is_time THEN a.mn ELSE a.mx END AS peak_value
+  FROM firsts f JOIN agg a USING (key, season_key)),
+targets AS (
+  SELECT a.key, a.season_key, a.SeasonYear, a.SeasonLabel, a.Event AS event, a.Gender, a.peak_value, b.peak_value AS y,
+         CASE WHEN a.SeasonYear <= 2023 THEN 'train' WHEN a.SeasonYear = 2024 THEN 'val' WHEN a.SeasonYear >= 2025
+              THEN 'test' END AS split
+  FROM peaks a JOIN peaks b ON b.key = a.key AND b.SeasonLabel = a.SeasonLabel AND b.SeasonYear = a.SeasonYear + 1),
+models AS (
+  SELECT event, Gender, SeasonLabel, coalesce(regr_slope(y, peak_value), 0.0) AS slope,
+         coalesce(regr_intercept(y, peak_value), avg(y)) AS intercept
+  FROM targets WHERE split = 'train' GROUP BY event, Gender, SeasonLabel HAVING count(*) >= 60)""", body="""
+SELECT t.event, t.Gender, t.SeasonLabel, round(avg(abs(m.intercept + m.slope * t.peak_value - t.y)), 4) AS val_mae,
+       count(*) AS n
+FROM targets t JOIN models m USING (event, Gender, SeasonLabel) WHERE t.split = 'val'
+GROUP BY t.event, t.Gender, t.SeasonLabel"""))
+def m3_event_task_metrics(spark, sf):
+    """Per-event models: event-level targets, per-task split (random fallback for thin tasks),
+    one regression per (event, gender, season label), validation MAE per task."""
+    from ..operators.training import task_split
+    m = core.prepared(spark, sf, variant="event")
+    p = family_season_peaks(m, key="key", attrs=("SeasonYear", "SeasonLabel", "Event", "Gender"))
+    t = (next_season_targets_join(p, key="key").withColumnRenamed("y_next", "y")
+         .withColumnRenamed("Event", "event"))
+    t = core.materialize(task_split(t, FC.TASK_KEYS, min_train=60), "event_targets")
+    scored = FC.score_task_models(t, FC.fit_task_models(t))
+    return (scored.filter(F.col("split") == "val").groupBy(*FC.TASK_KEYS)
+            .agg(_r4(F.avg(F.abs(F.col("yhat") - F.col("y")))).alias("val_mae"), F.count(F.lit(1)).alias("n")))
