@@ -248,7 +248,7 @@ def a9_task_lists(spark, sf):
 
 from ..functions import gender_from_url, slug, url_has_required_query, url_query_param  # noqa: E402
 from ..functions.text import PY_WHITESPACE  # noqa: E402
-from ..operators.catalogue import ANCHOR_RE, anchors, build_catalogue, valid_catalogue  # noqa: E402
+from ..operators.catalogue import ANCHOR_RE, SITE, anchors, build_catalogue, valid_catalogue  # noqa: E402
 from ..operators.pages import page_rows, pages_without_rows  # noqa: E402
 from ..sources.fixture import read_table  # noqa: E402
 from ..sources.layout import SEASONS  # noqa: E402
@@ -314,7 +314,7 @@ teams AS (
   FROM t),
 seasons(year, season, lh, sh) AS (VALUES {_SEASON_VALUES})
 SELECT division, school, gender, year, season,
-       'https://www.tfrrs.org/all_performances/' || tail || '?list_hnd=' || CAST(lh AS VARCHAR) || '&season_hnd='
+       '{SITE}/all_performances/' || tail || '?list_hnd=' || CAST(lh AS VARCHAR) || '&season_hnd='
          || CAST(sh AS VARCHAR) AS url
 FROM teams CROSS JOIN seasons"""
 
