@@ -70,13 +70,18 @@ def time_split(samples: DataFrame, *, train_max_year: int = TRAIN_MAX_YEAR, vali
     by_year = F.when(yr <= train_max_year, "train").when(yr == valid_year, "val")
     if test_min_year is not None:
         by_year = by_year.when(yr >= test_min_year, "test")
-    has_train = (samples.groupBy(group)
-                 .agg(F.max((yr <= train_max_year).cast("int")).alias("_has_train")))
-    ranked = seeded_rank(samples, [group], list(key_cols), seed)
+    # Which groups lack training rows: one small aggregate, at most one row per group value.
+    lacking = [r[0] for r in (samples.groupBy(group)
+                              .agg(F.max((yr <= train_max_year).cast("int")).alias("_t"))
+                              .filter(F.col("_t") == 0).select(group).collect())]
+    timed = samples.withColumn("split", by_year)
+    if not lacking:
+        return timed
+    fb = samples.filter(F.col(group).isin(lacking))
+    ranked = seeded_rank(fb, [group], list(key_cols), seed)
     random_split = fraction_split(F.col("_rank"), F.col("_n"), fallback[0], fallback[1])
-    return (ranked.join(F.broadcast(has_train), group, "left")
-            .withColumn("split", F.when(F.col("_has_train") == 1, by_year).otherwise(random_split))
-            .drop("_has_train", "_rank", "_n"))
+    return (timed.filter(~F.col(group).isin(lacking))
+            .unionByName(ranked.withColumn("split", random_split).drop("_rank", "_n")))
 
 
 def task_split(samples: DataFrame, task_keys: list[str], *, min_train: int = MIN_TRAIN_PER_EVENT,

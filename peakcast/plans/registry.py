@@ -148,7 +148,7 @@ def v8_window_samples(spark, sf):
 SELECT a.Gender, a.event, CAST(a.n_train AS BIGINT) AS n_train, i.event_id, round(st.mu, 6) AS mu, round(st.sd, 6) AS sd
 FROM allowed a JOIN ids i USING (Gender, event) JOIN stats st USING (Gender, event)"""))
 def a11_event_stats(spark, sf):
-    s = time_split(core.samples(spark, sf, with_seq=False))
+    s = time_split(core.materialize(core.samples(spark, sf, with_seq=False), "samples"))
     allowed = allowed_events(s)
     kept = s.join(allowed.select("Gender", "event"), ["Gender", "event"], "left_semi")
     return (allowed.join(event_ids(allowed), ["Gender", "event"]).join(event_stats(kept), ["Gender", "event"])
@@ -411,7 +411,7 @@ SELECT event, Gender, SeasonLabel,
 FROM samples GROUP BY event, Gender, SeasonLabel"""))
 def a17_task_counts(spark, sf):
     from ..operators.training import task_counts, time_split
-    return task_counts(time_split(core.samples(spark, sf, with_seq=False)), FC.TASK_KEYS)
+    return task_counts(time_split(core.materialize(core.samples(spark, sf, with_seq=False), "samples")), FC.TASK_KEYS)
 
 
 _MODEL_CTES = TRAIN_CTES + ("""
@@ -547,7 +547,7 @@ FROM raw_marks r WHERE NOT EXISTS (SELECT 1 FROM allowed a WHERE a.Gender = r.Ge
 def v10_scoring_rejects(spark, sf):
     from ..operators.training import allowed_events, time_split
     subs = _submissions(spark, sf)
-    allowed = allowed_events(time_split(core.samples(spark, sf, with_seq=False)))
+    allowed = allowed_events(time_split(core.materialize(core.samples(spark, sf, with_seq=False), "samples")))
     blocks = FC.scoring_blocks(subs)
     _, rejects = FC.scoring_window(blocks, subs, allowed)
     return rejects.select("submission_id", "gender", "event")
@@ -727,7 +727,7 @@ def w9_fallback_split_sizes(spark, sf):
     """The no-training-year fallback (every sample year is past the training cut): exact 80 / 20
     sizes per gender from the seeded shuffle. Which rows land where is hash-chosen, the sizes are
     exact, so the oracle checks the sizes."""
-    s = time_split(core.samples(spark, sf, with_seq=False), train_max_year=1900, valid_year=1901)
+    s = time_split(core.materialize(core.samples(spark, sf, with_seq=False), "samples"), train_max_year=1900, valid_year=1901)
     return s.groupBy("Gender", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
