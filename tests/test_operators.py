@@ -182,3 +182,15 @@ def test_task_split_fallback_sizes(spark):
     assert (got[("b", "train")], got.get(("b", "val"), 0), got[("b", "test")]) == (60, 0, 10)
     assert not any(k[0] == "c" for k in got)
     assert (got[("d", "train")], got[("d", "val")]) == (65, 15)
+
+
+def test_page_cells_tolerate_extra_classes_and_attributes(spark):
+    html = ('<div class="panel-heading"><h3 class="big panel-title" id="t">Duke Women\'s Track &amp; Field</h3></div>'
+            '<div class="col-lg-12"><h3>Mile</h3></div>'
+            '<div class="performance-list-row"><div class="col-athlete wide" id="a1"><a href="/x">Runner</a></div>'
+            '<div class="tight" data-label="Time">4:40.10</div><div id="m" class="col-meet">Meet 1</div></div>')
+    pages = spark.createDataFrame([("https://x.org/p.html", html, "Unknown")], "url string, html string, gender string")
+    r = page_rows(pages).collect()[0]
+    assert (r.Athlete, r.MarkOrTime, r.Meet, r.Event) == ("Runner", "4:40.10", "Meet 1", "Mile")
+    # a catalogue gender of "Unknown" is replaced by the title's
+    assert (r.School, r.Gender) == ("Duke", "Women")
