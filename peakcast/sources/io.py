@@ -60,19 +60,30 @@ def _records_to_pdf(arr: np.ndarray) -> pd.DataFrame:
     return pdf[RAW_COLUMNS]
 
 
-def read_npy(spark: SparkSession, path_glob: str) -> DataFrame:
-    """Structured ``.npy`` files -> the 16-column raw layout; one file per task; empty file -> no rows."""
+def read_npy(spark: SparkSession, path_glob: str, with_position: bool = False) -> DataFrame:
+    """Structured ``.npy`` files -> the 16-column raw layout; one file per task; empty file -> no rows.
+
+    ``with_position`` adds ``source_file`` and ``row_in_file`` (the rows' input order), the natural
+    source position for the first-row rules of the cleaning and season steps.
+    """
     files = spark.read.format("binaryFile").load(path_glob).select("path", "content")
+    schema = RAW_SCHEMA
+    if with_position:
+        schema = T.StructType(RAW_SCHEMA.fields + [T.StructField("source_file", T.StringType()),
+                                                   T.StructField("row_in_file", T.LongType())])
 
     def decode(batches):
         for b in batches:
-            for content in b["content"]:
+            for path, content in zip(b["path"], b["content"]):
                 arr = np.load(_io.BytesIO(content), allow_pickle=False)
                 pdf = _records_to_pdf(arr)
+                if with_position:
+                    pdf["source_file"] = path
+                    pdf["row_in_file"] = np.arange(len(pdf), dtype="int64")
                 if len(pdf):
                     yield pdf
 
-    return files.mapInPandas(decode, RAW_SCHEMA)
+    return files.mapInPandas(decode, schema)
 
 
 def write_npy(df: DataFrame, path: str) -> DataFrame:

@@ -56,6 +56,8 @@ def test_npy_roundtrip_and_empty(spark):
     np.save(os.path.join(_local(base), "one.npy"), arr)
     rows = IO.read_npy(spark, f"{base}/*.npy").collect()
     assert len(rows) == 1 and rows[0].SeasonYear == 2024 and rows[0].SeasonHnd == -1 and rows[0].Athlete == "A B"
+    pos = IO.read_npy(spark, f"{base}/*.npy", with_position=True).collect()
+    assert pos[0].row_in_file == 0 and pos[0].source_file.endswith("one.npy")
     out = f"{base}/written"
     written = IO.write_npy(raw_marks(spark, SF0001), out).collect()
     assert sum(r.rows for r in written) == 6000 or sum(r.rows for r in written) == raw_marks(spark, SF0001).count()
