@@ -219,7 +219,7 @@ def o3_sample_head(spark, sf):
 
 
 @register("c21_max_lengths", O.with_ctes(O.RAW_MARKS, _TYPED_SQL, body="SELECT " + ", ".join(
-    f"greatest(1, coalesce(max(length({c})), 1)) AS {c}" for c in STRING_COLUMNS) + " FROM typed"))
+    f"CAST(greatest(1, coalesce(max(length({c})), 1)) AS INTEGER) AS {c}" for c in STRING_COLUMNS) + " FROM typed"))
 def c21_max_lengths(spark, sf):
     return max_string_lengths(typed_layout(raw_marks(spark, sf)), STRING_COLUMNS)
 
