@@ -12,6 +12,8 @@ from .conftest import SF0001
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 SLOW = {"m2_gbt_forecast"}
+SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN", "DateType()": "DATE"}
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +38,9 @@ def test_query_matches_oracle(spark, con, name):
     cols = sorted(sdf.columns)
     rel = con.sql(E.oracle_sql()[name])
     assert sorted(rel.columns) == cols
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    spark_types = {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in sdf.schema.fields}
+    assert spark_types == duck_types
     s = sorted((tuple(_norm(r[c]) for c in cols) for r in sdf.collect()), key=repr)
     d = sorted((tuple(_norm(dict(zip(rel.columns, r))[c]) for c in cols) for r in rel.fetchall()), key=repr)
     assert s == d
