@@ -42,6 +42,13 @@ def visible_text(fragment: Column) -> Column:
     return pystrip(decoded)
 
 
+def node_text(fragment: Column, sep: str = " ") -> Column:
+    """Text nodes of a fragment, each stripped, empty ones dropped, joined with ``sep``; entities decoded."""
+    parts = F.split(F.regexp_replace(fragment, r"<[^>]*>", "\u0001"), "\u0001")
+    kept = F.filter(F.transform(parts, lambda x: pystrip(decode_entities(x))), lambda x: x != "")
+    return F.array_join(kept, sep)
+
+
 def url_query_param(url: Column, name: str) -> Column:
     """First value of a query parameter, '' when absent (never null for a non-null url)."""
     return F.coalesce(F.try_parse_url(url, F.lit("QUERY"), F.lit(name)), F.lit(""))

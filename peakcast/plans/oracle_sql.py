@@ -9,7 +9,7 @@ Doubles are rounded to 6 decimals and dates rendered as text in both engines.
 from __future__ import annotations
 
 from ..functions.events import EVENT_ALIASES, FIELD_EVENTS, RUN_EVENTS, SAME_NAME_FAMILIES
-from ..functions.text import PY_WHITESPACE
+from ..functions.text import HTML_ENTITIES, PY_WHITESPACE
 
 NUM = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 TIME2 = rf"^\s*([+-]?[0-9]+)\s*:\s*({NUM})\s*$"
@@ -103,6 +103,15 @@ def _dist(col: str) -> str:
      WHEN regexp_matches({lo}, '{METRES}') THEN TRY_CAST(regexp_extract({lo}, '{METRES}', 1) AS DOUBLE) END"""
 
 
+def node_text_sql(col: str) -> str:
+    """Text nodes stripped, empties dropped, joined by one space, entities decoded (SQL twin)."""
+    dec = "x"
+    for ent, ch in HTML_ENTITIES:
+        dec = f"replace({dec}, {_q(ent)}, {_q(ch)})"
+    return (f"array_to_string(list_filter(list_transform(string_split(regexp_replace({col}, '<[^>]*>', chr(1), 'g'), "
+            f"chr(1)), lambda x: trim({dec}, {WS_SQL})), lambda x: x <> ''), ' ')")
+
+
 def wind_sql(col: str) -> str:
     w = f"replace(replace({col}, '+', ''), 'm/s', '')"
     return f"coalesce(CASE WHEN regexp_matches({w}, '{FLOAT}') THEN TRY_CAST(trim({w}) AS DOUBLE) END, 0.0)"

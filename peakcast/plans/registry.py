@@ -263,7 +263,7 @@ WITH a AS (
   FROM (SELECT page_id, regexp_extract_all(html, '{ANCHOR_RE}', 1) AS h,
                regexp_extract_all(html, '{ANCHOR_RE}', 2) AS t FROM pages))
 SELECT page_id, CAST(pos AS INTEGER) AS pos, href, text FROM (
-  SELECT *, trim(regexp_replace(regexp_replace(inner_html, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'), {_WS}) AS text FROM a)
+  SELECT *, {O.node_text_sql('inner_html')} AS text FROM a)
 WHERE text <> ''""")
 def p1_page_anchors(spark, sf):
     return anchors(read_table(spark, sf, "pages").select("page_id", "html"))

@@ -194,3 +194,11 @@ def test_page_cells_tolerate_extra_classes_and_attributes(spark):
     assert (r.Athlete, r.MarkOrTime, r.Meet, r.Event) == ("Runner", "4:40.10", "Meet 1", "Mile")
     # a catalogue gender of "Unknown" is replaced by the title's
     assert (r.School, r.Gender) == ("Duke", "Women")
+
+
+def test_anchor_text_nodes(spark):
+    html = ('<a href="/teams/tf/TX_college_m_A_M.html"> Texas <b>A&amp;M</b>  </a>'
+            '<a class="x" href="/y">Duke   Univ</a><a href="/z"><img src="i.png"/></a>')
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    got = [(r.href, r.text) for r in anchors(pages).orderBy("pos").collect()]
+    assert got == [("/teams/tf/TX_college_m_A_M.html", "Texas A&M"), ("/y", "Duke   Univ")]
