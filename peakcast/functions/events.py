@@ -60,22 +60,23 @@ def _lit_map(d: dict) -> Column:
     return F.create_map(*kv)
 
 
-def canonical_event(event: Column, *, beta: bool = False) -> Column:
+def canonical_event(event: Column, *, beta: bool = False, stripped: bool = False) -> Column:
     """Known names pass through; else lower(strip(e)) is looked up in the alias table; else unchanged."""
     run = RUN_EVENTS_BETA if beta else RUN_EVENTS
     aliases = EVENT_ALIASES_BETA if beta else EVENT_ALIASES
     known = event.isin(*(run + FIELD_EVENTS))
-    alias = F.try_element_at(_lit_map(aliases), F.lower(pystrip(event)))
+    alias = F.try_element_at(_lit_map(aliases), F.lower(event if stripped else pystrip(event)))
     return F.when(known, event).otherwise(F.coalesce(alias, event))
 
 
-def event_to_family(event: Column, gender: Column, *, canonical: bool = False) -> Column:
+def event_to_family(event: Column, gender: Column, *, canonical: bool = False, stripped: bool = False) -> Column:
     """Family that lets indoor and outdoor analogues share one timeline.
 
-    ``canonical=True`` when ``event`` is already canonical (the lookup is idempotent).
+    ``canonical=True`` when ``event`` is already canonical (the lookup is idempotent);
+    ``stripped=True`` when ``gender`` has no surrounding whitespace.
     """
     e = event if canonical else canonical_event(event)
-    g = F.lower(pystrip(gender))
+    g = F.lower(gender if stripped else pystrip(gender))
     return (
         F.when(e.isin(*SAME_NAME_FAMILIES), e)
         .when(e.isin("60 Meters", "100 Meters"), F.lit("short_sprint"))

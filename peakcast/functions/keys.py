@@ -11,12 +11,13 @@ from .text import pystrip
 KEY_SEP = "||"
 
 
-def athlete_key(athlete: Column, gender: Column) -> Column:
-    return F.concat(F.lower(pystrip(athlete)), F.lit(KEY_SEP), pystrip(gender))
+def athlete_key(athlete: Column, gender: Column, *, stripped: bool = False) -> Column:
+    a, g = (athlete, gender) if stripped else (pystrip(athlete), pystrip(gender))
+    return F.concat(F.lower(a), F.lit(KEY_SEP), g)
 
 
-def family_key(athlete: Column, gender: Column, family: Column) -> Column:
-    return F.concat(athlete_key(athlete, gender), F.lit(KEY_SEP), family)
+def family_key(athlete: Column, gender: Column, family: Column, *, stripped: bool = False) -> Column:
+    return F.concat(athlete_key(athlete, gender, stripped=stripped), F.lit(KEY_SEP), family)
 
 
 def event_key(athlete: Column, event: Column, gender: Column) -> Column:

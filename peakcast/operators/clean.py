@@ -59,7 +59,8 @@ def prepare_marks(raw: DataFrame, ordinal_cols: list[str], *, variant: str = "fa
     if blank_as_null:
         df = df.select(*ordinal_cols, ORD, "SeasonYear",
                        *[F.nullif(F.col(c), F.lit("")).alias(c) for c in str_cols])
-    df = df.withColumn("Event", canonical_event(F.col("Event"), beta=beta))
+    # every string column is stripped above, so the helpers skip their own strip
+    df = df.withColumn("Event", canonical_event(F.col("Event"), beta=beta, stripped=True))
     # Parsed intermediates get their own projection: each is referenced several times below,
     # so Catalyst keeps it apart and every parser runs once per row.
     run = RUN_EVENTS_BETA if beta else RUN_EVENTS
@@ -79,9 +80,11 @@ def prepare_marks(raw: DataFrame, ordinal_cols: list[str], *, variant: str = "fa
     if beta:
         df = df.withColumn("key", event_key(F.col("Athlete"), F.col("Event"), F.col("Gender")))
     else:
-        df = (df.withColumn("family", event_to_family(F.col("Event"), F.col("Gender"), canonical=True))
-                .withColumn("ath_key", athlete_key(F.col("Athlete"), F.col("Gender")))
-                .withColumn("fam_key", family_key(F.col("Athlete"), F.col("Gender"), F.col("family"))))
+        df = (df.withColumn("family", event_to_family(F.col("Event"), F.col("Gender"), canonical=True,
+                                                      stripped=True))
+                .withColumn("ath_key", athlete_key(F.col("Athlete"), F.col("Gender"), stripped=True))
+                .withColumn("fam_key", family_key(F.col("Athlete"), F.col("Gender"), F.col("family"),
+                                                  stripped=True)))
     return df.withColumn("season_key", season_key(F.col("SeasonYear"), F.col("SeasonLabel")))
 
 
