@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, token_counts
+from . import chat, decontaminate, licenses, token_counts
 from .common import table
 
 QUERIES: dict = {}
@@ -21,6 +21,58 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_TEMPLATE_ROWS = ", ".join(
+    [f"({-i - 1}, '{p}', '{label}', {len(p.split())})" for i, (p, label) in enumerate(licenses.BASE.items())]
+    + [f"({i}, '{t}', '{label}', {licenses.K})" for i, (label, t) in enumerate(licenses.TEMPLATES)])
+LICENSE_SQL = f"""
+WITH t AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) AS v(template, words, label, k)),
+tg AS (
+  SELECT template, label, k, len(string_split(words, ' ')) AS n, unnest(range(0, len(string_split(words, ' ')) - k + 1)) AS tpos,
+         string_split(words, ' ') AS w FROM t),
+tk AS (SELECT template, label, k, n, tpos, array_to_string(w[tpos + 1:tpos + k], ' ') AS gram FROM tg),
+d AS (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM (SELECT DISTINCT doc_id, text FROM documents)),
+dw AS (SELECT id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM d),
+dg AS (
+  SELECT id, pos, word || ' ' || lead(word, 1) OVER o AS g2, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o AS g3
+  FROM dw WINDOW o AS (PARTITION BY id ORDER BY pos)),
+hits AS (
+  SELECT id, pos, template, label, n, tpos, k FROM dg JOIN tk ON tk.k = 3 AND g3 = gram
+  UNION ALL SELECT id, pos, template, label, n, tpos, k FROM dg JOIN tk ON tk.k = 2 AND g2 = gram),
+base AS (
+  SELECT id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS labels
+  FROM hits WHERE template < 0 GROUP BY id),
+cells AS (SELECT id, template, label, n, pos - tpos AS diagonal, unnest(range(tpos, tpos + k)) AS cell FROM hits WHERE template >= 0),
+diag AS (
+  SELECT id, template, diagonal,
+         CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY id, template ORDER BY diagonal) <= {licenses.SLIP}
+              THEN 0 ELSE 1 END AS new
+  FROM (SELECT DISTINCT id, template, diagonal FROM cells)),
+grp AS (SELECT *, sum(new) OVER (PARTITION BY id, template ORDER BY diagonal) AS span FROM diag),
+spans AS (
+  SELECT id, label, count(DISTINCT cell) / any_value(n)::DOUBLE AS cover
+  FROM cells JOIN grp USING (id, template, diagonal) GROUP BY id, template, label, span),
+found AS (
+  SELECT id, max(cover) AS cover, list(DISTINCT label) FILTER (WHERE cover >= {licenses.COVER}) AS labels FROM spans GROUP BY id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(b.n_base, 0) AS n_base, b.first_word, b.last_word,
+       coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ','), '') AS labels,
+       CASE WHEN b.n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(f.cover, 0.0::DOUBLE) END AS score
+FROM d LEFT JOIN base b USING (id) LEFT JOIN found f USING (id)"""
+
+
+@register("op1_benchmark_decontamination", decontaminate.ORACLE)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op5_license_scan", LICENSE_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 @register("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
