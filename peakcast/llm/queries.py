@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, licenses, token_counts
+from . import chat, decontaminate, licenses, near_dup, token_counts
 from .common import table
 
 QUERIES: dict = {}
@@ -73,6 +73,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+@register("op7_near_duplicates", near_dup.ORACLE)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 @register("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
