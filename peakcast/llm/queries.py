@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, licenses, near_dup, token_counts
+from . import chat, decontaminate, language, licenses, mixing, near_dup, quality, token_counts
 from .common import table
 
 QUERIES: dict = {}
@@ -68,16 +68,32 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@register("op3_source_mixing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix_rates(docs, mixing.languages(docs))
+
+
 @register("op5_license_scan", LICENSE_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+@register("op6_quality_classifier")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("op7_near_duplicates", near_dup.ORACLE)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+@register("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 @register("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
