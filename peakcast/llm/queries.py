@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, language, licenses, mixing, near_dup, quality, token_counts
+from . import ann, chat, decontaminate, language, licenses, mixing, near_dup, quality, token_counts
 from .common import table
 
 QUERIES: dict = {}
@@ -21,6 +21,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op4_nearest_neighbours")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 _TEMPLATE_ROWS = ", ".join(
     [f"({-i - 1}, '{p}', '{label}', {len(p.split())})" for i, (p, label) in enumerate(licenses.BASE.items())]
     + [f"({i}, '{t}', '{label}', {licenses.K})" for i, (label, t) in enumerate(licenses.TEMPLATES)])
