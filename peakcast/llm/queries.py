@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, language, licenses, mixing, near_dup, quality, token_counts
+from . import ann, chat, decontaminate, language, licenses, lm_score, mixing, near_dup, quality, token_counts
 from .common import table
 
 QUERIES: dict = {}
@@ -73,6 +74,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@register("op2_lm_scores", lm_score.ORACLE)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = lm_score.lm_scores(table(spark, sf_dir, "documents"))
+    return s.withColumn("score", F.round("score", 4)).withColumn("mean_score", F.round("mean_score", 4))
+
+
 @register("op3_source_mixing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
