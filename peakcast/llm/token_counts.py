@@ -4,7 +4,7 @@ Tier 1 is a compact table (pre-token -> number of tokens) of frequent pre-tokens
 tier 2 is a cache in each Python worker, filled by encoding the pre-tokens that tier 1 misses. Pre-tokens
 never leave the task that cut them: no shuffle. Both tiers only save work: a count never depends on them.
 
-Tier 1 has at most ``table_size`` entries, the most frequent pre-tokens of ``sample_docs`` documents.
+Tier 1 has at most ``table_size`` entries, the most frequent pre-tokens of a sample of ``sample_docs`` documents.
 """
 
 from __future__ import annotations
@@ -85,24 +85,16 @@ def _counter(path: str, shared) -> TokenCounter:
     return _WORKER[key]
 
 
-def frequent_lengths(docs: DataFrame, path: str, sample_docs: int = 2000, table_size: int = 50_000) -> dict[str, int]:
-    """Tier 1: at most ``table_size`` pre-tokens, so its size doesn't grow with the corpus."""
-    def pre_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c = TokenCounter(path, {})
-        for b in batches:
-            n = Counter()
-            for t in b["text"]:
-                n.update(c.pieces(t) or ())
-            yield pd.DataFrame({"piece": list(n.keys()), "n": list(n.values())})
+def frequent_lengths(docs: DataFrame, path: str, sample_docs: int = 500, table_size: int = 50_000) -> dict[str, int]:
+    """Tier 1, from a bounded sample of rows (``take`` reads only as many partitions as it needs): at most
+    ``table_size`` pre-tokens, so its size doesn't grow with the corpus. The sample decides speed alone."""
+    c, n = TokenCounter(path, {}), Counter()
+    for r in doc_text(docs).select("text").filter(F.col("text").isNotNull()).take(sample_docs):
+        n.update(c.pieces(r["text"]) or ())
+    return {p: c.lengths[p] for p, _ in n.most_common(table_size)}
 
-    top = (doc_text(docs).select("text").filter(F.col("text").isNotNull()).limit(sample_docs)
-           .mapInPandas(pre_tokens, "piece string, n long")
-           .groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(table_size))
-    c = TokenCounter(path, {})
-    return {r["piece"]: c.lengths[r["piece"]] for r in top.select("piece").toLocalIterator()}
 
-
-def token_counts(docs: DataFrame, path: str, limit: int = 2048, sample_docs: int = 2000,
+def token_counts(docs: DataFrame, path: str, limit: int = 2048, sample_docs: int = 500,
                  table_size: int = 50_000) -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > ``limit``): one row per input row.
 
