@@ -19,6 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from peakcast.plans.registry import QUERIES  # noqa: E402
 from peakcast.session import build_session  # noqa: E402
+from peakcast.sources.fixture import SCAN_TASKS  # noqa: E402
 
 HEADLINE = [
     "f1_prepared_marks", "a3_family_season_peaks", "a5_season_table", "w4_next_season_frame",
@@ -39,6 +40,7 @@ def main() -> None:
     names = [n for n in (os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES")
                          else HEADLINE) if n in QUERIES]
     spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus)
+    spark.conf.set(SCAN_TASKS, str(cpus))  # the bench tables are one row group each
     run(spark, names[0], sf)  # warm-up: JVM, codegen cache, file listing
     repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
     times = {}

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# HTML entities decoded in visible text, in the order applied
-# (``&amp;`` last so that ``&amp;lt;`` stays ``&lt;``).
-HTML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                 ("&nbsp;", "\xa0"), ("&amp;", "&"))
+# Named character references come from the standard table (those that end in a semicolon).
+_NAMES = json.dumps({k[:-1]: v for k, v in sorted(html5.items()) if k.endswith(";")}, ensure_ascii=True)
 
 
 # Fixed value: the characters Python's ``str.strip()`` removes (``str.isspace``).
@@ -26,10 +27,30 @@ def slug(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, "[^A-Za-z0-9]+", "_"), "^_+|_+$", "")
 
 
+def _code_point(hex_digits: Column) -> Column:
+    """The character of a code point given in hexadecimal (U+FFFD where there is none)."""
+    bytes_ = F.unhex(F.lpad(hex_digits, 8, "0"))
+    return F.when((F.length(F.ltrim(hex_digits, F.lit("0"))) > 6) | (F.conv(hex_digits, 16, 10).cast("long") > 0x10FFFF)
+                  | F.conv(hex_digits, 16, 10).cast("long").between(0xD800, 0xDFFF) | F.ltrim(hex_digits, F.lit("0")).eqNullSafe(""),
+                  F.lit("\ufffd")).otherwise(F.decode(bytes_, "UTF-32"))
+
+
 def decode_entities(c: Column) -> Column:
-    for ent, ch in HTML_ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    """Character references decoded in one pass (``&amp;lt;`` stays ``&lt;``): decimal, hexadecimal and the
+    standard names. Anything else that begins with ``&`` is text."""
+    names = F.from_json(F.lit(_NAMES), "map<string,string>")
+
+    def one(x: Column, i: Column) -> Column:
+        ref = F.regexp_extract(x, r"^(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]*);", 1)
+        dec = F.regexp_extract(ref, r"^#([0-9]+)$", 1)
+        hexa = F.regexp_extract(ref, r"^#[xX]([0-9a-fA-F]+)$", 1)
+        char = (F.when(ref == "", F.lit(None)).when(dec != "", _code_point(F.hex(dec.cast("long"))))
+                .when(hexa != "", _code_point(hexa)).otherwise(F.try_element_at(names, ref)))
+        return (F.when(i == 0, x).when(char.isNull(), F.concat(F.lit("&"), x))
+                .otherwise(F.concat(char, F.substring(x, F.length(ref) + 2, F.length(x)))))
+
+    pieces = F.split(c, "&", -1)
+    return F.when(c.contains("&"), F.array_join(F.transform(pieces, one), "")).otherwise(c)
 
 
 def visible_text(fragment: Column) -> Column:
@@ -38,8 +59,7 @@ def visible_text(fragment: Column) -> Column:
     The tag strip and the entity decoding only run on text that has a ``<`` / ``&``.
     """
     no_tags = F.when(fragment.contains("<"), F.regexp_replace(fragment, r"\s*<[^>]*>\s*", "")).otherwise(fragment)
-    decoded = F.when(no_tags.contains("&"), decode_entities(no_tags)).otherwise(no_tags)
-    return pystrip(decoded)
+    return pystrip(decode_entities(no_tags))
 
 
 def node_text(fragment: Column, sep: str = " ") -> Column:
@@ -50,8 +70,13 @@ def node_text(fragment: Column, sep: str = " ") -> Column:
 
 
 def url_query_param(url: Column, name: str) -> Column:
-    """First value of a query parameter, '' when absent (never null for a non-null url)."""
-    return F.coalesce(F.try_parse_url(url, F.lit("QUERY"), F.lit(name)), F.lit(""))
+    """First non-blank value of a query parameter, percent-decoded; '' when absent (never null for a non-null url).
+
+    Cut by pattern, so that a URL with blanks or other characters that strict parsers reject still has its values; a
+    value that is no valid percent-encoding stays as it is."""
+    query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
+    value = F.regexp_extract(F.concat(F.lit("&"), query), f"&{name}=([^&]+)", 1)
+    return F.coalesce(F.try_url_decode(value), value, F.lit(""))
 
 
 def url_has_required_query(url: Column) -> Column:
@@ -86,19 +111,17 @@ def team_and_gender_from_title(title: Column) -> tuple[Column, Column]:
 DIVISION_PATTERN = r"(?i)(NCAA\s*Division\s*(I{1,3})|NCAA\s*D[123]|NAIA|NJCAA)"
 
 
+# What a mention (upper case) must hold for each label, first match wins.
+DIVISION_LABELS = ((r"NCAA.*DIVISION\s*III", "NCAA Division III"), (r"NCAA.*DIVISION\s*II", "NCAA Division II"),
+                   (r"NCAA.*DIVISION\s*I", "NCAA Division I"), ("NCAA D1", "NCAA Division I"), ("NCAA D2", "NCAA Division II"),
+                   ("NCAA D3", "NCAA Division III"), ("NAIA", "NAIA"), ("NJCAA", "NJCAA"))
+
+
 def division_from_text(text: Column) -> Column:
-    """First division mention normalised to five labels, else the title-cased match, else Unknown."""
+    """First division mention normalised by DIVISION_LABELS, else the title-cased match, else Unknown."""
     found = F.upper(F.regexp_extract(text, DIVISION_PATTERN, 0))
     found = pystrip(F.replace(found, F.lit("  "), F.lit(" ")))
-    roman = F.regexp_extract(found, r"DIVISION\s*(I{1,3})", 1)
-    return (
-        F.when(found == "", "Unknown")
-        .when(found.contains("NCAA") & found.contains("DIVISION") & (roman != ""),
-              F.concat(F.lit("NCAA Division "), roman))
-        .when(found.contains("NCAA D1"), "NCAA Division I")
-        .when(found.contains("NCAA D2"), "NCAA Division II")
-        .when(found.contains("NCAA D3"), "NCAA Division III")
-        .when(found.contains("NAIA"), "NAIA")
-        .when(found.contains("NJCAA"), "NJCAA")
-        .otherwise(F.initcap(found))
-    )
+    label = F.when(found == "", "Unknown")
+    for pattern, name in DIVISION_LABELS:
+        label = label.when(found.rlike("(?s)" + pattern), name)
+    return label.otherwise(F.initcap(found))

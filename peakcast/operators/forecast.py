@@ -43,10 +43,12 @@ def weighted_mean_loss(per_batch: DataFrame, loss: str = "loss", n: str = "n") -
     return per_batch.agg((F.sum(F.col(loss) * F.col(n)) / F.greatest(F.sum(n), F.lit(1))).alias("mean_loss"))
 
 
-def wide_metrics(per_event: DataFrame, overall: DataFrame, n_events: DataFrame, group: str = "Gender") -> DataFrame:
-    """One row per gender: overall_val_mae, n_events and a ``ValMAE_<event>`` column per event."""
-    wide = (per_event.withColumn("_col", F.concat(F.lit("ValMAE_"), F.col("event")))
-            .groupBy(group).pivot("_col").agg(F.first("val_mae")))
+def wide_metrics(per_event: DataFrame, overall: DataFrame, n_events: DataFrame, events: list[str],
+                 group: str = "Gender") -> DataFrame:
+    """One row per gender: overall_val_mae, n_events and a ``ValMAE_<event>`` column for each of ``events`` (null
+    where the gender has no value). The list fixes the columns, so no job looks for pivot values."""
+    wide = per_event.groupBy(group).agg(*(F.max(F.when(F.col("event") == e, F.col("val_mae"))).alias(f"ValMAE_{e}")
+                                          for e in events))
     return overall.join(n_events, group, "left").join(wide, group, "left")
 
 
@@ -77,8 +79,8 @@ def fit_task_models(ts: DataFrame, min_train: int = 60, keys: list[str] = TASK_K
 
 
 def score_task_models(samples: DataFrame, models: DataFrame, keys: list[str] = TASK_KEYS) -> DataFrame:
-    """Apply the task models; one model row per (event, gender, label) — bounded, so broadcast."""
-    return (samples.join(F.broadcast(models), keys, "inner")
+    """Apply the task models: one model row per (event, gender, label); AQE broadcasts them where they are small."""
+    return (samples.join(models, keys, "inner")
             .withColumn("yhat", F.col("intercept") + F.col("slope") * F.col("peak_value")))
 
 
@@ -184,17 +186,33 @@ def scoring_blocks(subs: DataFrame, seqlen: int = 32, undated_gap_days: int = 0)
     mark_no). Gap: first 0; dated marks count days since the previous dated mark (clipped at 0);
     undated marks get 0 before any dated mark, else ``undated_gap_days``. Indoor wind is 0. Only
     the last ``seqlen`` marks are kept; ``step`` is the position in the left-padded block.
+
+    Three limited ranks run before the shuffle: the newest ``seqlen`` marks, the newest ``seqlen + 1`` dated ones
+    (the predecessor of any kept dated mark is among them, however many undated marks lie between) and the
+    oldest dated one (whether a dated mark precedes an undated one).
     """
     d = parse_date(F.col("date_text"))
     s = subs.select("submission_id", "season_label", "event", "mark_no", d.alias("date"),
                     submitted_mark(F.col("mark"), is_time_event(F.col("event"))).alias("value"),
                     submitted_wind(F.col("wind"), F.col("season_label")).alias("wind"))
-    s = s.filter(F.col("value").isNotNull())
+    # Three branches read the parsed marks: parsed and written once.
+    from ..plans.core import materialize
+    # The drop is a 0-or-1 element generator: a Filter would be pushed below the parsers and run them twice.
+    one = F.array(F.struct(F.col("value").alias("value")))
+    s = s.select("submission_id", "mark_no", "date", "wind", F.inline(F.when(F.col("value").isNotNull(), one)))
+    s = materialize(s, "submissions")
     order = [F.coalesce(F.col("date"), F.to_date(F.lit("2000-01-01"))), F.col("mark_no")]
     w_desc = Window.partitionBy("submission_id").orderBy(*[o.desc() for o in order])
-    # Newest seqlen + 1 marks first: the limit runs before the shuffle (skew-safe), and the
-    # extra mark is the predecessor of the oldest kept one.
-    s = s.withColumn("_rn_desc", F.row_number().over(w_desc)).filter(F.col("_rn_desc") <= seqlen + 1)
+    rank = F.row_number().over(w_desc)
+    dated = s.filter(F.col("date").isNotNull())
+    newest = s.withColumn("_rn_desc", rank).filter(F.col("_rn_desc") <= seqlen)
+    before = dated.withColumn("_r", rank).filter(F.col("_r") <= seqlen + 1).drop("_r")
+    oldest = (dated.withColumn("_r", F.row_number().over(Window.partitionBy("submission_id").orderBy(*order)))
+              .filter(F.col("_r") <= 1).drop("_r"))
+    no_rank = F.lit(None).cast("int").alias("_rn_desc")
+    s = (newest.unionByName(before.select("*", no_rank)).unionByName(oldest.select("*", no_rank))
+         .groupBy("submission_id", "mark_no").agg(F.first("date").alias("date"), F.first("value").alias("value"),
+                                                  F.first("wind").alias("wind"), F.max("_rn_desc").alias("_rn_desc")))
     w = Window.partitionBy("submission_id").orderBy(*order)
     prev_dated = F.last("date", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     gap = (F.when(F.col("date").isNull(), F.when(prev_dated.isNull(), F.lit(0)).otherwise(F.lit(undated_gap_days)))

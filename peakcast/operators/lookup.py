@@ -1,8 +1,8 @@
 """Event lookup for submitted requests: by 1-based list position, exact name, or unique substring.
 
-The event side is a model's event vocabulary (one row per trained event and gender), a
-table bounded by the number of event names, not by the data; it is joined on gender,
-with the substring test as a join condition inside each gender's small list.
+The event side is a model's event vocabulary (one row per trained event and gender). Requests are
+reduced to distinct texts first; one join on gender carries all three tests as its condition, and
+one conditional aggregation picks the answer.
 """
 
 from __future__ import annotations
@@ -19,17 +19,14 @@ def resolve_events(requests: DataFrame, events: DataFrame) -> DataFrame:
     status: ok / ambiguous (several substring matches) / not_found.
     """
     req = requests.select("gender", "text").distinct().withColumn("_raw", pystrip(F.col("text")))
-    ev = F.broadcast(events.select(F.col("Gender").alias("_g"), F.col("event").alias("_e"),
-                                   F.col("event_id").alias("_id")))
-    same_g = F.col("gender") == F.col("_g")
-    digits = F.col("_raw").rlike("^[0-9]+$")
-    pos = (req.join(ev, same_g & digits & ((F.col("_raw").try_cast("long") - 1) == F.col("_id")))
-           .select("gender", "text", F.col("_e").alias("_pos")))
-    name = req.join(ev, same_g & (F.col("_raw") == F.col("_e"))).select("gender", "text", F.col("_e").alias("_name"))
-    sub = (req.join(ev, same_g & F.lower(F.col("_e")).contains(F.lower(F.col("_raw"))))
-           .groupBy("gender", "text").agg(F.count(F.lit(1)).alias("_n"), F.min("_e").alias("_sub")))
-    out = (req.join(pos, ["gender", "text"], "left").join(name, ["gender", "text"], "left")
-           .join(sub, ["gender", "text"], "left"))
+    ev = events.select(F.col("Gender").alias("_g"), F.col("event").alias("_e"), F.col("event_id").alias("_id"))
+    at = F.col("_raw").rlike("^[0-9]+$") & ((F.col("_raw").try_cast("long") - 1) == F.col("_id"))
+    name = F.col("_raw") == F.col("_e")
+    sub = F.lower(F.col("_e")).contains(F.lower(F.col("_raw")))
+    found = req.join(ev, (F.col("gender") == F.col("_g")) & (at | name | sub), "left")
+    out = found.groupBy("gender", "text").agg(
+        F.min(F.when(at, F.col("_e"))).alias("_pos"), F.min(F.when(name, F.col("_e"))).alias("_name"),
+        F.count_if(sub).alias("_n"), F.min(F.when(sub, F.col("_e"))).alias("_sub"))
     event = F.coalesce(F.col("_pos"), F.col("_name"), F.when(F.col("_n") == 1, F.col("_sub")))
     status = F.when(event.isNotNull(), "ok").when(F.col("_n") > 1, "ambiguous").otherwise("not_found")
     return out.select("gender", "text", event.alias("event"), status.alias("status"))

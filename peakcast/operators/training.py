@@ -1,10 +1,10 @@
 """Training-set construction: time split, rare-event filter, event ids, per-event z-scores.
 
-Per-gender work is a grouping key, never a driver loop. The small per-gender and
-per-(gender, event) tables (has-training flags, allowed events, ids, statistics)
-are aggregates whose size is bounded by the event vocabulary (one row per event
-name and gender), not by the data, so they are broadcast explicitly: a shuffle
-join keyed on gender would otherwise put every sample of a gender in one task.
+Per-gender work is a grouping key, never a driver loop and never a collect. Per-group
+flags and per-(gender, event) statistics are aggregates joined back without a forced
+hint: event names are free text, so their number is not bounded in advance; AQE
+broadcasts the aggregate where its measured size allows and splits skewed partitions
+otherwise.
 """
 
 from __future__ import annotations
@@ -20,7 +20,15 @@ MIN_TRAIN_PER_EVENT = 60
 SPLIT_SEED = 42
 
 
-BUCKET_BITS = 16  # 65,536 hash buckets per group for the exact seeded ranking
+ROWS_PER_BUCKET = 4096  # rows that one task ranks at a time, about
+
+
+def same_group(left: DataFrame, right: DataFrame, cols: list[str]):
+    """Null-safe equality of the columns (a null group is a group)."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & left[c].eqNullSafe(right[c])
+    return cond
 
 
 def seeded_rank(df: DataFrame, group_cols: list[str], key_cols: list[str], seed: int) -> DataFrame:
@@ -28,18 +36,21 @@ def seeded_rank(df: DataFrame, group_cols: list[str], key_cols: list[str], seed:
 
     The shuffle order is (xxhash64(key, seed), key). Instead of one window over a whole group
     (which could hold a third of all rows), rows are counted per (group, top hash bits) bucket
-    with a partial aggregate, a running sum over at most 2^16 buckets per group gives each
-    bucket's start, and rows are ranked only inside their bucket, which hashing keeps small.
+    with a partial aggregate, a running sum over the buckets of a group gives each bucket's start,
+    and rows are ranked only inside their bucket. The number of buckets follows the counted rows
+    (ROWS_PER_BUCKET each), so a bucket stays small at any size. Null groups are groups.
     Reproducible under any partitioning.
     """
+    bits = min(40, max(1, (df.count() // ROWS_PER_BUCKET).bit_length()))
     h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
-    d = df.withColumn("_h", h).withColumn("_b", F.shiftright(F.col("_h"), 64 - BUCKET_BITS))
+    d = df.withColumn("_h", h).withColumn("_b", F.shiftright(F.col("_h"), 64 - bits))
     counts = d.groupBy(*group_cols, "_b").agg(F.count(F.lit(1)).alias("_c"))
     w_cum = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     starts = (counts.withColumn("_start", F.sum("_c").over(w_cum) - F.col("_c"))
               .withColumn("_n", F.sum("_c").over(Window.partitionBy(*group_cols))).drop("_c"))
     w_in = Window.partitionBy(*group_cols, "_b").orderBy("_h", *key_cols)
-    return (d.join(starts, [*group_cols, "_b"])
+    return (d.join(starts, same_group(d, starts, group_cols) & (d["_b"] == starts["_b"]))
+            .select(d["*"], starts["_start"], starts["_n"])
             .withColumn("_rank", F.col("_start") + F.row_number().over(w_in) - 1)
             .drop("_h", "_b", "_start"))
 
@@ -62,26 +73,20 @@ def time_split(samples: DataFrame, *, train_max_year: int = TRAIN_MAX_YEAR, vali
                key_cols: tuple[str, ...] = ("fam_key", "season_key")) -> DataFrame:
     """Add ``split`` (train / val / test / null) by sample year.
 
-    A group (gender) without any training row falls back to a seeded random split with exact
-    sizes: the first floor(fallback[0] * n) rows of the shuffle are train, up to floor(fallback[1] * n)
+    A group (gender; null is a group of its own) without any training row falls back to a seeded
+    random split with exact sizes: the first floor(fallback[0] * n) rows of the shuffle are train, up to floor(fallback[1] * n)
     validation, the rest test (0.8 / 1.0 for the main model, 0.7 / 0.85 for the per-label one).
     """
     yr = F.col("SeasonYear")
     by_year = F.when(yr <= train_max_year, "train").when(yr == valid_year, "val")
     if test_min_year is not None:
         by_year = by_year.when(yr >= test_min_year, "test")
-    # Which groups lack training rows: one small aggregate, at most one row per group value.
-    lacking = [r[0] for r in (samples.groupBy(group)
-                              .agg(F.max((yr <= train_max_year).cast("int")).alias("_t"))
-                              .filter(F.col("_t") == 0).select(group).collect())]
-    timed = samples.withColumn("split", by_year)
-    if not lacking:
-        return timed
-    fb = samples.filter(F.col(group).isin(lacking))
-    ranked = seeded_rank(fb, [group], list(key_cols), seed)
+    flags = samples.groupBy(group).agg(F.coalesce(F.max((yr <= train_max_year).cast("int")), F.lit(0)).alias("_t"))
+    flagged = samples.join(flags, same_group(samples, flags, [group])).select(samples["*"], flags["_t"])
+    timed = flagged.filter(F.col("_t") == 1).drop("_t").withColumn("split", by_year)
+    ranked = seeded_rank(flagged.filter(F.col("_t") == 0).drop("_t"), [group], list(key_cols), seed)
     random_split = fraction_split(F.col("_rank"), F.col("_n"), fallback[0], fallback[1])
-    return (timed.filter(~F.col(group).isin(lacking))
-            .unionByName(ranked.withColumn("split", random_split).drop("_rank", "_n")))
+    return timed.unionByName(ranked.withColumn("split", random_split).drop("_rank", "_n"))
 
 
 def task_split(samples: DataFrame, task_keys: list[str], *, min_train: int = MIN_TRAIN_PER_EVENT,
@@ -94,7 +99,8 @@ def task_split(samples: DataFrame, task_keys: list[str], *, min_train: int = MIN
     by_year = (F.when(yr <= train_max_year, "train").when(yr == valid_year, "val")
                .when(yr >= test_min_year, "test"))
     n_train = samples.groupBy(*task_keys).agg(F.count_if(yr <= train_max_year).alias("_ntr"))
-    ranked = seeded_rank(samples, task_keys, list(key_cols), seed).join(n_train, task_keys)
+    ranked = seeded_rank(samples, task_keys, list(key_cols), seed)
+    ranked = ranked.join(n_train, same_group(ranked, n_train, task_keys)).select(ranked["*"], n_train["_ntr"])
     a = F.greatest(F.lit(min_train), F.floor(F.col("_n") * 0.7).cast("long"))
     fallback = F.col("_ntr") < min_train
     return (ranked.filter(~fallback | (a < F.col("_n")))
@@ -136,12 +142,18 @@ def training_set(samples: DataFrame, *, train_max_year: int = TRAIN_MAX_YEAR, va
     """Samples with split, kept only for allowed events, with event_id, mu, sd and z = (y - mu) / sd."""
     s = time_split(samples, train_max_year=train_max_year, valid_year=valid_year,
                    test_min_year=test_min_year, group=group, seed=seed, fallback=fallback)
-    allowed = allowed_events(s, min_train, group)
-    kept = s.join(F.broadcast(allowed.select(group, "event")), [group, "event"], "left_semi")
-    ids = event_ids(allowed, group)
-    stats = event_stats(kept, group)
-    return (kept.join(F.broadcast(ids), [group, "event"], "inner").join(F.broadcast(stats), [group, "event"], "inner")
-            .withColumn("z", (F.col("y") - F.col("mu")) / F.col("sd")))
+    # One grouped pass gives the training count, mean and deviation of each event; allowed events, ids and
+    # statistics all come from it, and one join brings them to the samples.
+    tr = F.col("split") == "train"
+    st = (s.groupBy(group, "event").agg(F.count_if(tr).alias("_n"), F.avg(F.when(tr, F.col("y"))).alias("_mu"),
+                                        F.stddev_pop(F.when(tr, F.col("y"))).alias("_sd"))
+          .filter(F.col("_n") >= min_train))
+    mu = F.when(F.col("_n") > 0, F.col("_mu")).otherwise(F.lit(0.0))
+    sd = F.when(F.col("_n") > 0, F.col("_sd")).otherwise(F.lit(1.0))
+    w = Window.partitionBy(group).orderBy("event")
+    st = st.select(group, "event", (F.row_number().over(w) - 1).alias("event_id"), mu.alias("mu"),
+                   F.when(sd < 1e-6, F.lit(1.0)).otherwise(sd).alias("sd"))
+    return s.join(st, [group, "event"]).withColumn("z", (F.col("y") - F.col("mu")) / F.col("sd"))
 
 
 def task_counts(ts: DataFrame, keys: list[str]) -> DataFrame:

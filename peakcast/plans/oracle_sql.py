@@ -9,7 +9,10 @@ Doubles are rounded to 6 decimals and dates rendered as text in both engines.
 from __future__ import annotations
 
 from ..functions.events import EVENT_ALIASES, FIELD_EVENTS, RUN_EVENTS, SAME_NAME_FAMILIES
-from ..functions.text import HTML_ENTITIES, PY_WHITESPACE
+from ..functions.text import PY_WHITESPACE
+
+# Character references that occur in the pages (decoded in order, the ampersand last).
+HTML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", chr(160)), ("&amp;", "&"))
 
 NUM = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 TIME2 = rf"^\s*([+-]?[0-9]+)\s*:\s*({NUM})\s*$"
@@ -103,6 +106,12 @@ def _dist(col: str) -> str:
      WHEN regexp_matches({lo}, '{METRES}') THEN TRY_CAST(regexp_extract({lo}, '{METRES}', 1) AS DOUBLE) END"""
 
 
+def decode_sql(col: str) -> str:
+    for ent, ch in HTML_ENTITIES:
+        col = f"replace({col}, {_q(ent)}, {_q(ch)})"
+    return col
+
+
 def node_text_sql(col: str) -> str:
     """Text nodes stripped, empties dropped, joined by one space, entities decoded (SQL twin)."""
     dec = "x"

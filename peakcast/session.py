@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -10,34 +11,39 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "peakcast") -> SparkSession:
-    """Session with AQE on, UTC time zone and no UI. On a cluster, pass ``master=None``."""
+    """Session with AQE on, UTC time zone and no UI. On a cluster, pass ``master=None``.
+
+    Shuffle partitions and driver memory are left to Spark and the submit command unless asked for."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    cpus = os.environ.get("BENCH_CPUS")
-    parts = shuffle_partitions or (int(cpus) if cpus else 8)
     b = (b.config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false")
-          .config("spark.sql.shuffle.partitions", str(parts))
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.codegen.hugeMethodLimit", os.environ.get("PEAKCAST_HUGE_METHOD_LIMIT", "8000"))
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
-          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-          .config("spark.driver.memory", os.environ.get("PEAKCAST_DRIVER_MEMORY", "16g")))
+          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if os.environ.get("PEAKCAST_DRIVER_MEMORY"):
+        b = b.config("spark.driver.memory", os.environ["PEAKCAST_DRIVER_MEMORY"])
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set a scratch one only where it is unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``. Where it is unset, a local session (one machine) gets
+    a scratch folder; on a cluster that would be each machine's own disk, so it is an error."""
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="peakcast-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

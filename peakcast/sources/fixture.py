@@ -93,23 +93,14 @@ def raw_marks_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
+#: Session setting: repartition narrow scans of the source table to so many tasks. Unset, scans stay as they are.
+#: A benchmark over a file of one row group sets it; a table of many splits has no use for it.
+SCAN_TASKS = "spark.peakcast.scanTasks"
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a narrow scan at least the cluster's default parallelism.
-
-    A file that is a single row group scans as one task, which would leave every
-    row-level parser before the first shuffle on one core. Only when the scan has
-    fewer partitions than ``defaultParallelism`` is it hash-repartitioned on its row
-    key (deterministic, no sort), after column pruning; a large input already has
-    more splits than cores and is left untouched (no shuffle).
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # sessions without the RDD API: leave the scan as it is
-        return df
-    if have < want:
-        return df.repartition(want, *keys) if keys else df.repartition(want)
-    return df
+    n = df.sparkSession.conf.get(SCAN_TASKS, None)
+    return df.repartition(int(n), *keys) if n else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

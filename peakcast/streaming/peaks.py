@@ -1,15 +1,11 @@
 """ST2: season peaks kept current as marks arrive.
 
-A stateful streaming aggregation per (key, season) keeps min, max, count and the
-two orientation flags in the state store (map-side partial aggregation per
-micro-batch, state sized by the number of seasons, not marks). In update mode
-each trigger emits only the seasons it changed; ``foreachBatch`` merges them
-into a versioned Parquet table (anti-join the changed keys out of the previous
-version, union the new rows, write version ``v<batch_id>``). Writing a version
-per batch id makes a retried batch idempotent.
-
-Orientation must not depend on arrival order: a season whose marks agree on
-``is_time`` uses that; a mixed season falls back to the event-name keyword rule.
+A stateful streaming aggregation per (key, season) keeps min, max, count and, by ``min_by`` over the source
+position, the first row's orientation and attributes: all order-free, so the result equals the batch result
+whatever order marks arrive in. State is sized by the number of seasons, not marks. In update mode each
+trigger emits only the seasons it changed; ``foreachBatch`` merges them into a Parquet table cut into hash
+buckets of the key and rewrites only the buckets that changed. A retried batch replaces the same rows by the
+same values.
 """
 
 from __future__ import annotations
@@ -17,50 +13,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import is_time_event
-from ..operators.clean import prepare_marks
-from ..session import list_dirs, path_exists
+from ..operators.clean import ORD, prepare_marks
+from ..session import path_exists
 
 KEYS = ["fam_key", "season_key"]
+ATTRS = ("SeasonYear", "SeasonLabel", "Gender", "family")
+BUCKETS = 64
 
 
 def streaming_peak_state(marks: DataFrame) -> DataFrame:
     agg = marks.groupBy(*KEYS).agg(
         F.min("value").alias("_mn"), F.max("value").alias("_mx"), F.count(F.lit(1)).alias("n_marks"),
-        F.bool_and("is_time").alias("_all_t"), F.bool_or("is_time").alias("_any_t"),
-        F.max("SeasonYear").alias("SeasonYear"), F.max("SeasonLabel").alias("SeasonLabel"),
-        F.max("Gender").alias("Gender"), F.max("family").alias("family"))
-    is_time = F.when(F.col("_all_t") == F.col("_any_t"), F.col("_all_t")).otherwise(is_time_event(F.col("family")))
-    return agg.select(*KEYS, "SeasonYear", "SeasonLabel", "Gender", "family", is_time.alias("is_time"),
-                      F.when(is_time, F.col("_mn")).otherwise(F.col("_mx")).alias("peak_value"), "n_marks")
-
-
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed versions (those with a _SUCCESS marker), via the Hadoop file system of ``root``."""
-    out = []
-    for d in list_dirs(spark, root):
-        if d.startswith("v") and d[1:].isdigit() and path_exists(spark, f"{root}/{d}/_SUCCESS"):
-            out.append(int(d[1:]))
-    return sorted(out)
+        F.min_by("is_time", F.col(ORD)).alias("is_time"),
+        *[F.min_by(F.col(a), F.when(F.col(a).isNotNull(), F.col(ORD))).alias(a) for a in ATTRS])
+    return agg.select(*KEYS, *ATTRS, "is_time", F.when(F.col("is_time"), F.col("_mn")).otherwise(F.col("_mx")).alias("peak_value"),
+                      "n_marks")
 
 
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    v = _versions(spark, root)
-    return f"{root}/v{v[-1]}" if v else None
+def merge_batch(root: str, buckets: int = BUCKETS):
+    """foreachBatch function: ``<root>/table`` has one folder for each bucket of keys."""
+    table, staged = f"{root}/table", f"{root}/staged"
 
-
-def merge_batch(root: str):
     def _merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = [v for v in _versions(spark, root) if v < batch_id]
-        merged = batch
-        if prev:
-            old = spark.read.parquet(f"{root}/v{prev[-1]}")
-            merged = old.join(batch.select(*KEYS), KEYS, "left_anti").unionByName(batch)
-        merged.write.mode("overwrite").parquet(f"{root}/v{batch_id}")
+        new = batch.withColumn("bucket", F.pmod(F.xxhash64("fam_key"), F.lit(buckets)).cast("int")).persist()
+        merged = new
+        if path_exists(spark, f"{table}/_SUCCESS"):
+            old = spark.read.parquet(table)
+            touched = old.join(new.select("bucket").distinct(), "bucket", "left_semi")
+            merged = touched.join(new.select(*KEYS), KEYS, "left_anti").unionByName(new)
+        # Staged first: the table's own files are read above, so they cannot be overwritten in the same job.
+        merged.write.mode("overwrite").parquet(staged)
+        (spark.read.schema(merged.schema).parquet(staged).repartition("bucket").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(table))
+        new.unpersist()
     return _merge
 
 
+def read_peaks(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/table").drop("bucket")
+
+
 def stream_peaks(spark: SparkSession, raw_dir: str, raw_schema: str, ordinal_cols: list[str], out_root: str,
                  checkpoint: str, files_per_trigger: int = 1):
     """Start the incremental peak query over raw mark files; returns the StreamingQuery (availableNow)."""
