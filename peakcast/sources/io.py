@@ -38,9 +38,10 @@ def read_catalogue_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite", single_file: bool = False) -> None:
-    """CSV with header (append mode adds files; a header is written once per file)."""
+    """CSV with header (append mode adds files; a header is written once per file). Blanks around texts are kept."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", True).csv(path)
+    (out.write.mode(mode).option("header", True)
+     .csv(path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False))
 
 
 # ---- S2 / S4: structured NPY arrays -------------------------------------------------------------
