@@ -6,10 +6,13 @@ Jaccard similarity. Values are banded; documents that share a band are candidate
 confirmed on the full shingle sets.
 
 * Equal sets are one class from the start (their number never matters afterwards).
-* A bucket of m classes first proposes m - 1 pairs, each class with a leader that differs from bucket to bucket;
-  a class tests its most frequent leaders. Confirmed links merge classes into components.
-* What is left are pairs of different components that share a bucket. All of these are tested, so no link
-  between components is given up; links inside a component would change nothing.
+* A bucket of m classes first proposes m - 1 pairs, each class with the bucket's leader, the class that meets others
+  most often (of near copies of a text, the one closest to it). A class tests its most frequent leaders. Confirmed
+  links merge classes into components.
+* What is left are links between different components; links inside a component would change nothing. Classes in
+  buckets that hold several components are joined on the prefixes of their sets: with shingles in one order for all,
+  rarest first, two sets that meet the threshold share one of the first n - ceil(threshold * n) + 1 of either, and
+  enough can follow it in both. So no link is given up, and near copies that differ too much, each in its own way, don't meet as pairs at all.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ MISS = 1e-6
 #: Ids (8 bytes each) up to which the candidates' ids are broadcast to fetch their texts.
 BROADCAST_IDS = 2_000_000
 LEADERS = 2
-STAR_ROUNDS = 2
+#: Slots of the shingle counts that give the order of shingles: its broadcast has 4 bytes each.
+SLOTS = 1 << 21
 
 
 def n_bands(percent: int) -> int:
@@ -130,6 +134,44 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(work, "doc_id long, set1 long, set2 long, shingles array<long>")
 
 
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(shingle, id, comp, n, rest) for the shingles in each set's prefix, from (id, comp, n, shingles); ``rest`` counts
+    the set's shingles from this one on. The order is by how often a shingle's slot occurs in these sets, then by the shingle: counts that share a slot only cost time."""
+    spark = sets.sparkSession
+
+    def count(batches):
+        n = np.zeros(SLOTS, np.int64)
+        for b in batches:
+            n += np.bincount(np.asarray(b.column(0).flatten(), np.int64).view(U) & U(SLOTS - 1), minlength=SLOTS)
+        at = np.flatnonzero(n)
+        for lo in range(0, len(at), 100_000):
+            part = at[lo:lo + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(n[part])], names=["slot", "n"])
+
+    got = (sets.select("shingles").mapInArrow(count, "slot int, n long").groupBy("slot")
+           .agg(F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n")).toArrow())  # SLOTS rows at most
+    table = np.zeros(SLOTS, np.int32)
+    table[np.asarray(got.column("slot"))] = np.asarray(got.column("n"))
+    shared = spark.sparkContext.broadcast(table)
+
+    def first(batches):
+        for b in (x.slice(lo, 1000) for x in batches for lo in range(0, len(x), 1000)):
+            lists = b.column(3)
+            flat = np.asarray(lists.flatten(), np.int64).view(U)
+            off = np.append(0, np.cumsum(np.asarray(lists.value_lengths(), np.int64)))
+            n = np.diff(off)
+            owner = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((flat, shared.value[flat & U(SLOTS - 1)], owner))
+            length = n + (-percent * n // 100) + 1  # n - ceil(percent * n / 100) + 1
+            at = np.arange(len(flat)) - off[owner]
+            inside = at < length[owner]
+            rows = pa.array(owner[inside])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[order[inside]].view(np.int64)), *(b.column(i).take(rows) for i in range(3)),
+                                              pa.array((n[owner] - at)[inside])], names=["shingle", "id", "comp", "n", "rest"])
+
+    return sets.select("id", "comp", "n", "shingles").mapInArrow(first, "shingle long, id long, comp long, n long, rest long")
+
+
 def components(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` (id, comp) after merging the comps that ``links`` (a, b: comps) connect, as (id, comp).
 
@@ -177,8 +219,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     reps = stored(sig.filter(F.col("n_shingles") > 0).groupBy("set1", "set2")
                   .agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n"), F.min("bands").alias("bands")), "classes")
     members = reps.select(F.explode("bands").alias("bucket"), "id", "n")
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > 1).select("bucket")
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > 1)
     members = stored(members.join(shared, "bucket"), "members")
+    popular = stored(members.groupBy("id").agg(F.sum("m").alias("met")), "popular")
     wanted = stored(members.select("id").distinct().join(reps.select("id", "set1", "set2"), "id"), "candidates")
     texts = doc_text(docs).join(broadcast_if_small(wanted.select(F.col("id").alias("doc_id")), BROADCAST_IDS), "doc_id")
     sets = stored(shingle_sets(texts).withColumnRenamed("doc_id", "id").join(wanted, ["id", "set1", "set2"])
@@ -186,23 +229,27 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     labels = wanted.select("id", F.col("id").alias("comp"))
     tested = None
 
-    for rnd in range(STAR_ROUNDS + 1):
+    for proposal in ("leaders", "prefixes"):
         at = members.join(labels, "id")
         # Only buckets that still hold different components go on.
         open_ = at.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter(F.col("x") != F.col("y")).select("bucket")
-        at = stored(at.join(open_, "bucket"), "open")
+        at = stored(at.join(open_, "bucket").join(popular, "id"), "open")
         if at.isEmpty():
             break
         near = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
-        if rnd < STAR_ROUNDS:
-            lead = at.groupBy("bucket").agg(F.min(F.struct(F.xxhash64(F.lit(rnd), "id", "bucket").alias("h"), F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))).alias("l")).select("bucket", "l.id2", "l.n2", "l.comp2")
+        if proposal == "leaders":
+            lead = at.groupBy("bucket").agg(F.min(F.struct((-F.col("met")).alias("h"), F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))).alias("l")).select("bucket", "l.id2", "l.n2", "l.comp2")
             found = at.join(lead, "bucket").filter((F.col("comp") != F.col("comp2")) & near)
             votes = found.groupBy("id", "id2").agg(F.count(F.lit(1)).alias("votes"))
             top = W.partitionBy("id").orderBy(F.desc("votes"), "id2")
             pairs = votes.withColumn("r", F.row_number().over(top)).filter(F.col("r") <= LEADERS)
         else:
-            other = at.select("bucket", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-            pairs = at.join(other, "bucket").filter((F.col("id") < F.col("id2")) & (F.col("comp") != F.col("comp2")) & near)
+            left = at.groupBy("id").agg(F.min("comp").alias("comp"), F.min("n").alias("n"))
+            p = stored(prefixes(sets.join(left, "id"), percent), "prefixes")
+            other = p.select("shingle", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("rest").alias("rest2"))
+            # From a pair's first common shingle on, both must have as many as the threshold asks them to share.
+            enough = F.least("rest", "rest2") * (100 + percent) >= percent * (F.col("n") + F.col("n2"))
+            pairs = p.join(other, "shingle").filter((F.col("id") < F.col("id2")) & (F.col("comp") != F.col("comp2")) & near & enough)
         pairs = pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
