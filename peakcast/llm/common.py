@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..session import scratch_path
 
@@ -36,3 +37,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """``broadcast`` hint only when the table, already stored, is counted at no more than ``max_rows`` rows;
     beyond it the join is left to Spark (shuffled, AQE may split skewed partitions)."""
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def smallest_by_hash(df: DataFrame, group: str, key: str, limit: int, salts: int = 16) -> DataFrame:
+    """Of each value of ``group``, the ``limit`` rows of smallest hash of ``key``. The limit is applied in each task, then
+    in each of ``salts`` parts of a group, and only then to the group, so no task gets more than salts * limit rows."""
+    h = F.xxhash64(key)
+    first = W.partitionBy(group, "__salt").orderBy("__hash", key)
+    last = W.partitionBy(group).orderBy("__hash", key)
+    d = df.withColumn("__hash", h).withColumn("__salt", F.pmod(F.xxhash64(F.lit("salt"), key), F.lit(salts)))
+    for w in (first, last):
+        d = d.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") <= limit).drop("__rank")
+    return d.drop("__hash", "__salt")

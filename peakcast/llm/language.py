@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import doc_text, fold
+from .common import doc_text, fold, smallest_by_hash
 from .textio import Texts, chunks
 
 FOLDS, HELD_OUT = 3, 1
@@ -105,8 +105,7 @@ def training_ids(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """doc_id, lang of at most ``max_train`` documents for each language, outside the held-out fold."""
     d = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
          .filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT)))
-    by = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")  # the limit below is applied before the shuffle, too
-    return d.withColumn("r", F.row_number().over(by)).filter(F.col("r") <= max_train).select("doc_id", "lang").distinct()
+    return smallest_by_hash(d, "lang", "doc_id", max_train).distinct()
 
 
 def learn(docs: DataFrame, max_train: int = MAX_TRAIN, top: int = TOP) -> Profiles:

@@ -18,9 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from .common import doc_text, stored
+from .common import doc_text, smallest_by_hash, stored
 from .textio import SPACE_TABLE, U, Texts, chunks, words
 
 BITS = 16
@@ -54,8 +53,7 @@ def learn(docs: DataFrame, labelled: DataFrame, max_train: int = MAX_TRAIN) -> D
              .filter(F.col("doc_id").isNotNull() & F.col("domain").isNotNull()))
     share = {r["domain"]: r["n"] for r in known.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = sorted(share)
-    by = W.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")  # applied before the shuffle, too
-    ids = known.withColumn("r", F.row_number().over(by)).filter(F.col("r") <= max_train).select("doc_id", "domain").distinct()
+    ids = smallest_by_hash(known, "domain", "doc_id", max_train).distinct()
 
     def work(batches):
         for b in batches:
