@@ -15,6 +15,7 @@ import os
 import sys
 import time
 
+os.environ.setdefault("PEAKCAST_DRIVER_MEMORY", "16g")  # local mode: the driver is the only worker
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from peakcast.plans.registry import QUERIES  # noqa: E402
