@@ -4,13 +4,14 @@ Centroids come from bisecting a bounded sample into halves of equal size, again
 They are searched by walking an in-memory graph that links each centroid to its nearest ones. Every vector is
 listed at its nearest centroid and, if it lies near a border, at the others whose distance is at most
 ``1 + BORDER`` times the least (MAX_COPIES at most). A query visits the lists whose centroid's distance is at
-most ``1 + REACH`` times that of its nearest one.
+most ``1 + REACH`` times that of its nearest one, and LEAST_LISTS lists at least.
 
 Lists and the queries that visit them are cut into blocks of bounded size, and the blocks are joined on the list,
 so that a long list is many rows of work. Equal vectors are listed once with their smallest ids: with k results
 wanted, no query can need more than the k + 1 smallest.
 
-SAMPLE_FLOATS bounds the sample; the number of centroids is at most a quarter of the sample. All vectors are
+SAMPLE_FLOATS bounds the sample. There are about as many lists as a list has vectors (the root of their number),
+which balances the search for lists against their scans, but a quarter of the sample at most. All vectors are
 listed. Recall is measured against brute force in the tests.
 """
 
@@ -27,8 +28,10 @@ from pyspark.sql import Window as W
 from .common import stored
 
 SAMPLE_FLOATS = 2_000_000
-LIST_SIZE, BLOCK = 64, 256
-BORDER, MAX_COPIES, REACH = 0.1, 8, 0.28
+BLOCK = 256
+#: Results that a task holds before it cuts them down to each query's best.
+HELD = 400_000
+BORDER, MAX_COPIES, REACH, LEAST_LISTS = 0.1, 8, 0.28, 12
 LINKS = 16
 
 
@@ -38,9 +41,10 @@ class Index:
     centroids: np.ndarray
     links: np.ndarray
 
-    def near(self, x: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def near(self, x: np.ndarray, ratio: float, least: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, centroid, distance) of the centroids within ``ratio`` times a row's least distance, as the graph finds
-        them: from the entry, all found centroids within the ratio are expanded until none is left."""
+        them: from the entry, all found centroids within the ratio are expanded until none is left. Of the others that
+        were met on the way, the nearest are added up to ``least`` centroids."""
         n, c = len(x), len(self.centroids)
         dist = np.full((n, c), np.inf, np.float32)
         expanded = np.zeros((n, c), bool)
@@ -53,7 +57,10 @@ class Index:
             reached = np.zeros((n, c), bool)
             reached[np.repeat(r, self.links.shape[1]), self.links[k].reshape(-1)] = True
             rows, cols = np.nonzero(reached & np.isinf(dist))
-        r, k = np.nonzero(dist <= (dist.min(axis=1) * ratio + 1e-9)[:, None])
+        keep = dist <= (dist.min(axis=1) * ratio + 1e-9)[:, None]
+        first = np.argpartition(dist, min(least, c) - 1, axis=1)[:, :min(least, c)]
+        np.put_along_axis(keep, first, True, axis=1)
+        r, k = np.nonzero(keep & np.isfinite(dist))
         return r, k, dist[r, k]
 
 
@@ -131,16 +138,16 @@ def nearest(embeddings: DataFrame, is_query, k: int = 5) -> DataFrame:
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = _vectors(sample.column("v").combine_chunks())
-    lists = 1 << max(0, int(np.log2(max(1, min(n / LIST_SIZE, len(sample) / 4)))))
+    lists = 1 << max(0, round(np.log2(max(1, min(np.sqrt(n), len(sample) / 4)))))
     shared = spark.sparkContext.broadcast(build_index(sample, lists))
 
-    def listed(ratio: float, copies: int | None):
+    def listed(ratio: float, copies: int | None, least: int = 1):
         def work(batches):
             for b in batches:
                 for lo in range(0, len(b), 512):
                     part = b.slice(lo, 512)
                     x = _units(_vectors(part.column("v"))).astype(np.float32)
-                    r, c, d = shared.value.near(x, ratio)
+                    r, c, d = shared.value.near(x, ratio, least)
                     if copies is not None:
                         order = np.lexsort((c, d, r))
                         r, c = r[order], c[order]
@@ -160,9 +167,23 @@ def nearest(embeddings: DataFrame, is_query, k: int = 5) -> DataFrame:
 
     postings = blocks(groups.mapInArrow(listed(1 + BORDER, MAX_COPIES), "list int, v array<double>, ids array<long>"), "entries", "v", "ids")
     q = e.filter(is_query(F.col("vec_id"))).distinct().select("v", F.col("vec_id").alias("query_id"))
-    visits = blocks(q.mapInArrow(listed(1 + REACH, None), "list int, v array<double>, query_id long"), "visitors", "v", "query_id")
+    visits = blocks(q.mapInArrow(listed(1 + REACH, None, LEAST_LISTS), "list int, v array<double>, query_id long"), "visitors", "v", "query_id")
+
+    def best_of(parts):
+        """The k best results of each query, of several arrays of (query, vec_id, score)."""
+        q, v, x = (np.concatenate(col) for col in zip(*parts))
+        order = np.lexsort((-x, v, q))
+        q, v, x = q[order], v[order], x[order]
+        again = np.zeros(len(q), bool)  # a vector met in several lists
+        again[1:] = (q[1:] == q[:-1]) & (v[1:] == v[:-1])
+        q, v, x = q[~again], v[~again], x[~again]
+        order = np.lexsort((v, -x, q))
+        q, v, x = q[order], v[order], x[order]
+        keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+        return q[keep], v[keep], x[keep]
 
     def scan(batches):
+        held, size = [], 0
         for b in batches:
             for i in range(len(b)):
                 ent, vis = b.column("entries")[i].values, b.column("visitors")[i].values
@@ -171,14 +192,24 @@ def nearest(embeddings: DataFrame, is_query, k: int = 5) -> DataFrame:
                 owner = np.repeat(np.arange(len(ids)), np.diff(np.asarray(ids.offsets)))
                 flat = np.asarray(ids.flatten(), np.int64)
                 scores = (y @ x.T) / (np.linalg.norm(y, axis=1)[:, None] * np.linalg.norm(x, axis=1)[None, :])
-                out = [], [], []
                 for qid, s in zip(np.asarray(vis.field("query_id"), np.int64), scores):
                     s = s[owner]
                     best = np.lexsort((flat, -s))
                     best = best[flat[best] != qid][:k]
-                    for col, val in zip(out, (np.full(len(best), qid), flat[best], s[best])):
-                        col.append(val)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(col)) for col in out], names=["query_id", "vec_id", "score"])
+                    held.append((np.full(len(best), qid), flat[best], s[best]))
+                    size += len(best)
+                if size >= HELD:
+                    held = [best_of(held)]
+                    size = len(held[0][0])
+                    if size >= HELD // 2:  # too many queries to hold
+                        yield from results(held.pop())
+                        size = 0
+        if held:
+            yield from results(best_of(held))
+
+    def results(part):
+        for lo in range(0, len(part[0]), 10_000):
+            yield pa.RecordBatch.from_arrays([pa.array(col[lo:lo + 10_000]) for col in part], names=["query_id", "vec_id", "score"])
 
     found = (postings.join(visits, "list").select("entries", "visitors").mapInArrow(scan, "query_id long, vec_id long, score double"))
     top = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
