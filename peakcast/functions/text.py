@@ -45,7 +45,10 @@ def decode_entities(c: Column) -> Column:
         dec = F.regexp_extract(ref, r"^#([0-9]+)$", 1)
         hexa = F.regexp_extract(ref, r"^#[xX]([0-9a-fA-F]+)$", 1)
         char = (F.when(ref == "", F.lit(None)).when(dec != "", _code_point(F.hex(dec.cast("long"))))
-                .when(hexa != "", _code_point(hexa)).otherwise(F.try_element_at(names, ref)))
+                .when(hexa != "", _code_point(hexa)))
+        for name in ("amp", "lt", "gt", "quot", "nbsp"):  # the usual ones need no look at the table
+            char = char.when(ref == name, F.lit(html5[f"{name};"]))
+        char = char.otherwise(F.try_element_at(names, ref))
         return (F.when(i == 0, x).when(char.isNull(), F.concat(F.lit("&"), x))
                 .otherwise(F.concat(char, F.substring(x, F.length(ref) + 2, F.length(x)))))
 
