@@ -4,6 +4,9 @@ A profile lists the most frequent letter n-grams (one to three bytes of folded l
 padded by one space on each side) of a language in order of frequency. A document's own ordered list is
 compared to each profile by the out-of-place distance: for each of its n-grams the difference of ranks, or
 the profile's length if the profile lacks it. The nearest profile names the language.
+
+Which scores are too low for any learned language depends on the number of a document's n-grams: the training
+documents' own scores give a mean and a deviation as smooth functions of it (``Floor``).
 """
 
 from __future__ import annotations
@@ -25,8 +28,9 @@ TOP = 300
 #: Documents that a language's profile is learned from, at most (those of smallest id hash).
 MAX_TRAIN = 1500
 UNKNOWN = "und"
-#: Documents scored under this are rejected by the pipeline: nothing of the text's n-gram order fits any profile.
-MIN_SCORE = 0.1
+#: The pipeline rejects documents scored more than this many deviations under the training documents' mean at their
+#: number of n-grams.
+DEVIATIONS = 4.5
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
@@ -84,10 +88,10 @@ class Profiles:
     codes: np.ndarray
     ranks: np.ndarray
 
-    def nearest(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """(index of the nearest language, score) of each text. The score is one minus the distance as a share of
-        the largest possible one; a text without n-grams has score 0."""
-        best, score = np.zeros(len(t), np.int64), np.zeros(len(t))
+    def nearest(self, t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index of the nearest language, score, number of n-grams compared) of each text. The score is one minus the
+        distance as a share of the largest possible one; a text without n-grams has score 0."""
+        best, score, size = np.zeros(len(t), np.int64), np.zeros(len(t)), np.zeros(len(t), np.int64)
         own = np.arange(TOP)
         for d, (codes, _) in enumerate(ranked(t)):
             if not len(codes):
@@ -98,7 +102,48 @@ class Profiles:
             dist = np.where(known, np.abs(r - own[:len(codes)]), TOP).sum(axis=1)
             best[d] = dist.argmin()
             score[d] = 1 - dist[best[d]] / (TOP * len(codes))
-        return best, score
+            size[d] = len(codes)
+        return best, score, size
+
+
+@dataclass
+class Floor:
+    """Scores by number of n-grams: their mean, a polynomial in its logarithm, and the variance below it, a + b / size."""
+    low: float
+    high: float
+    mean: np.ndarray
+    variance: tuple[float, float]
+
+    def at(self, size: np.ndarray, deviations: float) -> np.ndarray:
+        """Least score that is accepted at a number of n-grams; beyond the training documents' range, that of its end."""
+        x = np.clip(np.log(np.maximum(size, 1)), self.low, self.high)
+        return np.polyval(self.mean, x) - deviations * np.sqrt(self.variance[0] + self.variance[1] * np.exp(-x))
+
+
+def fit_floor(size: np.ndarray, score: np.ndarray) -> Floor:
+    """Least squares; a number of n-grams weighs the root of its documents, most of which have TOP. Scores far under the
+    median, and then those far under the fit, are left out of the next one: a few junk documents among the training
+    ones neither lower the mean nor widen the variance, which has a least value for tables of few or equal texts."""
+    if not len(score):
+        return Floor(0.0, 0.0, np.zeros(1), (0.0, 0.0))
+    x = np.log(np.maximum(size, 1))
+    middle = np.median(score)
+    keep = score >= middle - max(0.25, 5 * np.median(np.abs(score - middle)))
+    for _ in range(8):
+        _, at, n = np.unique(size[keep], return_inverse=True, return_counts=True)
+        weight = 1 / np.sqrt(n[at])
+        mean = np.polyfit(x[keep], score[keep], min(2, len(n) - 1, int(keep.sum()) // 20), w=np.sqrt(weight))
+        off = score - np.polyval(mean, x)
+        below = keep & (off <= 0)
+        inverse, square, weight = np.exp(-x[below]), off[below] ** 2, weight[below[keep]]
+        slope = max(0.0, float(np.polyfit(inverse, square, 1, w=np.sqrt(weight))[0])) if len(np.unique(inverse)) > 20 else 0.0
+        level = float((weight * (square - slope * inverse)).sum() / max(weight.sum(), 1e-12))
+        fit = Floor(float(x[keep].min()), float(x[keep].max()), mean, (max(0.04 ** 2, level), slope))
+        fewer = keep & (score >= fit.at(size, DEVIATIONS))
+        if (fewer == keep).all():
+            break
+        keep = fewer
+    return fit
 
 
 def training_ids(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
@@ -140,12 +185,13 @@ def learn(docs: DataFrame, max_train: int = MAX_TRAIN, top: int = TOP) -> Profil
 def _predictor(docs: DataFrame, profiles: Profiles):
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
 
-    @F.arrow_udf("struct<best: int, score: double>")
+    @F.arrow_udf("struct<best: int, score: double, size: long>")
     def predict(column: pa.Array) -> pa.Array:
         parts = [shared.value.nearest(t) for _, _, t in chunks(column)]
         best = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
         score = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0)
-        return pa.StructArray.from_arrays([pa.array(best.astype(np.int32)), pa.array(score)], names=["best", "score"])
+        size = np.concatenate([p[2] for p in parts]) if parts else np.zeros(0, np.int64)
+        return pa.StructArray.from_arrays([pa.array(best.astype(np.int32)), pa.array(score), pa.array(size)], names=["best", "score", "size"])
 
     return predict
 
@@ -169,12 +215,27 @@ def identify(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
                     F.when(F.col("has_letter"), F.col("p.score")).otherwise(0.0).alias("score"))
 
 
-def accept(docs: DataFrame, max_train: int = MAX_TRAIN, min_score: float = MIN_SCORE) -> DataFrame:
+def floor(docs: DataFrame, profiles: Profiles, max_train: int = MAX_TRAIN) -> Floor:
+    """The floor of the training documents' own scores (the bounded sample that profiles are learned from)."""
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
+                       F.col("text").cast("string").alias("text"))
+    p = (text.join(F.broadcast(training_ids(docs, max_train)), ["doc_id", "lang"])
+         .select(_predictor(docs, profiles)(F.col("text")).alias("p")).filter(F.col("p.size") > 0).select("p.size", "p.score").toArrow())
+    return fit_floor(np.asarray(p.column("size"), np.int64), np.asarray(p.column("score"), float))
+
+
+def accept(docs: DataFrame, max_train: int = MAX_TRAIN, deviations: float = DEVIATIONS) -> DataFrame:
     """``docs`` (all its columns) without the rows that no learned language fits: null texts, texts without letters, and
-    scores under ``min_score`` among texts of at least 200 bytes (shorter ones have too few n-grams for an order)."""
+    scores under the training documents' floor at the text's number of n-grams, whatever its length."""
     profiles = learn(docs, max_train)
     if not profiles.languages:
         return docs.limit(0)
+    least = floor(docs, profiles, max_train)
+    predict = _predictor(docs, profiles)
+
+    @F.arrow_udf("boolean")
+    def fits(p: pa.Array) -> pa.Array:
+        return pa.array(np.asarray(p.field("score"), float) >= least.at(np.asarray(p.field("size"), np.int64), deviations))
+
     text = F.col("text").cast("string")
-    score = _predictor(docs, profiles)(text)["score"]
-    return docs.filter(text.rlike(r"\p{L}")).filter((F.octet_length(text) < 200) | (score >= min_score))
+    return docs.filter(text.rlike(r"\p{L}")).filter(fits(predict(text)))

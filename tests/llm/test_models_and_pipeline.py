@@ -120,6 +120,25 @@ def test_language_edges(spark):
     assert kept.columns == d.columns and not {50, 51, 52} & {r.doc_id for r in kept.collect()}
 
 
+FOREIGN = [
+    "Aurinko oli juuri laskenut kukkuloiden taakse kun vanha kalastaja palasi satamaan veneensä kanssa eikä kukaan odottanut häntä rannalla koska kaikki olivat jo menneet syömään illallista koteihinsa",
+    "Słońce właśnie zaszło za wzgórza kiedy stary rybak wrócił do portu ze swoją łodzią pełną pustych sieci i nikt nie czekał na niego na brzegu bo wszyscy poszli już na kolację do swoich domów"]
+
+
+def test_language_stage_rejects_texts_of_no_learned_language(spark, docs):
+    """Random letters (those of 15 and 20 words are under 200 bytes; some are among the training documents) and foreign
+    texts go, at any length; every document that is labelled clean stays."""
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(map(chr, rng.integers(97, 123, rng.integers(3, 9))))
+    planted = [(" ".join(word() for _ in range(n)), "en" if i == 0 else None) for n in (15, 20, 40, 100, 1000) for i in range(4)]
+    planted += [(t, None) for t in FOREIGN] + [(" ".join(t.split()[:22]), None) for t in FOREIGN] + [("привет мир как дела сегодня вечером", None)]
+    rows = spark.createDataFrame([(10_000_000 + i, t, lang) for i, (t, lang) in enumerate(planted)], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in language.accept(docs.select("doc_id", "text", "lang").unionByName(rows)).collect()}
+    assert [planted[i][0][:60] for i in range(len(planted)) if 10_000_000 + i in kept] == []
+    clean = {r.doc_id for r in spark.read.parquet(f"{SF001}/labels.parquet").filter("quality = 1").collect()}
+    assert clean <= kept
+
+
 # ---- 3: mixing -----------------------------------------------------------------------------
 
 def test_rates_meet_the_targets(docs):
