@@ -5,28 +5,35 @@ least MIN_COUNT times, else ln(BACKOFF * c(w) / N); a text's first word has ln(c
 the sum. (A pair that occurs once is only known from the text that is being scored, so it counts as unseen.)
 
 * Words are counted in tasks first and summed by hash: the unigram table, stored.
-* Every document's pairs are dealt out by the pair's hash, packed by task and hash bucket. A bucket holds all
+* Pairs that occur a tenth of a bucket's size or more often are counted in tasks first, too, and broadcast: tasks
+  score them where they stand. Both words of such a pair are as frequent, so only pairs of such words are counted;
+  there are TOP_PAIRS such pairs at most, as the bound rises with the number of words beyond that.
+* All other pairs are dealt out by the pair's hash, packed by task and hash bucket. A bucket holds all
   occurrences of its pairs, so the task that gets it makes its part of the pair table, joins it to the
   occurrences and sums by document. No pair crosses the network twice. The number of buckets follows the
-  number of words, so a bucket's size doesn't grow; a pair's share of it is bounded by its share of the text.
+  number of words, so a bucket's size doesn't grow, and no single pair is more than a tenth of it.
 * Counts of the TOP_WORDS most frequent words are broadcast (16 bytes each). Terms of other words are joined to
   the unigram table by hash.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import doc_text, stored
-from .textio import SPACE_TABLE, U, Texts, chunks, mix, words
+from .textio import SPACE_TABLE, U, Texts, Words, chunks, mix, words
 
 MIN_COUNT, BACKOFF = 2, 0.4
 TOP_WORDS = 1 << 18
 #: Word pairs for each bucket, about.
 BUCKET_PAIRS = 2_500_000
+#: Broadcast pairs, at most (16 bytes each).
+TOP_PAIRS = 1 << 18
 _FLUSH = 4_000_000
 
 
@@ -73,15 +80,77 @@ def _pair_hash(v: np.ndarray, w: np.ndarray) -> np.ndarray:
         return mix(v * U(0x9E3779B97F4A7C15) + mix(w + U(0x632BE59BD9B4E019)))
 
 
-def pack(t: Texts, ids: pa.Array, n_buckets: int) -> pa.RecordBatch | None:
-    """A row for each bucket: the ids of the documents with pairs in it, how many each has, and the pairs' words, one
-    pair after another and white space between all words."""
+def _pairs(t: Texts):
+    """(words, document of each word, index of the first word of each pair)."""
     w = words(t, SPACE_TABLE)
     doc = np.repeat(np.arange(len(t), dtype=np.int64), np.diff(w.first))
-    i = np.flatnonzero(doc[:-1] == doc[1:])
+    return w, doc, np.flatnonzero(doc[:-1] == doc[1:])
+
+
+@dataclass
+class FrequentPairs:
+    """The pairs that occur at least ``limit`` times, and the words that do."""
+    pairs: Frequent
+    words: Frequent
+
+    def terms(self, w: Words, doc: np.ndarray, i: np.ndarray, n_docs: int, min_count: int, backoff: float) -> tuple[np.ndarray, np.ndarray]:
+        """(number of backoffs, sum of scores) by document of the frequent ones among its pairs."""
+        if not len(self.pairs.word):
+            return np.zeros(n_docs, np.int64), np.zeros(n_docs)
+        log_n, here = self.pairs.log_counts(_pair_hash(w.hashes[i], w.hashes[i + 1]))
+        i, log_n = i[here], log_n[here]
+        seen = log_n >= np.log(min_count)
+        log_word = self.words.log_counts(np.where(seen, w.hashes[i], w.hashes[i + 1]))[0]
+        value = np.where(seen, log_n - log_word, np.log(backoff) + log_word - self.words.log_total)
+        return np.bincount(doc[i], ~seen, n_docs), np.bincount(doc[i], value, n_docs)
+
+
+def frequent_pairs(docs: DataFrame, counts: DataFrame, total: int, limit: int) -> FrequentPairs:
+    """The pairs that occur at least ``limit`` times: total / limit of them at most, and as many words."""
+    def table(rows: DataFrame) -> Frequent:
+        t = rows.filter(F.col("n") >= limit).toArrow()
+        return Frequent(np.asarray(t.column(0), np.int64).view(U), np.asarray(t.column(1), np.int64), total)
+
+    frequent = table(counts.select("word", "n"))
+    if not len(frequent.word):
+        return FrequentPairs(frequent, frequent)
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+
+    def work(batches):
+        held, size = [], 0
+
+        def summed():
+            h, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([_signed(h), pa.array(n.astype(np.int64))], names=["pair", "n"])
+
+        for b in batches:
+            for _, _, t in chunks(b.column(0)):
+                w, _, i = _pairs(t)
+                known = shared.value.log_counts(w.hashes)[1]
+                i = i[known[i] & known[i + 1]]
+                held.append(_pair_hash(w.hashes[i], w.hashes[i + 1]))
+                size += len(i)
+                if size >= _FLUSH:
+                    yield summed()
+                    held, size = [], 0
+        if size:
+            yield summed()
+
+    found = docs.select("text").mapInArrow(work, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return FrequentPairs(table(found), frequent)
+
+
+def pack(t: Texts, ids: pa.Array, n_buckets: int, frequent: Frequent) -> pa.RecordBatch | None:
+    """A row for each bucket: the ids of the documents with pairs in it, how many each has, and the pairs' words, one
+    pair after another and white space between all words. Without the frequent pairs."""
+    w, doc, i = _pairs(t)
+    pair = _pair_hash(w.hashes[i], w.hashes[i + 1])
+    if len(frequent.word):
+        rare = ~frequent.log_counts(pair)[1]
+        i, pair = i[rare], pair[rare]
     if not len(i):
         return None
-    bucket = (_pair_hash(w.hashes[i], w.hashes[i + 1]) >> U(32)) % U(n_buckets)
+    bucket = (pair >> U(32)) % U(n_buckets)
     order = np.argsort(bucket.astype(np.int32), kind="stable")
     i, bucket = i[order], bucket[order].astype(np.int64)
     size = w.end[i + 1] - w.begin[i] + 1
@@ -155,11 +224,12 @@ def lm_scores(docs: DataFrame, min_count: int = MIN_COUNT, backoff: float = BACK
     table = counts.orderBy(F.desc("n"), "word").limit(TOP_WORDS).toArrow()  # the documented bound
     top = spark.sparkContext.broadcast(Frequent(np.asarray(table.column("word"), np.int64).view(U), np.asarray(table.column("n"), np.int64), total))
     n_buckets = max(1, -(-total // BUCKET_PAIRS))
+    frequent = spark.sparkContext.broadcast(frequent_pairs(d, counts, total, max(1, BUCKET_PAIRS // 10, -(-total // TOP_PAIRS))))
 
     def pairs(batches):
         for b in batches:
             for lo, hi, t in chunks(b.column(1)):
-                row = pack(t, b.column(0).slice(lo, hi - lo), n_buckets)
+                row = pack(t, b.column(0).slice(lo, hi - lo), n_buckets, frequent.value.pairs)
                 if row is not None:
                     yield row
 
@@ -169,15 +239,17 @@ def lm_scores(docs: DataFrame, min_count: int = MIN_COUNT, backoff: float = BACK
             yield from score_bucket(rows, top.value, min_count, backoff)
 
     def firsts(batches):
+        """Terms of the first words and of the frequent pairs."""
         for b in batches:
             for lo, hi, t in chunks(b.column(1)):
-                w = words(t, SPACE_TABLE)
+                w, doc, i = _pairs(t)
+                back, value = frequent.value.terms(w, doc, i, hi - lo, min_count, backoff)
                 ids, n = b.column(0).slice(lo, hi - lo), np.diff(w.first)
                 have = n > 0
                 h = np.zeros(len(n), U)
                 h[have] = w.hashes[w.first[:-1][have]]
                 log_n, known = top.value.log_counts(h)
-                yield _terms(ids, n, None, np.where(have, np.where(known, log_n, 0.0) - top.value.log_total, 0.0))
+                yield _terms(ids, n, back, np.where(have, np.where(known, log_n, 0.0) - top.value.log_total, 0.0) + value)
                 rest = np.flatnonzero(have & ~known)
                 if len(rest):
                     yield _terms(ids.take(pa.array(rest)), None, None, None, h[rest], np.ones(len(rest)))

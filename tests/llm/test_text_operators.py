@@ -149,6 +149,21 @@ def test_lm_scores_match_brute_force(spark, monkeypatch, top, size):
     assert lm_score.lm_scores(docs_of(spark, [])).count() == 0
 
 
+def test_lm_scores_send_no_frequent_pair_to_a_bucket(spark, monkeypatch):
+    """A pair that is most of the corpus stays where it stands; before, one task got all of it."""
+    dealt = []
+    frame = type(spark.range(1))
+    deal = frame.repartitionById
+    monkeypatch.setattr(frame, "repartitionById", lambda self, *a: dealt.append(self) or deal(self, *a))
+    rows = [(i, "to be or not " * 400) for i in range(10)] + [(50, "w " * 20_000), (51, "w W x"), (52, "to not or be w")]
+    monkeypatch.setattr(lm_score, "BUCKET_PAIRS", 20_000)
+    got = {r.doc_id: r for r in lm_score.lm_scores(docs_of(spark, rows).repartition(3)).collect()}
+    sent = dealt[0].select(F.explode("sizes").alias("n")).agg(F.sum("n")).head()[0]
+    assert sent == 5  # w x, and the four pairs of the last text
+    for d, (n, back, s) in brute_lm(rows).items():
+        assert (got[d].n_words, got[d].n_backoff) == (n, back) and got[d].score == pytest.approx(s, rel=1e-9)
+
+
 # ---- 5: licenses ---------------------------------------------------------------------------
 
 def brute_base(text):
