@@ -4,7 +4,8 @@ Centroids come from bisecting a bounded sample into halves of equal size, again
 They are searched by walking an in-memory graph that links each centroid to its nearest ones. Every vector is
 listed at its nearest centroid and, if it lies near a border, at the others whose distance is at most
 ``1 + BORDER`` times the least (MAX_COPIES at most). A query visits the lists whose centroid's distance is at
-most ``1 + REACH`` times that of its nearest one, and LEAST_LISTS lists at least.
+most ``1 + REACH`` times that of its nearest one, and LEAST_LISTS lists at least. If these hold fewer ids than
+wanted (one id may have many vectors there), it visits four times as many, and so on up to all lists.
 
 Lists and the queries that visit them are cut into blocks of bounded size, and the blocks are joined on the list,
 so that a long list is many rows of work. Equal vectors are listed once with their smallest ids: with k results
@@ -44,8 +45,11 @@ class Index:
     def near(self, x: np.ndarray, ratio: float, least: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, centroid, distance) of the centroids within ``ratio`` times a row's least distance, as the graph finds
         them: from the entry, all found centroids within the ratio are expanded until none is left. Of the others that
-        were met on the way, the nearest are added up to ``least`` centroids."""
+        were met on the way, the nearest are added up to ``least`` centroids (all centroids if there are no more)."""
         n, c = len(x), len(self.centroids)
+        if least >= c:
+            r, k = np.divmod(np.arange(n * c), c)
+            return r, k, np.sqrt(np.maximum(2 - 2 * (x @ self.centroids.T), 0)).reshape(-1)
         dist = np.full((n, c), np.inf, np.float32)
         expanded = np.zeros((n, c), bool)
         rows, cols = np.arange(n), np.zeros(n, np.int64)
@@ -167,7 +171,9 @@ def nearest(embeddings: DataFrame, is_query, k: int = 5) -> DataFrame:
 
     postings = blocks(groups.mapInArrow(listed(1 + BORDER, MAX_COPIES), "list int, v array<double>, ids array<long>"), "entries", "v", "ids")
     q = e.filter(is_query(F.col("vec_id"))).distinct().select("v", F.col("vec_id").alias("query_id"))
-    visits = blocks(q.mapInArrow(listed(1 + REACH, None, LEAST_LISTS), "list int, v array<double>, query_id long"), "visitors", "v", "query_id")
+
+    def visits(q: DataFrame, least: int) -> DataFrame:
+        return blocks(q.mapInArrow(listed(1 + REACH, None, least), "list int, v array<double>, query_id long"), "visitors", "v", "query_id")
 
     def best_of(parts):
         """The k best results of each query, of several arrays of (query, vec_id, score)."""
@@ -191,12 +197,14 @@ def nearest(embeddings: DataFrame, is_query, k: int = 5) -> DataFrame:
                 ids = ent.field("ids")
                 owner = np.repeat(np.arange(len(ids)), np.diff(np.asarray(ids.offsets)))
                 flat = np.asarray(ids.flatten(), np.int64)
+                by_id = np.argsort(flat, kind="stable")
+                own, first = np.unique(flat[by_id], return_index=True)  # an id may have several vectors in a block
                 scores = (y @ x.T) / (np.linalg.norm(y, axis=1)[:, None] * np.linalg.norm(x, axis=1)[None, :])
                 for qid, s in zip(np.asarray(vis.field("query_id"), np.int64), scores):
-                    s = s[owner]
-                    best = np.lexsort((flat, -s))
-                    best = best[flat[best] != qid][:k]
-                    held.append((np.full(len(best), qid), flat[best], s[best]))
+                    s = np.maximum.reduceat(s[owner][by_id], first)  # each id's best score, before the cut to k
+                    best = np.lexsort((own, -s))
+                    best = best[own[best] != qid][:k]
+                    held.append((np.full(len(best), qid), own[best], s[best]))
                     size += len(best)
                 if size >= HELD:
                     held = [best_of(held)]
@@ -211,8 +219,20 @@ def nearest(embeddings: DataFrame, is_query, k: int = 5) -> DataFrame:
         for lo in range(0, len(part[0]), 10_000):
             yield pa.RecordBatch.from_arrays([pa.array(col[lo:lo + 10_000]) for col in part], names=["query_id", "vec_id", "score"])
 
-    found = (postings.join(visits, "list").select("entries", "visitors").mapInArrow(scan, "query_id long, vec_id long, score double"))
+    def search(q: DataFrame, least: int) -> DataFrame:
+        found = (postings.join(visits(q, least), "list").select("entries", "visitors")
+                 .mapInArrow(scan, "query_id long, vec_id long, score double"))
+        return stored(found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), "found")
+
+    ids = e.select("vec_id").distinct().limit(k + 1).count()
+    least, best = LEAST_LISTS, search(q, LEAST_LISTS)
+    while least < lists:  # the lists near a query may hold too few ids, if one has many vectors there
+        full = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min(k, ids - 1)).select("query_id")
+        short = stored(q.join(full, "query_id", "left_anti").select("v", "query_id"), "short")
+        if ids < 2 or not short.head(1):
+            break
+        least *= 4
+        best = best.join(short.select("query_id").distinct(), "query_id", "left_anti").unionByName(search(short, least))
     top = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return (best.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -143,6 +143,17 @@ def test_nearest_edges(spark):
     assert run_ann(spark, [(50, hot), (1, f(0, 1, 0)), (2, f(1, 1, 0))])[50] == [(2, pytest.approx(math.sqrt(0.5))), (1, pytest.approx(0.0))]
 
 
+def test_nearest_with_an_id_on_many_vectors(spark):
+    """An id on more than k near vectors takes one place: of a block, and of the lists that a query visits."""
+    rng = np.random.default_rng(4)
+    f = lambda *v: [float(np.float32(x)) for x in v]
+    rows = [(50, f(1, 0, 0))] + [(7, f(1, 0.001 * j, 0)) for j in range(1, 9)] + [(i, f(1, 0.1 * i, 0.1)) for i in range(1, 7)]
+    assert [i for i, _ in run_ann(spark, rows)[50]] == [7, 1, 2, 3, 4] == [i for i, _ in brute_nearest(rows)[50]]
+    rows = [(50, f(1, 0, 0))] + [(7, f(1, *x)) for x in rng.normal(scale=0.05, size=(3000, 2))] + [(i, f(-1, *rng.normal(size=2))) for i in range(101, 140)]
+    got, want = run_ann(spark, rows), brute_nearest(rows)
+    assert len(got[50]) == 5 and got[50][0] == (7, pytest.approx(want[50][0][1]))
+
+
 def test_graph_search_finds_what_a_scan_finds():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(3000, 16))
