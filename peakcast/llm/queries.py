@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, language, licenses, lm_score, mixing, near_dup, quality, token_counts
+from . import (ann, chat, collocations, decontaminate, language, licenses, lm_score, mixing, near_dup, pieces, quality,
+               token_counts, whitening)
 from .common import table
 
 QUERIES: dict = {}
@@ -131,3 +132,18 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted_digests(table(spark, sf_dir, "conversations"))
+
+
+@register("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register("op12_phrase_collocations", collocations.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op13_sentence_pieces")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
