@@ -33,6 +33,7 @@ LEAST, LONGEST, INSIDE_PERCENT, TOP = 10, 3, 50, 2000
 UNKNOWN = "und"
 SPLITTERS = sorted({ord(c) for c in ".,;:!?"} | set(range(0x0A, 0x0E)))
 _TABLE = byte_table({0x20, 0x09, *SPLITTERS})
+_LETTERS = _TABLE.astype(np.uint32)
 _SPLITS = np.zeros(256, bool)
 _SPLITS[SPLITTERS] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -41,42 +42,47 @@ WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 #: Bits of a table of fingerprints (8 MB).
 BITS = 26
 #: Bytes of text that a task hashes at a time; a longer text is cut between pieces.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
+#: N-grams that a task holds before it counts them.
+HELD = 1 << 20
 _WORD_BASE, _GRAM_BASE, _GRAM_BASE_2 = 0x2545F4914F6CDD1D, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5
-_POWERS: dict[int, np.ndarray] = {}
+_POWERS: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base**i modulo 2**64 for i < n (kept, doubled as needed)."""
-    if base not in _POWERS or len(_POWERS[base]) < n:
-        a = np.full(max(1 << 16, 1 << (max(n, 1) - 1).bit_length()), base, U)
-        a[0] = 1
+def powers(base: int, n: int, kind=U) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i, modulo the size of ``kind``, for i < n (kept, doubled as needed)."""
+    key = base, kind
+    if key not in _POWERS or len(_POWERS[key][0]) < n:
+        m, out = max(1 << 16, 1 << (max(n, 1) - 1).bit_length()), []
         with np.errstate(over="ignore"):
-            _POWERS[base] = np.multiply.accumulate(a, dtype=U)
-    return _POWERS[base][:n]
-
-
-def inverse(p: np.ndarray) -> np.ndarray:
-    """Inverses of odd numbers modulo 2**64 (each step doubles the right bits)."""
-    x = p.copy()
-    with np.errstate(over="ignore"):
-        for _ in range(6):
-            x *= U(2) - p * x
-    return x
+            for b in (base, pow(base, -1, 1 << 64)):
+                a = np.full(m, b & np.iinfo(kind).max, kind)
+                a[0] = 1
+                out.append(np.multiply.accumulate(a, dtype=kind))
+        _POWERS[key] = out[0], out[1]
+    return _POWERS[key]
 
 
 class Prefix:
-    """Prefix sums of a polynomial in ``base``: fingerprints of any spans of ``items`` by two look-ups."""
+    """Prefix sums of a polynomial in ``base``: fingerprints of any spans of ``items`` by two look-ups. 32-bit items have
+    sums modulo 2**32, others modulo 2**64."""
 
     def __init__(self, items: np.ndarray, base: int):
-        self.p = powers(base, len(items) + 1)
-        self.run = np.zeros(len(items) + 1, U)
+        power, self.inverse = powers(base, len(items) + 1, items.dtype.type)
+        self.run = np.zeros(len(items) + 1, items.dtype)
         with np.errstate(over="ignore"):
-            np.cumsum(items * self.p[:-1], out=self.run[1:])
+            np.cumsum(items * power[:len(items)], out=self.run[1:])
 
     def spans(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return mix((self.run[end] - self.run[begin]) * inverse(self.p[begin]) + (end - begin).astype(U) * U(0xD6E8FEB86659FD93))
+            return mix(((self.run[end] - self.run[begin]) * self.inverse[begin]).astype(U) + (end - begin).astype(U) * U(0xD6E8FEB86659FD93))
+
+
+    def runs(self, n: int) -> np.ndarray:
+        """Fingerprints of all spans of ``n`` items."""
+        k = max(len(self.run) - n, 0)
+        with np.errstate(over="ignore"):
+            return mix(((self.run[n:] - self.run[:k]) * self.inverse[:k]).astype(U) + U(n * 0xD6E8FEB86659FD93 & (1 << 64) - 1))
 
 
 def segments(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:
@@ -121,19 +127,19 @@ def grams(t: Texts, seeds: np.ndarray, sizes, fp_bits: int = 64, with_check: boo
     w = words(t, _TABLE)
     m = len(w.hashes)
     text = np.repeat(np.arange(len(t)), np.diff(w.first))
-    piece = np.cumsum(_SPLITS[t.data])[w.begin] + text if m else text
+    piece = np.cumsum(_SPLITS[t.data], dtype=np.int32)[w.begin] + text if m else text
     first, second = Prefix(w.hashes, _GRAM_BASE), None
     if with_check:
-        b = _TABLE[t.data].astype(U)
-        second = Prefix(Prefix(b, _WORD_BASE).spans(w.begin, w.end), _GRAM_BASE_2)
+        second = Prefix(Prefix(_LETTERS[t.data], _WORD_BASE).spans(w.begin, w.end), _GRAM_BASE_2)
     out = Grams(w.begin, w.end, text, {}, {}, {}, _LOWER[t.data])
+    seed = seeds[text]
     for n in sizes:
-        i = np.arange(max(m - n + 1, 0))
+        k = max(m - n + 1, 0)
         with np.errstate(over="ignore"):
-            out.fp[n] = (mix(first.spans(i, i + n) ^ seeds[text[i]] + U(n)) >> U(64 - fp_bits)).view(np.int64)
+            out.fp[n] = (mix((first.runs(n) ^ seed[:k]) + U(n)) >> U(64 - fp_bits)).view(np.int64)
         if second is not None:
-            out.check[n] = (second.spans(i, i + n) >> U(33)).astype(np.int32)
-        out.inside[n] = piece[i] == piece[i + n - 1]
+            out.check[n] = (second.runs(n) >> U(33)).astype(np.int32)
+        out.inside[n] = piece[:k] == piece[n - 1:]
     return out
 
 
@@ -190,23 +196,35 @@ class Miner:
         shared = None if shorter is None else self.docs.sparkSession.sparkContext.broadcast(shorter)
         fp_bits = self.fp_bits
 
+        def summed(held):
+            """One row for each fingerprint among the held n-grams."""
+            fp, check, doc = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(fp)
+            fp, check, doc = fp[order], check[order], doc[order]
+            start = np.flatnonzero(np.r_[True, fp[1:] != fp[:-1]][:len(fp)])
+            least = lambda f, x: f.reduceat(x, start) if len(start) else x
+            return pa.RecordBatch.from_arrays([
+                pa.array(x) for x in (fp[start], np.diff(np.r_[start, len(fp)]), least(np.minimum, check), least(np.maximum, check),
+                                      least(np.minimum, doc))], names=["fp", "n", "low", "high", "doc"])
+
         def work(batches):
+            held, size = [], 0
             for _, docs, g in scan(batches, (n - 1, n) if shared else (n,), fp_bits):
                 keep = g.inside[n]
                 if shared:
                     part = has_bit(shared.value, g.fp[n - 1])
                     keep = keep & part[:len(keep)] & part[1:]
                 at = np.flatnonzero(keep)
-                doc, check = docs[g.text[at]], g.check[n][at]
-                order = np.lexsort((check, g.fp[n][at]))
-                fp, check, doc = g.fp[n][at][order], check[order], doc[order]
-                start = np.flatnonzero(np.r_[True, (fp[1:] != fp[:-1]) | (check[1:] != check[:-1])][:len(fp)])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(fp[start]), pa.array(np.diff(np.r_[start, len(fp)])), pa.array(check[start]),
-                    pa.array(np.minimum.reduceat(doc, start) if len(start) else doc)], names=["fp", "n", "check", "doc"])
-
-        return (self.docs.mapInArrow(work, "fp long, n long, check int, doc long").groupBy("fp")
-                .agg(F.sum("n").alias("n"), F.min("check").alias("check_low"), F.max("check").alias("check_high"), F.min("doc").alias("doc"))
+                held.append((g.fp[n][at], g.check[n][at], docs[g.text[at]]))
+                size += len(at)
+                if size >= HELD:
+                    yield summed(held)
+                    held, size = [], 0
+            if held:
+                yield summed(held)
+
+        return (self.docs.mapInArrow(work, "fp long, n long, low int, high int, doc long").groupBy("fp")
+                .agg(F.sum("n").alias("n"), F.min("low").alias("check_low"), F.max("high").alias("check_high"), F.min("doc").alias("doc"))
                 .filter(F.col("n") >= self.least).withColumn("size", F.lit(n)))
 
     def at_pointers(self, frequent: DataFrame) -> DataFrame:
