@@ -5,13 +5,16 @@ map (a double-array trie) knows is replaced, any other character is copied, blan
 added. Every normalised byte keeps the place in the source that it came from. The pieces' lengths, added up over the
 normalised text, give the pieces' ends there, and the kept places project them to spans of the source's bytes.
 
-Segmentation (merging pieces by rank) is the library's. That pieces and the normalised text here have the same
+Segmentation (merging pieces by rank) is the library's. Where the model has no piece that goes on after a blank, words
+are segmented each by itself, and a worker's cache keeps what it has met. That pieces and the normalised text here have the same
 length is checked for every text, so an alignment cannot go wrong silently.
 """
 
 from __future__ import annotations
 
+import re
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +22,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import doc_text
-from .textio import chunks
+from .textio import Texts, chunks
 
 SPACE = "▁".encode()
 #: Bytes of text that a worker encodes at a time (a longer text is alone).
 CHUNK = 1 << 20
+#: Words that a worker's cache may hold before it starts anew, and their greatest length there.
+CACHE_WORDS, CACHE_LENGTH = 500_000, 32
+#: Words that the library gets as one text.
+JOINED = 200
+#: A word with the blanks before it, in the text or in its normalised form.
+WORD = re.compile("[ ▁]+[^ ▁]*")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)  # Fixed values: kinds of pieces in a model file
 
 
@@ -67,26 +76,18 @@ class Normaliser:
         self.suffix, self.symbols = suffix, sorted(symbols, key=len, reverse=True)
         self.plain = not (self.map.units or self.trim or self.suffix or self.symbols)
 
-    def __call__(self, text: bytes) -> tuple[np.ndarray | bytes, np.ndarray]:
-        """(normalised bytes, for each of them and for the end its place in ``text``)."""
-        return self._plain(text) if self.plain else self._mapped(text)
-
-    def _plain(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        b = np.frombuffer(text, np.uint8)
-        if not len(b):
-            return b, np.zeros(1, np.int64)
-        width = np.where((b == 32) & self.escape, len(SPACE), 1)
-        begin = np.maximum.accumulate(np.where(b & 0xC0 != 0x80, np.arange(len(b)), 0))  # a character's bytes share its place
-        out = np.repeat(b, width)
-        if self.escape:
-            at = (np.cumsum(width) - width)[b == 32]
-            for j, byte in enumerate(SPACE):
-                out[at + j] = byte
-        place = np.repeat(begin, width)
+    def places(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """For plain models: the place in ``t.data`` of every normalised byte of all the texts, and each text's number of
+        normalised bytes. No bytes change but blanks, so only their widths matter. A character's bytes share its place."""
+        b, blank = t.data, len(SPACE) if self.escape else 1
+        width = np.where(b == 32, blank, 1)
+        place = np.maximum.accumulate(np.where(b & 0xC0 != 0x80, np.arange(len(b)), 0)) if len(b) else np.zeros(0, np.int64)
+        live = t.starts[:-1][np.diff(t.starts) > 0]
         if self.prefix:
-            head = np.frombuffer(SPACE if self.escape else b" ", np.uint8)
-            out, place = np.concatenate([head, out]), np.concatenate([np.zeros(len(head), np.int64), place])
-        return out, np.append(place, len(b))
+            width, place = np.insert(width, live, blank), np.insert(place, live, live)
+        total = np.concatenate([[0], np.cumsum(np.where(b == 32, blank, 1))])
+        size = np.diff(total[t.starts]) + (blank if self.prefix else 0) * (np.diff(t.starts) > 0)
+        return np.repeat(place, width), size
 
     def _step(self, text: bytes, at: int) -> tuple[int, bytes]:
         for s in self.symbols:
@@ -99,7 +100,8 @@ class Normaliser:
         n = 1 if lead < 0xC0 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
         return n, text[at:at + n]
 
-    def _mapped(self, text: bytes) -> tuple[bytes, np.ndarray]:
+    def __call__(self, text: bytes) -> tuple[bytes, np.ndarray]:
+        """(normalised bytes, for each of them and for the end its place in ``text``)."""
         at, blank = 0, SPACE if self.escape else b" "
         while self.trim and at < len(text):
             n, put = self._step(text, at)
@@ -145,6 +147,34 @@ class Encoder:
         self.lengths = np.array([1 if p.type == BYTE else len(p.piece.encode()) for p in model.pieces], np.int64)
         self.normalise = Normaliser(model.normalizer_spec, model.trainer_spec.treat_whitespace_as_suffix,
                                     tuple(p.piece.encode() for p in model.pieces if p.type == USER))
+        n, self.byte_fallback = self.normalise, model.trainer_spec.byte_fallback
+        self.by_word = (n.plain and n.prefix and n.escape and self.byte_fallback
+                        and not any(re.search("[^▁]▁", p.piece) for p in model.pieces))
+        self.cache: dict[str, bytes] = {}  # a word's ids, 32 bits each
+
+    def segment(self, texts: list[str]) -> list[np.ndarray]:
+        """Each text's ids."""
+        if not self.by_word:
+            return [np.asarray(x, np.int32) for x in self.lib.encode(texts, num_threads=1)]
+        words = [WORD.findall(" " + t) if t else [] for t in texts]  # the blank that the model adds before a text
+        if len(self.cache) > CACHE_WORDS:
+            self.cache.clear()
+        missing = list(set(chain.from_iterable(words)).difference(self.cache))
+        if missing:  # some hundred make a text, which is cut again where they end; the library adds its first blank
+            blanks = [w for w in missing if not w.strip(" ▁")]  # at the ends of texts; these would merge with what follows
+            missing = [*set(missing).difference(blanks), *blanks]
+            solid = len(missing) - len(blanks)
+            joined = ["".join(missing[i:min(i + JOINED, solid)])[1:] for i in range(0, solid, JOINED)] + [w[1:] for w in blanks]
+            ids = np.fromiter(chain.from_iterable(self.lib.encode(joined, num_threads=1)), np.int32)
+            ends = np.cumsum([len(w.encode()) + w.count(" ") * (len(SPACE) - 1) for w in missing])
+            cut = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+            packed, cut = ids.tobytes(), (cut * ids.itemsize).tolist()
+            self.cache.update(zip(missing, map(packed.__getitem__, map(slice, [0, *cut], cut))))
+        out = [np.frombuffer(b"".join(map(self.cache.__getitem__, w)), np.int32) for w in words]
+        for w in missing:
+            if len(w) > CACHE_LENGTH:
+                del self.cache[w]
+        return out
 
     def spans(self, text: bytes, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, end) of each piece's source bytes. Bytes of one character that are pieces of their own all have its
@@ -159,12 +189,25 @@ class Encoder:
             raise ValueError(f"pieces cover {end[-1] if len(end) else 0} of {len(normal)} normalised bytes")
         return place[end - width], place[end]
 
-    def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def batch(self, t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids, starts, ends of all texts' pieces, number of pieces of each text)."""
-        found = [np.asarray(x, np.int32) for x in self.lib.encode(texts, num_threads=1)]
-        spans = [self.spans(t.encode(), i) for t, i in zip(texts, found)]
-        flat = lambda parts: np.concatenate([np.zeros(0, np.int32), *parts]).astype(np.int32)
-        return flat(found), flat([s for s, _ in spans]), flat([e for _, e in spans]), np.array([len(i) for i in found], np.int64)
+        raw = [t.data[s:e].tobytes() for s, e in zip(t.starts[:-1], t.starts[1:])]
+        found = self.segment([x.decode() for x in raw])
+        n = np.array([len(i) for i in found], np.int64)
+        ids = np.concatenate([np.zeros(0, np.int32), *found])
+        if not (self.normalise.plain and self.byte_fallback):
+            spans = [self.spans(x, i) for x, i in zip(raw, found)]
+            return ids, *(np.concatenate([np.zeros(0, np.int32), *(s[k] for s in spans)]).astype(np.int32) for k in (0, 1)), n
+        place, size = self.normalise.places(t)
+        width = self.lengths[ids]
+        end = np.cumsum(width)
+        last = np.cumsum(n)
+        covered = np.concatenate([[0], end])[last]
+        if (covered != np.cumsum(size)).any():
+            raise ValueError("pieces and normalised texts differ in length")
+        place = np.append(place, len(t.data))
+        first = np.repeat(t.starts[:-1], n)
+        return ids, (place[end - width] - first).astype(np.int32), (place[end] - first).astype(np.int32), n
 
 
 class _Worker:
@@ -192,8 +235,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         encoder = _Worker(path).encoder
         for b in batches:
             for lo, hi, t in chunks(b.column(1), CHUNK):
-                texts = [bytes(t.data[s:e]).decode() for s, e in zip(t.starts[:-1], t.starts[1:])]
-                ids, start, end, n = encoder.batch(texts)
+                ids, start, end, n = encoder.batch(t)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (ids, start, end)]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(np.diff(t.starts).astype(np.int64)), *lists],

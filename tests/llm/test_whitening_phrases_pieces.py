@@ -1,6 +1,7 @@
 """Whitening, collocations and SentencePiece encoding: brute force and the library on small fixtures, and edge cases."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -13,7 +14,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from peakcast.llm import collocations, pieces, whitening
+from peakcast.llm import collocations, pieces, textio, whitening
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -205,13 +206,20 @@ def test_normaliser_and_alignment_match_the_library(rule):
 
 def test_spans_match_the_library():
     enc = pieces.Encoder(MODEL)
-    for text in TEXTS:
-        ids, start, end, n = enc.batch([text])
+    assert enc.by_word
+    for by_word, text in itertools.product([True, False], TEXTS):
+        enc.by_word = by_word
+        ids, start, end, n = next((enc.batch(t) for _, _, t in textio.chunks(pa.array([text]))))
         want = enc.lib.encode(text, return_type="proto")
         raw = text.encode()
         assert ids.tolist() == [p.id for p in want.pieces] and n.tolist() == [len(ids)]
         assert [raw[s:e].decode() for s, e in zip(start, end)] == [p.surface for p in want.pieces]
         assert (end - start).sum() == len(raw)
+        start, end = enc.spans(raw, ids)
+        assert [raw[s:e].decode() for s, e in zip(start, end)] == [p.surface for p in want.pieces]
+    whole = enc.batch(next(t for _, _, t in textio.chunks(pa.array(TEXTS))))
+    each = [enc.batch(next(t for _, _, t in textio.chunks(pa.array([x])))) for x in TEXTS]
+    assert all(np.array_equal(whole[k], np.concatenate([e[k] for e in each])) for k in range(4))
 
 
 def test_round_trip_matches_the_library(spark):
