@@ -31,8 +31,8 @@ CHUNK = 1 << 20
 CACHE_WORDS, CACHE_LENGTH = 500_000, 32
 #: Words that the library gets as one text.
 JOINED = 200
-#: A word with the blanks before it, in the text or in its normalised form.
-WORD = re.compile("[ ▁]+[^ ▁]*")
+#: A word with the blanks before it (the last one of a text: those after it, too), in the text or in its normalised form.
+WORD = re.compile(r"[ ▁]+[^ ▁]+(?:[ ▁]+\Z)?|[ ▁]+")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)  # Fixed values: kinds of pieces in a model file
 
 
@@ -161,10 +161,9 @@ class Encoder:
             self.cache.clear()
         missing = list(set(chain.from_iterable(words)).difference(self.cache))
         if missing:  # some hundred make a text, which is cut again where they end; the library adds its first blank
-            blanks = [w for w in missing if not w.strip(" ▁")]  # at the ends of texts; these would merge with what follows
-            missing = [*set(missing).difference(blanks), *blanks]
-            solid = len(missing) - len(blanks)
-            joined = ["".join(missing[i:min(i + JOINED, solid)])[1:] for i in range(0, solid, JOINED)] + [w[1:] for w in blanks]
+            missing.sort(key=lambda w: w[-1] in " ▁")
+            solid = sum(w[-1] not in " ▁" for w in missing)  # the others, at ends of texts, would merge with what follows
+            joined = ["".join(missing[i:min(i + JOINED, solid)])[1:] for i in range(0, solid, JOINED)] + [w[1:] for w in missing[solid:]]
             ids = np.fromiter(chain.from_iterable(self.lib.encode(joined, num_threads=1)), np.int32)
             ends = np.cumsum([len(w.encode()) + w.count(" ") * (len(SPACE) - 1) for w in missing])
             cut = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
