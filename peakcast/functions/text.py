@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import json
 from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Named character references come from the standard table (those that end in a semicolon).
-_NAMES = json.dumps({k[:-1]: v for k, v in sorted(html5.items()) if k.endswith(";")}, ensure_ascii=True)
+# Named character references come from the standard table, the old ones without a semicolon included. All of them stand in
+# one text, as a name between U+0001 and U+0002 and then its characters: a search in it needs no map in the plan.
+_NAMES = "\u0001" + "".join(f"{k}\u0002{v}\u0001" for k, v in sorted(html5.items()))
+# Numbers 128 to 159 mean the characters of the Windows code page.
+_WINDOWS = bytes(range(128, 160)).decode("cp1252", "replace")
 
 
 # Fixed value: the characters Python's ``str.strip()`` removes (``str.isspace``).
@@ -27,33 +29,50 @@ def slug(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, "[^A-Za-z0-9]+", "_"), "^_+|_+$", "")
 
 
-def _code_point(hex_digits: Column) -> Column:
-    """The character of a code point given in hexadecimal (U+FFFD where there is none)."""
-    bytes_ = F.unhex(F.lpad(hex_digits, 8, "0"))
-    return F.when((F.length(F.ltrim(hex_digits, F.lit("0"))) > 6) | (F.conv(hex_digits, 16, 10).cast("long") > 0x10FFFF)
-                  | F.conv(hex_digits, 16, 10).cast("long").between(0xD800, 0xDFFF) | F.ltrim(hex_digits, F.lit("0")).eqNullSafe(""),
-                  F.lit("\ufffd")).otherwise(F.decode(bytes_, "UTF-32"))
+def _code_point(n: Column) -> Column:
+    """The character of a code point (U+FFFD where there is none)."""
+    return (F.when(n.between(128, 159), F.substring(F.lit(_WINDOWS), n.cast("int") - 127, F.lit(1)))
+            .when((n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")))
+
+
+def _named(ref: Column) -> Column:
+    """The characters of a named reference (null if the name is unknown)."""
+    at = F.position(F.concat(F.lit("\u0001"), ref, F.lit("\u0002")), F.lit(_NAMES))
+    return F.when(at > 0, F.substring_index(F.substring(F.lit(_NAMES), at + F.length(ref) + 2, F.lit(3)), "\u0001", 1))
 
 
 def decode_entities(c: Column) -> Column:
     """Character references decoded in one pass (``&amp;lt;`` stays ``&lt;``): decimal, hexadecimal and the
-    standard names. Anything else that begins with ``&`` is text."""
-    names = F.from_json(F.lit(_NAMES), "map<string,string>")
-
-    def one(x: Column, i: Column) -> Column:
-        ref = F.regexp_extract(x, r"^(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]*);", 1)
-        dec = F.regexp_extract(ref, r"^#([0-9]+)$", 1)
-        hexa = F.regexp_extract(ref, r"^#[xX]([0-9a-fA-F]+)$", 1)
-        char = (F.when(ref == "", F.lit(None)).when(dec != "", _code_point(F.hex(dec.cast("long"))))
-                .when(hexa != "", _code_point(hexa)))
+    standard names; numbers and the old names may lack the semicolon. Anything else that begins with ``&`` is text."""
+
+    def cut(x: Column) -> Column:  # each step's value is a field, so the next ones read it as often as they like
+        ref = F.regexp_extract(x, r"^(?:#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]*);?", 0)
+        return F.struct(x.alias("x"), ref.alias("ref"))
+
+    def number(p: Column) -> Column:
+        digits = F.rtrim(F.substring(p["ref"], 2, 9), F.lit(";"))
+        n = F.when(p["ref"].startswith("#"), F.when(F.lower(digits).startswith("x"), F.conv(F.substring(digits, 2, 8), 16, 10)).otherwise(digits))
+        return F.struct(p["x"].alias("x"), p["ref"].alias("ref"), n.cast("long").alias("n"))
+
+    def one(p: Column, i: Column) -> Column:
+        x, ref = p["x"], p["ref"]
+        char = F.when((i == 0) | (ref == ""), F.lit(None)).when(p["n"].isNotNull(), _code_point(p["n"]))
         for name in ("amp", "lt", "gt", "quot", "nbsp"):  # the usual ones need no look at the table
-            char = char.when(ref == name, F.lit(html5[f"{name};"]))
-        char = char.otherwise(F.try_element_at(names, ref))
-        return (F.when(i == 0, x).when(char.isNull(), F.concat(F.lit("&"), x))
-                .otherwise(F.concat(char, F.substring(x, F.length(ref) + 2, F.length(x)))))
+            char = char.when(ref == f"{name};", F.lit(html5[f"{name};"]))
+        return F.struct(x.alias("x"), F.length(ref).alias("skip"), char.otherwise(_named(ref)).alias("char"))
 
-    pieces = F.split(c, "&", -1)
-    return F.when(c.contains("&"), F.array_join(F.transform(pieces, one), "")).otherwise(c)
+    def put(p: Column, i: Column) -> Column:
+        return (F.when(i == 0, p["x"]).when(p["char"].isNull(), F.concat(F.lit("&"), p["x"]))
+                .otherwise(F.concat(p["char"], F.substring(p["x"], p["skip"] + 1, F.length(p["x"])))))
+
+    pieces = F.transform(F.transform(F.transform(F.split(c, "&", -1), cut), number), one)
+    return F.when(c.contains("&"), F.array_join(F.transform(pieces, put), "")).otherwise(c)
+
+
+def without_tags(fragment: Column) -> Column:
+    """Text nodes of a fragment, blanks next to tags removed, references as they stand."""
+    return F.when(fragment.contains("<"), F.regexp_replace(fragment, r"\s*<[^>]*>\s*", "")).otherwise(fragment)
 
 
 def visible_text(fragment: Column) -> Column:
@@ -61,15 +80,52 @@ def visible_text(fragment: Column) -> Column:
 
     The tag strip and the entity decoding only run on text that has a ``<`` / ``&``.
     """
-    no_tags = F.when(fragment.contains("<"), F.regexp_replace(fragment, r"\s*<[^>]*>\s*", "")).otherwise(fragment)
-    return pystrip(decode_entities(no_tags))
+    return pystrip(decode_entities(without_tags(fragment)))
+
+
+def visible_texts(fragments: Column) -> Column:
+    """``visible_text`` of each of an array of fragments (none of them null), references decoded in one go."""
+    joined = F.array_join(F.transform(fragments, without_tags), "\u0001")
+    return F.transform(F.split(decode_entities(joined), "\u0001", -1), pystrip)
 
 
 def node_text(fragment: Column, sep: str = " ") -> Column:
     """Text nodes of a fragment, each stripped, empty ones dropped, joined with ``sep``; entities decoded."""
     parts = F.split(F.regexp_replace(fragment, r"<[^>]*>", "\u0001"), "\u0001")
     kept = F.filter(F.transform(parts, lambda x: pystrip(decode_entities(x))), lambda x: x != "")
-    return F.array_join(kept, sep)
+    return (F.when(fragment.contains("<"), F.array_join(kept, sep)).when(fragment.contains("&"), pystrip(decode_entities(fragment)))
+            .otherwise(pystrip(fragment)))
+
+
+# Parts of a page that are no markup and no visible text.
+HIDDEN_RE = r"(?is)<!--.*?(?:-->|\z)|<(script|style)(?=[\s/>]).*?(?:</\1\s*>|\z)"
+
+
+def without_hidden(html: Column) -> Column:
+    """A page without comments, scripts and style sheets (an unclosed one lasts to the end)."""
+    return F.when(html.rlike(r"(?i)<(?:!--|script|style)"), F.regexp_replace(html, HIDDEN_RE, "")).otherwise(html)
+
+
+def element_body(rest: Column) -> Column:
+    """What a ``div`` holds, of the text after its opening tag: up to the place where as many divs are closed as
+    opened (to the end if that never happens). The text is cut before each div tag and folded with a running depth."""
+    pieces = F.split(rest, r"(?i)(?=</?div[\s/>])", -1)
+    state = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("taken"))
+
+    def step(s: Column, x: Column) -> Column:
+        depth = s["depth"] + F.when(x.rlike(r"(?i)^</div[\s/>]"), -1).when(x.rlike(r"(?i)^<div[\s/>]"), 1).otherwise(0)
+        return F.when(s["depth"] == 0, s).otherwise(
+            F.struct(depth.alias("depth"), (s["taken"] + F.when(depth > 0, 1).otherwise(0)).alias("taken")))
+
+    taken = F.aggregate(pieces, state, step, lambda s: s["taken"])
+    return F.array_join(F.slice(pieces, 1, taken), "")
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute in the text of an opening tag, in double quotes, in single quotes or bare, its references
+    as they stand ('' if absent)."""
+    value = F.regexp_extract(tag, rf"""(?i)(?:^|[\s"']){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    return F.when(tag.contains(name), F.regexp_replace(value, r"""^["']|["']$""", "")).otherwise("")
 
 
 def url_query_param(url: Column, name: str) -> Column:

@@ -252,7 +252,7 @@ from ..operators.catalogue import SITE, anchors, build_catalogue, valid_catalogu
 from ..operators.pages import page_rows, pages_without_rows  # noqa: E402
 from ..sources.fixture import read_table  # noqa: E402
 from ..sources.layout import SEASONS  # noqa: E402
-from ..sources.rendered import division_pages, result_pages  # noqa: E402
+from ..sources.rendered import division_pages, nested_variant, result_pages  # noqa: E402
 
 _WS = O.WS_SQL
 
@@ -353,6 +353,16 @@ def p20_page_rows_csv_mode(spark, sf):
     return _round_trip(spark, sf, "csv")
 
 
+@register("p16_nested_markup", SQL["p14_page_rows"])
+def p16_nested_markup(spark, sf):
+    """Nested divs, comments, scripts, bare attribute values and stray cells change nothing in the rows."""
+    pages, cat = result_pages(raw_marks(spark, sf))
+    pages = pages.withColumn("html", nested_variant(F.col("html"), F.pmod(F.xxhash64("page_id"), F.lit(5))))
+    rows = page_rows(core.materialize(pages.join(cat, "url"), "nested-pages"))
+    return rows.select("Division", "School", "Team", "Gender", "SeasonLabel", "SeasonYear", "Event", "Athlete", "ClassYear",
+                       "MarkOrTime", "Wind", "Meet", "MeetDate")
+
+
 @register("p12_inferred_page_meta", O.with_ctes(O.RAW_MARKS, body="""
 SELECT DISTINCT School, Gender, Division FROM raw_marks"""))
 def p12_inferred_page_meta(spark, sf):

@@ -68,7 +68,7 @@ ENTITIES = ["&eacute;", "&#233;", "&#x27;", "&#X1F600;", "&amp;lt;", "&nosuch;",
 
 
 def test_entities_like_the_standard_library(spark):
-    want = [e if e == "&lt" else pyhtml.unescape(e) for e in ENTITIES]
+    want = [pyhtml.unescape(e) for e in ENTITIES]
     assert one_col(spark, ENTITIES, decode_entities) == want
 
 
@@ -129,3 +129,22 @@ def test_variants_of_a_page_have_the_same_rows(spark, kind):
     p = pages(spark, plain)
     rows = lambda df: sorted(tuple(r) for r in page_rows(df, meta_cols=False).select("Athlete", "MarkOrTime", "Meet", "Division").collect())
     assert rows(p.withColumn("html", markup_variant(F.col("html"), F.lit(kind)))) == rows(p)
+
+
+def test_balanced_markup(spark):
+    """Nested divs, comments, scripts, bare values, references without a semicolon, cells outside rows."""
+    row = '<div class="performance-list-row"><div class="col-athlete">Nobody</div><div data-label="Time">1.0</div></div>'
+    html = (f'<div class="col-lg-12"><div><h3>Mile</h3></div></div><h3>No heading</h3><!-- {row} --><script>"{row}"</script>'
+            '<div class=performance-list-row id=x><div data-label="Time"><div></div><span>4:10.0</span></div><DIV data-label=Wind>1.0</DIV>'
+            '<div class="a col-athlete b"><div><div>B</div></div>&amp C&#146;s &copy &unknown &notin;</div><div data-label="Meet &#68;ate">d</div></div>'
+            f'<div data-label="Year">stray</div><style>{row}</style><!-- open {row}')
+    got = [tuple(r) for r in page_rows(pages(spark, html)).select("Event", "Athlete", "MarkOrTime", "Wind", "MeetDate", "ClassYear").collect()]
+    assert got == [("Mile", "B& C\u2019s \u00a9 &unknown \u2209", "4:10.0", "1.0", "d", "")]
+
+
+def test_heading_is_that_of_its_own_div(spark):
+    html = ('<div class="col-lg-12"></div><h3>Outside</h3><div class="performance-list-row"><div class="col-athlete">A</div></div>'
+            '<div class="col-lg-12"><h3>Inside</h3></div><div class="performance-list-row"><div data-label="Time">2</div></div>')
+    assert [r.Event for r in page_rows(pages(spark, html)).orderBy("block_no").collect()] == ["Unknown Event", "Inside"]
+    kept = page_rows(pages(spark, html), mode="csv").collect()
+    assert kept == []  # the first has no heading, the second no athlete
