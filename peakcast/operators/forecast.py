@@ -52,6 +52,24 @@ def wide_metrics(per_event: DataFrame, overall: DataFrame, n_events: DataFrame,
     return overall.join(n_events, group, "left").join(wide, group, "left")
 
 
+#: Events that get a column of their own, at most.
+MAX_EVENT_COLUMNS = 200
+
+
+def metric_events(per_event: DataFrame, most: int = MAX_EVENT_COLUMNS) -> list[str]:
+    """Events for the columns of ``wide_metrics``, by name: the ``most`` events with the most rows in all groups (ties:
+    by name). The driver gets that many names, however many events there are."""
+    rows = per_event.groupBy("event").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "event").limit(most).collect()
+    return sorted(r["event"] for r in rows if r["event"] is not None)
+
+
+def other_metrics(per_event: DataFrame, events: list[str], group: str = "Gender") -> DataFrame:
+    """(group, other_val_mae): a map with the values of all events that have no column of their own. With
+    ``wide_metrics`` of the same ``events``, no event's value is lost."""
+    rest = per_event.filter(~F.col("event").isin(events) & F.col("val_mae").isNotNull() & F.col("event").isNotNull())
+    return rest.groupBy(group).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("event", "val_mae")))).alias("other_val_mae"))
+
+
 # ---- persistence control ----------------------------------------------------------------
 
 def persistence(ts: DataFrame) -> DataFrame:
@@ -243,4 +261,4 @@ def scoring_window(blocks: DataFrame, subs_meta: DataFrame, events: DataFrame, k
 
 __all__ = ["per_event_mae", "overall_mae", "wide_metrics", "persistence", "fit_task_models", "score_task_models",
            "latest_seasons", "format_forecast", "gbt_forecast", "scoring_blocks", "scoring_window",
-           "weighted_mean_loss", "SEQ_FIELDS"]
+           "weighted_mean_loss", "metric_events", "other_metrics", "SEQ_FIELDS"]

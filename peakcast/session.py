@@ -44,8 +44,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        d = tempfile.mkdtemp(prefix="peakcast-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", d)
+        d = tempfile.mkdtemp(prefix="peakcast-ckpt-", dir="/tmp")  # kept by the context; the setting itself is static
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
 

@@ -3,22 +3,32 @@
 A stateful streaming aggregation per (key, season) keeps min, max, count and, by ``min_by`` over the source
 position, the first row's orientation and attributes: all order-free, so the result equals the batch result
 whatever order marks arrive in. State is sized by the number of seasons, not marks. In update mode each
-trigger emits only the seasons it changed; ``foreachBatch`` merges them into a Parquet table cut into hash
-buckets of the key and rewrites only the buckets that changed. A retried batch replaces the same rows by the
-same values.
+trigger emits only the seasons it changed; ``foreachBatch`` merges them into a versioned table.
+
+The table is a list of bucket folders (hash of the key) that a numbered pointer names (``sources.versions``). A batch
+reads the folders of the buckets it touches and no others, writes these buckets anew beside them, and then publishes
+the list with its own folders put in: readers see the table before or after a batch, whole. The list also says which
+batch of which stream it holds, so a batch that is replayed after its pointer is skipped, and one that died before it
+starts over from the same table. Buckets double when they hold more than ROWS_PER_BUCKET rows on average.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import ORD, prepare_marks
-from ..session import path_exists
+from ..session import _fs
+from ..sources import versions
 
 KEYS = ["fam_key", "season_key"]
 ATTRS = ("SeasonYear", "SeasonLabel", "Gender", "family")
-BUCKETS = 64
+#: Buckets of a new table, and rows that a bucket holds on average before their number is doubled.
+BUCKETS, ROWS_PER_BUCKET = 16, 500_000
 
 
 def streaming_peak_state(marks: DataFrame) -> DataFrame:
@@ -30,28 +40,75 @@ def streaming_peak_state(marks: DataFrame) -> DataFrame:
                       "n_marks")
 
 
-def merge_batch(root: str, buckets: int = BUCKETS):
-    """foreachBatch function: ``<root>/table`` has one folder for each bucket of keys."""
-    table, staged = f"{root}/table", f"{root}/staged"
+def _table(spark: SparkSession, root: str, buckets: int) -> dict:
+    """The newest list: number of buckets, folder and rows of each, last batch of each stream."""
+    found = versions.newest(spark, root)
+    return json.loads(found[1]) | {"version": found[0]} if found else {"buckets": buckets, "paths": {}, "rows": {}, "applied": {}, "version": 0}
+
+
+def merge_batch(root: str, buckets: int = BUCKETS, source: str = "stream", rows_per_bucket: int = ROWS_PER_BUCKET,
+                before_publish: Callable[[], None] | None = None):
+    """foreachBatch function that merges changed seasons into the table at ``root``. ``source`` names the stream that
+    batch numbers belong to; one writer at a time (a second one fails at its pointer). ``before_publish`` is called
+    between writing and publishing (tests)."""
 
     def _merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = batch.withColumn("bucket", F.pmod(F.xxhash64("fam_key"), F.lit(buckets)).cast("int")).persist()
-        merged = new
-        if path_exists(spark, f"{table}/_SUCCESS"):
-            old = spark.read.parquet(table)
-            touched = old.join(new.select("bucket").distinct(), "bucket", "left_semi")
-            merged = touched.join(new.select(*KEYS), KEYS, "left_anti").unionByName(new)
-        # Staged first: the table's own files are read above, so they cannot be overwritten in the same job.
-        merged.write.mode("overwrite").parquet(staged)
-        (spark.read.schema(merged.schema).parquet(staged).repartition("bucket").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(table))
-        new.unpersist()
+        t = _table(spark, root, buckets)
+        if t["applied"].get(source, -1) >= batch_id:
+            return
+        n, total = t["buckets"], sum(t["rows"].values())
+        while total > n * rows_per_bucket:
+            n *= 2
+        of = lambda df, k: df.withColumn("bucket", F.pmod(F.xxhash64("fam_key"), F.lit(k)).cast("int"))
+        new = of(batch, n).persist()
+        try:
+            touched = {r["bucket"] for r in new.select("bucket").distinct().collect()}  # n of them at most
+            # A power of two times as many buckets: an old one's rows go to those that equal it modulo the old number.
+            old_touched = {b % t["buckets"] for b in touched} if n == t["buckets"] else set(map(int, t["paths"]))
+            paths = [t["paths"][str(b)] for b in sorted(old_touched) if str(b) in t["paths"]]
+            merged = new
+            if paths:
+                old = of(spark.read.schema(batch.schema).parquet(*paths), n)
+                merged = old.join(new.select(*KEYS), KEYS, "left_anti").unionByName(new)
+            out = f"{root}/data/{batch_id}-{uuid.uuid4().hex}"
+            merged.repartition("bucket").write.partitionBy("bucket").parquet(out)
+        finally:
+            new.unpersist()
+        rows = {str(r["bucket"]): r["count"] for r in spark.read.parquet(out).groupBy("bucket").count().collect()} if touched or paths else {}
+        keep = {} if n != t["buckets"] else t["paths"]
+        table = {"buckets": n, "paths": keep | {b: f"{out}/bucket={b}" for b in rows},
+                 "rows": {b: c for b, c in t["rows"].items() if b in keep} | rows, "applied": t["applied"] | {source: batch_id}}
+        if before_publish is not None:
+            before_publish()
+        if not versions.point(spark, root, t["version"] + 1, json.dumps(table)):
+            raise RuntimeError(f"another writer published version {t['version'] + 1} of {root}")
     return _merge
 
 
-def read_peaks(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/table").drop("bucket")
+def read_peaks(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The table's newest version, or an older one by its number."""
+    t = json.loads(versions.read_pointer(spark, root, version)) if version else _table(spark, root, BUCKETS)
+    if not t["paths"]:
+        raise FileNotFoundError(f"no version under {root}")
+    return spark.read.parquet(*(t["paths"][b] for b in sorted(t["paths"], key=int)))
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Delete bucket folders that none of the newest ``keep`` versions (one at least) names, and older pointers. Returns
+    the number of deleted folders. Not while a batch is being merged: its folders are named only at its end."""
+    numbers = versions.pointers(spark, root)
+    live = {p for v in numbers[-max(keep, 1):] for p in json.loads(versions.read_pointer(spark, root, v))["paths"].values()}
+    fs, data = _fs(spark, f"{root}/data")
+    deleted = 0
+    for folder in (fs.listStatus(data) if numbers and fs.exists(data) else []):
+        for bucket in fs.listStatus(folder.getPath()):
+            name = f"{root}/data/{folder.getPath().getName()}/{bucket.getPath().getName()}"
+            if bucket.isDirectory() and name not in live:
+                deleted += bool(fs.delete(bucket.getPath(), True))
+    for v in numbers[:-max(keep, 1)]:
+        fs.delete(_fs(spark, f"{root}/versions/{v}")[1], False)
+    return deleted
 
 
 def stream_peaks(spark: SparkSession, raw_dir: str, raw_schema: str, ordinal_cols: list[str], out_root: str,
