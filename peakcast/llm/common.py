@@ -39,13 +39,34 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+#: Groups (languages, domains) that a model fitted on the driver may have.
+MAX_GROUPS = 1000
+
+
 def smallest_by_hash(df: DataFrame, group: str, key: str, limit: int, salts: int = 16) -> DataFrame:
-    """Of each value of ``group``, the ``limit`` rows of smallest hash of ``key``. The limit is applied in each task, then
-    in each of ``salts`` parts of a group, and only then to the group, so no task gets more than salts * limit rows."""
+    """(group, key): of each value of ``group``, the ``limit`` different keys of smallest hash, however often a key
+    stands there. The limit is applied in each task, then in each of ``salts`` parts of a group, and only then to the
+    group, so no task gets more than salts * limit rows."""
     h = F.xxhash64(key)
     first = W.partitionBy(group, "__salt").orderBy("__hash", key)
     last = W.partitionBy(group).orderBy("__hash", key)
-    d = df.withColumn("__hash", h).withColumn("__salt", F.pmod(F.xxhash64(F.lit("salt"), key), F.lit(salts)))
+    d = (df.select(group, key).distinct().withColumn("__hash", h)
+         .withColumn("__salt", F.pmod(F.xxhash64(F.lit("salt"), key), F.lit(salts))))
     for w in (first, last):
         d = d.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") <= limit).drop("__rank")
     return d.drop("__hash", "__salt")
+
+
+def one_text(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, text): one row for each key, with that of its texts whose hash is smallest (null only if it has no other), so
+    that a bound on keys bounds rows as well."""
+    return rows.groupBy(*keys).agg(F.min_by("text", F.when(F.col("text").isNotNull(), F.xxhash64("text"))).alias("text"))
+
+
+def bounded_groups(df: DataFrame, group: str, most: int = MAX_GROUPS) -> DataFrame:
+    """``df``, after a count: more than ``most`` values of ``group`` are an error, since the driver holds a row of the
+    model for each."""
+    n = df.select(group).distinct().limit(most + 1).count()
+    if n > most:
+        raise ValueError(f"more than {most} values of {group}: the model would not be bounded")
+    return df

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import doc_text, fold, smallest_by_hash
+from .common import bounded_groups, doc_text, fold, one_text, smallest_by_hash, stored
 from .textio import Texts, chunks
 
 FOLDS, HELD_OUT = 3, 1
@@ -150,15 +150,20 @@ def training_ids(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """doc_id, lang of at most ``max_train`` documents for each language, outside the held-out fold."""
     d = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
          .filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT)))
-    return smallest_by_hash(d, "lang", "doc_id", max_train).distinct()
+    return smallest_by_hash(d, "lang", "doc_id", max_train)
 
 
-def learn(docs: DataFrame, max_train: int = MAX_TRAIN, top: int = TOP) -> Profiles:
-    """Profiles of the languages in ``docs.lang``: at most ``top`` entries each."""
-    ids = training_ids(docs, max_train)
+def training_texts(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+    """lang, text of the training documents, a row each however often an id stands there. More than MAX_GROUPS languages
+    are an error."""
+    ids = bounded_groups(stored(training_ids(docs, max_train), "training-ids"), "lang")
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                        F.col("text").cast("string").alias("text"))
+    return one_text(text.join(F.broadcast(ids), ["doc_id", "lang"]), ["lang", "doc_id"]).select("lang", "text")
 
+
+def learn(texts: DataFrame, top: int = TOP) -> Profiles:
+    """Profiles of the languages of ``texts`` (lang, text; a bounded number of rows): at most ``top`` entries each."""
     def work(batches):
         for b in batches:
             langs = np.asarray(b.column(0).to_pylist(), object)
@@ -171,8 +176,7 @@ def learn(docs: DataFrame, max_train: int = MAX_TRAIN, top: int = TOP) -> Profil
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes.astype(np.int32)), pa.array(n)],
                                                      names=["lang", "code", "n"])
 
-    counts = (text.join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "text")
-              .mapInArrow(work, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")))
+    counts = (texts.select("lang", "text").mapInArrow(work, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")))
     by = W.partitionBy("lang").orderBy(F.desc("n"), "code")
     rows = counts.withColumn("r", F.row_number().over(by)).filter(F.col("r") <= top).select("lang", "code", "r").toPandas()
     languages = sorted(rows["lang"].unique())
@@ -203,7 +207,7 @@ def identify(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     first of the nearest languages. Ties go to the first language in order. If nothing can be learned (no row with a
     language outside the held-out fold), all rows are ``und``. A null id falls in fold 0. Empty table: no rows.
     """
-    profiles = learn(docs, max_train)
+    profiles = learn(training_texts(docs, max_train))
     d = doc_text(docs)
     held = (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out")
     if not profiles.languages:
@@ -215,22 +219,21 @@ def identify(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
                     F.when(F.col("has_letter"), F.col("p.score")).otherwise(0.0).alias("score"))
 
 
-def floor(docs: DataFrame, profiles: Profiles, max_train: int = MAX_TRAIN) -> Floor:
-    """The floor of the training documents' own scores (the bounded sample that profiles are learned from)."""
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
-                       F.col("text").cast("string").alias("text"))
-    p = (text.join(F.broadcast(training_ids(docs, max_train)), ["doc_id", "lang"])
-         .select(_predictor(docs, profiles)(F.col("text")).alias("p")).filter(F.col("p.size") > 0).select("p.size", "p.score").toArrow())
+def floor(texts: DataFrame, profiles: Profiles) -> Floor:
+    """The floor of the scores of ``texts`` (the training texts, a bounded number of rows)."""
+    p = (texts.select(_predictor(texts, profiles)(F.col("text")).alias("p")).filter(F.col("p.size") > 0)
+         .select("p.size", "p.score").toArrow())
     return fit_floor(np.asarray(p.column("size"), np.int64), np.asarray(p.column("score"), float))
 
 
 def accept(docs: DataFrame, max_train: int = MAX_TRAIN, deviations: float = DEVIATIONS) -> DataFrame:
     """``docs`` (all its columns) without the rows that no learned language fits: null texts, texts without letters, and
     scores under the training documents' floor at the text's number of n-grams, whatever its length."""
-    profiles = learn(docs, max_train)
+    texts = stored(training_texts(docs, max_train), "training-texts")
+    profiles = learn(texts)
     if not profiles.languages:
         return docs.limit(0)
-    least = floor(docs, profiles, max_train)
+    least = floor(texts, profiles)
     predict = _predictor(docs, profiles)
 
     @F.arrow_udf("boolean")

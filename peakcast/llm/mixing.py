@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_text, smallest_by_hash, stored
+from .common import MAX_GROUPS, doc_text, one_text, smallest_by_hash, stored
 from .textio import SPACE_TABLE, U, Texts, chunks, words
 
 BITS = 16
@@ -48,12 +48,15 @@ class Domains:
 
 
 def learn(docs: DataFrame, labelled: DataFrame, max_train: int = MAX_TRAIN) -> Domains:
-    """The classifier from ``labelled`` (doc_id, domain): null ids and domains don't count."""
+    """The classifier from ``labelled`` (doc_id, domain): null ids and domains don't count; a document teaches once in each
+    of its domains, however often it stands there. More than MAX_GROUPS domains are an error."""
     known = (labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("domain").cast("string").alias("domain"))
              .filter(F.col("doc_id").isNotNull() & F.col("domain").isNotNull()))
-    share = {r["domain"]: r["n"] for r in known.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = {r["domain"]: r["n"] for r in known.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).limit(MAX_GROUPS + 1).collect()}
+    if len(share) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} domains: the model would not be bounded")
     names = sorted(share)
-    ids = smallest_by_hash(known, "domain", "doc_id", max_train).distinct()
+    ids = smallest_by_hash(known, "domain", "doc_id", max_train)
 
     def work(batches):
         for b in batches:
@@ -68,7 +71,8 @@ def learn(docs: DataFrame, labelled: DataFrame, max_train: int = MAX_TRAIN) -> D
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n[at].astype(np.int64))],
                                                      names=["domain", "slot", "n"])
 
-    rows = (doc_text(docs).join(F.broadcast(ids), "doc_id").select("domain", "text").mapInArrow(work, "domain string, slot int, n long")
+    texts = one_text(doc_text(docs).join(F.broadcast(ids), "doc_id"), ["domain", "doc_id"])
+    rows = (texts.select("domain", "text").mapInArrow(work, "domain string, slot int, n long")
             .groupBy("domain", "slot").agg(F.sum("n").alias("n")).toPandas())
     counts = np.full((len(names), 1 << BITS), 0.1)
     if len(rows):
@@ -111,6 +115,12 @@ class Mix:
     totals: np.ndarray
     steps: list[np.ndarray]
 
+    @property
+    def residual(self) -> float:
+        """Largest difference of a domain's expected total and its target, as a share of all tokens of the targets. Above
+        TOLERANCE, STEPS steps did not reach the targets (they may be out of reach)."""
+        return float(np.abs(self.totals - self.targets).max(initial=0.0) / max(self.targets.sum(), 1.0))
+
     def rate(self, p: Column) -> Column:
         steps, width = self.steps, len(self.model.names)
 
@@ -168,7 +178,8 @@ def _copies(rate: Column, *key: Column | str) -> Column:
 
 
 def mix_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, budget: float = 1.0) -> DataFrame:
-    """doc_id, n_tokens, domain (of the largest posterior), p_domain, rate, copies: one row per input row.
+    """doc_id, n_tokens, domain (of the largest posterior), p_domain, rate, copies, fit_steps, fit_residual (``Mix.residual``;
+    the last two are the same everywhere): one row per input row.
 
     Null and empty texts have no tokens and the domains' shares as posterior. Repeated rows get the same rate each.
     Without labelled rows, domain and p_domain are null and every rate is ``budget``. An empty table: no rows.
@@ -185,12 +196,14 @@ def mix_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] |
         got = got.select("doc_id", "m", F.array_max("m.p").alias("p_domain"), m.rate(F.col("m.p")).alias("rate"))
         got = got.select("doc_id", F.col("m.n").alias("n_tokens"), F.get(names, (F.array_position("m.p", F.col("p_domain")) - 1).cast("int")).alias("domain"),
                          "p_domain", "rate")
-    return got.withColumn("copies", _copies(F.col("rate"), "doc_id"))
+    return (got.withColumn("copies", _copies(F.col("rate"), "doc_id")).withColumn("fit_steps", F.lit(0 if m is None else len(m.steps)))
+            .withColumn("fit_residual", F.lit(0.0 if m is None else m.residual)))
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, budget: float = 1.0) -> DataFrame:
     """``docs`` (all its columns) with mix_rate and mix_copy: each row as often as its rate says (copy 1, 2, ...), rows
-    without a copy gone."""
+    without a copy gone. Null and empty texts have the domains' shares as posterior, and so a rate like others; repeated
+    rows are copied each; columns of these two names are replaced. An empty table: no rows."""
     m = fit(docs, labelled, weights, budget)
     text = F.col("text").cast("string")
     rate = F.lit(float(budget)) if m is None else m.rate(_member(docs, m.model)(text)["p"])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_text, fold
+from .common import doc_text, fold, one_text
 from .textio import SPACE_TABLE, U, Texts, Words, _powers, byte_table, chunks, mix, words
 
 BITS = 18
@@ -191,7 +191,8 @@ def fit(rows: list[np.ndarray], y: np.ndarray, cost: float = 1.0, alpha: float =
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """doc_id, label, slots of at most ``max_train`` labelled documents outside the held-out fold."""
+    """doc_id, label, slots of at most ``max_train`` labelled documents outside the held-out fold, a row each however often an
+    id stands among the documents."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
              .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (fold("doc_id", FOLDS) != 0))
              .groupBy("doc_id").agg(F.min("label").alias("label"))
@@ -205,8 +206,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
                     [b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo),
                      pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(s))], names=["doc_id", "label", "slots"])
 
-    picked = doc_text(docs).join(F.broadcast(known), "doc_id").select("doc_id", "label", "text")
-    return picked.mapInArrow(work, "doc_id long, label int, slots array<int>")
+    picked = one_text(doc_text(docs).join(F.broadcast(known), "doc_id"), ["doc_id", "label"])
+    return picked.select("doc_id", "label", "text").mapInArrow(work, "doc_id long, label int, slots array<int>")
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
