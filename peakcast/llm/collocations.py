@@ -2,14 +2,16 @@
 
 Tasks hash every word with a running polynomial over a text's bytes and every n-gram with one over its word hashes: an
 n-gram's fingerprint is a difference of two prefix sums, whatever its length. Fingerprints are counted in each task; the
-shuffle adds up the counts and keeps a second fingerprint's range and an occurrence pointer (the least id of a document
-that holds the n-gram). Phrases count per language, so a language is part of the fingerprint.
+shuffle adds up the counts and keeps a second fingerprint's range and an occurrence pointer (the least hash of a text that
+holds the n-gram, so that copies of a text are one place). Phrases count per language, so a language is part of the
+fingerprint.
 
 N-grams are counted by length: one of n words can reach a count only if both its parts of n - 1 words do. Which
 fingerprints reached it goes to the tasks as a bit table of a fixed size (BITS bits), so the shuffle gets few of the
 rare n-grams; a bit that is set by chance costs work, never a result.
 
-Only phrases with enough occurrences are materialised: the documents at the pointers give their text. Fingerprints whose
+Only phrases with enough occurrences are materialised: pointers are grouped by text and joined to the texts, which are
+hashed again and cut where a wanted fingerprint begins. Fingerprints whose
 second fingerprint isn't the same everywhere, or whose texts at the pointer differ, stand for several phrases: these are
 counted anew by their texts.
 """
@@ -43,6 +45,8 @@ WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 BITS = 26
 #: Bytes of text that a task hashes at a time; a longer text is cut between pieces.
 CHUNK = 1 << 20
+#: Pointers are text hashes without their last bits: equal pointers of different texts cost work, never a result.
+POINTER_SHIFT = 24
 #: N-grams that a task holds before it counts them.
 HELD = 1 << 20
 _WORD_BASE, _GRAM_BASE, _GRAM_BASE_2 = 0x2545F4914F6CDD1D, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5
@@ -170,13 +174,13 @@ def bit_table(fps: DataFrame, column: str = "fp") -> np.ndarray:
 
 
 def _pair(fp: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """One number for a fingerprint and the document that it is to be found in."""
+    """One number for a fingerprint and the text that it is to be found in."""
     with np.errstate(over="ignore"):
         return mix(fp.view(U) + mix(doc.view(U) + U(0x51))).view(np.int64)
 
 
 def scan(batches, sizes, fp_bits: int, with_check: bool = True):
-    """(languages, document ids, n-grams) of runs of rows (doc, lang, text)."""
+    """(languages, pointers, n-grams) of runs of rows (doc, lang, text)."""
     for b in batches:
         langs, docs = b.column(1).to_pylist(), b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
         seeds = language_seeds(langs)
@@ -185,7 +189,7 @@ def scan(batches, sizes, fp_bits: int, with_check: bool = True):
 
 
 class Miner:
-    """The scans of one corpus (``docs``: doc long, lang, text, none of them null)."""
+    """The scans of one corpus (``docs``: doc, the text's hash; lang; text; none of them null)."""
 
     def __init__(self, docs: DataFrame, least: int, longest: int, fp_bits: int):
         self.docs, self.least, self.longest, self.fp_bits = docs, least, longest, fp_bits
@@ -228,31 +232,41 @@ class Miner:
                 .filter(F.col("n") >= self.least).withColumn("size", F.lit(n)))
 
     def at_pointers(self, frequent: DataFrame) -> DataFrame:
-        """fp, lang, phrase for each frequent fingerprint, as it stands in the document of its pointer: several rows for a
-        fingerprint if that document has several phrases of it."""
+        """fp, size, lang, phrase for each frequent fingerprint, as it stands in the text of its pointer: several rows for a
+        fingerprint if that text has several phrases of it. A text's list of wanted fingerprints is no longer than the
+        text; a task passes on a text once, however many copies of it there are."""
+        wanted = stored(frequent.groupBy("doc").agg(F.collect_list("fp").alias("want")), "pointers")
+        shared = self.docs.sparkSession.sparkContext.broadcast(bit_table(wanted, "doc"))
+        fp_bits, sizes = self.fp_bits, range(1, self.longest + 1)
 
-        def pairs(batches):
+        def pointed(batches):
+            seen: set[int] = set()
             for b in batches:
-                fp, doc = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(_pair(fp, doc))], names=["fp"])
-
-        table = bit_table(frequent.select("fp", "doc").mapInArrow(pairs, "fp long"))
-        shared = self.docs.sparkSession.sparkContext.broadcast(table)
-        fp_bits, sizes = self.fp_bits, range(1, self.longest + 1)
+                doc = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                keep = has_bit(shared.value, doc)
+                for i in np.flatnonzero(keep).tolist():
+                    keep[i] = doc[i] not in seen
+                    seen.add(int(doc[i]))
+                yield b.filter(pa.array(keep))
 
         def work(batches):
-            for langs, docs, g in scan(batches, sizes, fp_bits, False):
-                rows = set()
-                for n in sizes:
-                    doc = docs[g.text[:len(g.fp[n])]]
-                    for i in np.flatnonzero(g.inside[n] & has_bit(shared.value, _pair(g.fp[n], doc))).tolist():
-                        rows.add((int(g.fp[n][i]), int(doc[i]), n, langs[g.text[i]], g.phrase(i, n)))
-                rows = sorted(rows)
-                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kind) for j, kind in enumerate(
-                    (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string()))], names=["fp", "doc", "size", "lang", "phrase"])
-
-        found = self.docs.mapInArrow(work, "fp long, doc long, size int, lang string, phrase string")
-        return found.join(frequent.select("fp", "doc", "size"), ["fp", "doc", "size"], "left_semi").drop("doc").distinct()
+            for b in batches:
+                wants = b.column(3)
+                owner = np.repeat(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64), np.diff(wants.offsets.to_numpy()))
+                pairs = np.unique(_pair(wants.flatten().to_numpy(zero_copy_only=False).astype(np.int64), owner))
+                for langs, docs, g in scan([b], sizes, fp_bits, False):
+                    rows = set()
+                    for n in sizes:
+                        found = np.isin(_pair(g.fp[n], docs[g.text[:len(g.fp[n])]]), pairs) & g.inside[n]
+                        for i in np.flatnonzero(found).tolist():
+                            rows.add((int(g.fp[n][i]), n, langs[g.text[i]], g.phrase(i, n)))
+                    rows = sorted(rows)
+                    yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kind) for j, kind in enumerate(
+                        (pa.int64(), pa.int32(), pa.string(), pa.string()))], names=["fp", "size", "lang", "phrase"])
+
+        texts = self.docs.mapInArrow(pointed, "doc long, lang string, text string").join(wanted, "doc")
+        found = texts.select("doc", "lang", "text", "want").mapInArrow(work, "fp long, size int, lang string, phrase string")
+        return found.join(frequent.select("fp", "size"), ["fp", "size"], "left_semi").distinct()
 
     def by_text(self, clashing: DataFrame) -> DataFrame:
         """size, lang, phrase, n of the phrases whose fingerprint is among ``clashing`` (fp, size), counted by their texts."""
@@ -277,9 +291,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
                      lang: str = "lang") -> DataFrame:
     """lang, phrase, size (words), n: all phrases of up to ``longest`` words that occur at least ``least`` times in a
     language, with their exact counts, whatever the fingerprints' collisions (``fp_bits`` below 64 makes some)."""
-    d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")).alias("doc"),
-                    F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"),
-                    F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    d = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    d = d.select(F.shiftright(F.xxhash64("lang", "text"), POINTER_SHIFT).alias("doc"), "lang", "text")
     m = Miner(d, least, longest, fp_bits)
     frequent, bits = None, None
     for n in range(1, longest + 1):
