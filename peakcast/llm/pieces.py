@@ -251,8 +251,10 @@ def decode(ids, path: str):
         lib, out = _Worker(path).encoder.lib, []
         for lo in range(0, len(column), 256):
             rows = column.slice(lo, 256)
-            live = [x for x in rows.to_pylist() if x is not None]
-            done = iter(lib.decode(live, num_threads=1) if live else [])
+            live = rows.drop_null()
+            ids, ends = live.flatten().to_numpy(zero_copy_only=False), np.cumsum(live.value_lengths().to_numpy(zero_copy_only=False))
+            lists = [x.tolist() for x in np.split(ids, ends[:-1])] if len(live) else []
+            done = iter(lib.decode(lists, num_threads=1) if lists else [])
             out += [next(done) if ok else None for ok in rows.is_valid().to_pylist()]
         return pa.array(out, pa.string())
 
