@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
+#: Bytes of text that a worker handles at a time: the tables of powers are then 8 MB each.
+CHUNK = (1 << 20) - 64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)
 _POW: dict[str, np.ndarray] = {}
@@ -65,7 +67,7 @@ class Texts:
         return len(self.starts) - 1
 
 
-def chunks(column: pa.Array, chunk_bytes: int = 1 << 21) -> Iterator[tuple[int, int, Texts]]:
+def chunks(column: pa.Array, chunk_bytes: int = CHUNK) -> Iterator[tuple[int, int, Texts]]:
     """(first row, end row, texts) for runs of whole texts of about ``chunk_bytes`` (a longer text is alone).
     Null texts are empty."""
     if isinstance(column, pa.ChunkedArray):
