@@ -226,10 +226,42 @@ def test_token_counts_table(spark, monkeypatch):
     monkeypatch.setattr(token_counts, "CACHE_ENTRIES", 3)
     lib = library()
     rows = [*enumerate(TRICKY), (None, "a b"), (90, None), (2, TRICKY[2]), (91, "the quick brown " * 3000)]
-    got = Counter(tuple(r) for r in token_counts.token_counts(docs_of(spark, rows), public_tokenizers.path("word_bpe_49k.json"), sample_docs=3, table_size=4).collect())
+    got = Counter(tuple(r) for r in token_counts.token_counts(docs_of(spark, rows), public_tokenizers.path("word_bpe_49k.json"), table_size=4).collect())
     want = []
     for d, t in rows:
         n = len(lib.encode(t or "", add_special_tokens=False).ids)
         want.append((d, len((t or "").encode()), n, n > 2048))
     assert got == Counter(want)
     assert token_counts.token_counts(docs_of(spark, []), public_tokenizers.path("word_bpe_49k.json")).count() == 0
+
+
+def test_frequent_pieces_come_from_all_documents(spark, monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = [(i, "alpha beta") for i in range(600)] + [(600 + i, "caf\u00e9 gamma \u2019tis" if i % 2 else None) for i in range(1200)]
+    rows += [(5000 + i, f"rare{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}") for i in range(100)] + [(6000, "y" * 100 + " " + "z" * 65)]
+    counter = token_counts.TokenCounter(path, {})
+    want = Counter(p for _, t in rows for p in counter.pieces(t or ""))
+    total = want.total()
+    docs = docs_of(spark, rows).coalesce(1).sortWithinPartitions("doc_id")
+    got = {r.piece: r.n for r in token_counts.frequent_pieces(docs, path, 20).collect()}
+    assert got == {p: n for p, n in want.items() if 20 * n >= total} and {"alpha", "gamma", "\u2019tis"} <= set(got)
+    got = {r.piece: r.n for r in token_counts.frequent_pieces(docs, path, 10_000).collect()}
+    assert got == {p: n for p, n in want.items() if len(p) <= token_counts.LONGEST}
+    many = token_counts.frequent_pieces(docs_of(spark, rows).repartition(7), path, 20).collect()
+    assert {r.piece for r in many} >= {p for p, n in want.items() if 20 * n > 2 * total} and all(r.n <= want[r.piece] for r in many)
+    monkeypatch.setattr(token_counts, "COUNTED", 40)
+    got = {r.piece: r.n for r in token_counts.frequent_pieces(docs, path, 20).collect()}
+    assert all(want[p] - total // 10 <= n <= want[p] for p, n in got.items()) and {"alpha", "gamma"} <= set(got)
+    assert token_counts.frequent_lengths(docs_of(spark, []), path) == {}
+
+
+def test_cut_counts_loses_at_most_its_share():
+    rng = random.Random(3)
+    n, true = Counter(), Counter()
+    for _ in range(20_000):
+        w = int(rng.paretovariate(0.8))
+        true[w] += 1
+        n[w] += 1
+        if len(n) > 80:
+            token_counts.cut_counts(n, 20)
+    assert all(0 <= true[w] - n[w] <= 20_000 / 21 for w in true) and len(n) <= 80
