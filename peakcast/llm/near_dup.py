@@ -208,14 +208,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: documents with 100 * |A and B| >= percent * |A or B| are linked.
 
     Null, empty and blank texts have no shingles and are linked with nothing. Rows that repeat a doc_id are one
-    document and give one row; if their texts differ, the one with the smallest set name stands for it. Rows with a
+    document and give one row; if their texts differ, the one with the smallest set name stands for it, an empty one only
+    if the id has no other. Rows with a
     null id are never linked: each distinct one gives a row with a null component_id and kept true. An empty table
     gives no rows.
     """
     raw = stored(signatures(docs, percent), "signatures")
-    best = F.min(F.struct("set1", "set2", "n_shingles", "bands"))
+    best = F.min(F.struct(F.col("set1").isNull().alias("empty"), "set1", "set2", "n_shingles", "bands"))
     # A hot id is combined before the shuffle; null ids stay apart by their set.
-    sig = stored(raw.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(best.alias("s")).select("doc_id", "s.*"), "documents")
+    sig = stored(raw.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(best.alias("s")).select("doc_id", "s.*").drop("empty"), "documents")
     reps = stored(sig.filter(F.col("n_shingles") > 0).groupBy("set1", "set2")
                   .agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n"), F.min("bands").alias("bands")), "classes")
     members = reps.select(F.explode("bands").alias("bucket"), "id", "n")

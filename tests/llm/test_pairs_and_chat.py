@@ -79,6 +79,12 @@ def test_near_duplicates_edges(spark):
     assert near_dup.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_near_duplicates_prefer_a_text_to_none(spark):
+    rows = [(7, None), (7, "a b c d e f g"), (7, ""), (8, "a b c d e f g")]
+    got = sorted(tuple(r) for r in near_dup.near_duplicates(docs_of(spark, rows)).collect())
+    assert got == [(7, 3, 7, True), (8, 3, 7, False)]
+
+
 def test_bands_miss_at_most_as_stated():
     for percent in (80, 85):
         assert (1 - (percent / 100) ** near_dup.ROWS) ** near_dup.n_bands(percent) <= near_dup.MISS

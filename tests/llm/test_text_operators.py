@@ -58,10 +58,10 @@ def brute_contaminated(docs, items):
     cut = lambda t: [x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower()) if x]
     for (d, t), (i, b) in itertools.product(set(docs), set(items)):
         x, y = cut(t), cut(b)
-        if len(y) < decontaminate.MIN_WORDS:
+        if not y or (len(y) < 5 and len(x) != len(y)):
             continue
         n = min(decontaminate.WINDOW, len(y))
-        need = n - (decontaminate.SUBSTITUTIONS if len(y) >= decontaminate.WINDOW else 0)
+        need = n - (2 if len(y) >= 13 else 1 if len(y) >= 8 else 0)
         for p in range(len(x) - n + 1):
             for q in range(len(y) - n + 1):
                 m = sum(a == c for a, c in zip(x[p:p + n], y[q:q + n]))
@@ -95,6 +95,38 @@ def test_contaminated_matches_brute_force(spark):
     assert decontaminate.decontaminate(docs_of(spark, docs), bench).columns == docs_of(spark, docs).columns
 
 
+def test_masks_of_short_items_miss_no_replaced_word():
+    for n in range(1, decontaminate.WINDOW):
+        masks = decontaminate.short_masks(n)
+        assert all(any(i not in m for m in masks) for i in range(n)) == (n >= decontaminate.LOOSE)
+        assert all(len(m) >= min(n, 5) for m in masks)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_short_items_match_brute_force(spark, monkeypatch, broadcast):
+    """Items of every length below the window, with no, one and two replaced words, inside texts and as whole texts."""
+    if not broadcast:
+        monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
+    rng = random.Random(8)
+    v = vocabulary(25, rng)
+    items = [(n, " ".join(rng.choice(v) for _ in range(n))) for n in range(1, 16)]
+    docs = [(0, None), (1, " "), (None, items[2][1])]
+    for n, t in items:
+        for changed in range(3):
+            for place in range(3):
+                words = t.split()
+                for i in rng.sample(range(n), min(n, changed)):
+                    words[i] = "zzz"
+                around = [[rng.choice(v) for _ in range(rng.randint(1, 50))] if place == 2 else [] for _ in range(2)]
+                docs.append((1000 + 10 * len(docs), " ".join([*around[0], *words, *around[1]] + (["end"] if place == 1 else []))))
+    docs += [docs[7], (3, "clash " + items[9][1]), (3, items[12][1])]
+    bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, text_id string")
+    found = decontaminate.contaminated(docs_of(spark, docs), bench)
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.best_matches, r.first_word, r.last_word) for r in found.collect()}
+    assert got == brute_contaminated(docs, items)
+    assert {i for _, i in got} == set(range(1, 16)) and {m - i for (_, i), (_, m, _, _) in got.items() if 8 <= i <= 12} == {0, -1}
+
+
 def test_contaminated_with_empty_tables(spark):
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert decontaminate.contaminated(docs_of(spark, []), bench).count() == 0
