@@ -21,6 +21,8 @@ SPLIT_SEED = 42
 
 
 ROWS_PER_BUCKET = 4096  # rows that one task ranks at a time, about
+#: Groups without training rows that are named in the plan; if there are more, they are joined.
+LISTED_GROUPS = 64
 
 
 def same_group(left: DataFrame, right: DataFrame, cols: list[str]):
@@ -31,23 +33,36 @@ def same_group(left: DataFrame, right: DataFrame, cols: list[str]):
     return cond
 
 
+def shuffle_key(key_cols: list[str], seed: int) -> F.Column:
+    """32 hexadecimal digits that place a row in the seeded shuffle: md5 of its key columns and the seed, with colons
+    between (a null column is left out)."""
+    return F.md5(F.concat_ws(":", *(F.col(c).cast("string") for c in key_cols), F.lit(str(seed))))
+
+
 def seeded_rank(df: DataFrame, group_cols: list[str], key_cols: list[str], seed: int) -> DataFrame:
     """Add ``_rank`` (0-based) and ``_n``: each row's position in a seeded shuffle of its group, exactly.
 
-    The shuffle order is (xxhash64(key, seed), key). Instead of one window over a whole group
-    (which could hold a third of all rows), rows are counted per (group, top hash bits) bucket
-    with a partial aggregate, a running sum over the buckets of a group gives each bucket's start,
-    and rows are ranked only inside their bucket. The number of buckets follows the counted rows
-    (ROWS_PER_BUCKET each), so a bucket stays small at any size. Null groups are groups.
+    The shuffle order is (``shuffle_key``, key). No window sees a whole group, which could hold a third of all rows:
+    rows are counted by (group, bucket), a bucket being the first bits of the shuffle key, and ranked inside their
+    bucket only. A bucket's start is a prefix sum on two levels: buckets are summed to blocks, blocks are summed along
+    their group, buckets along their block. With B buckets (ROWS_PER_BUCKET rows each, whatever the size) both of these
+    windows have about the root of B rows: 16,384 each at 10^12 rows. Null groups are groups.
     Reproducible under any partitioning.
     """
-    bits = min(40, max(1, (df.count() // ROWS_PER_BUCKET).bit_length()))
-    h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
-    d = df.withColumn("_h", h).withColumn("_b", F.shiftright(F.col("_h"), 64 - bits))
-    counts = d.groupBy(*group_cols, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    w_cum = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = (counts.withColumn("_start", F.sum("_c").over(w_cum) - F.col("_c"))
-              .withColumn("_n", F.sum("_c").over(Window.partitionBy(*group_cols))).drop("_c"))
+    bits = min(40, max(2, (df.count() // ROWS_PER_BUCKET).bit_length()))
+    first_bits = F.conv(F.substring("_h", 1, 10), 16, 10).cast("long")
+    d = (df.withColumn("_h", shuffle_key(key_cols, seed)).withColumn("_b", F.shiftright(first_bits, 40 - bits)))
+    counts = (d.groupBy(*group_cols, "_b").agg(F.count(F.lit(1)).alias("_c"))
+              .withColumn("_block", F.shiftright("_b", bits // 2)))
+    before = lambda *by, order: (
+        Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    blocks = (counts.groupBy(*group_cols, "_block").agg(F.sum("_c").alias("_bc"))
+              .withColumn("_offset", F.coalesce(F.sum("_bc").over(before(*group_cols, order="_block")), F.lit(0)))
+              .withColumn("_n", F.sum("_bc").over(Window.partitionBy(*group_cols))).drop("_bc"))
+    inside = counts.withColumn("_s", F.coalesce(F.sum("_c").over(before(*group_cols, "_block", order="_b")), F.lit(0)))
+    starts = (inside.join(blocks, same_group(inside, blocks, group_cols) & (inside["_block"] == blocks["_block"]))
+              .select(*(inside[c] for c in group_cols), inside["_b"], (inside["_s"] + blocks["_offset"]).alias("_start"),
+                      blocks["_n"]))
     w_in = Window.partitionBy(*group_cols, "_b").orderBy("_h", *key_cols)
     return (d.join(starts, same_group(d, starts, group_cols) & (d["_b"] == starts["_b"]))
             .select(d["*"], starts["_start"], starts["_n"])
@@ -68,25 +83,42 @@ def fraction_split(rank: F.Column, n: F.Column, train_frac: float, val_frac: flo
 
 
 def time_split(samples: DataFrame, *, train_max_year: int = TRAIN_MAX_YEAR, valid_year: int = VALID_YEAR,
-               test_min_year: int | None = None, group: str = "Gender",
+               test_min_year: int | None = None, group: str | tuple[str, ...] = "Gender",
                fallback: tuple[float, float] = (0.8, 1.0), seed: int = SPLIT_SEED,
                key_cols: tuple[str, ...] = ("fam_key", "season_key")) -> DataFrame:
     """Add ``split`` (train / val / test / null) by sample year.
 
-    A group (gender; null is a group of its own) without any training row falls back to a seeded
+    A group (gender, or several columns; null is a group of its own) without any training row falls back to a seeded
     random split with exact sizes: the first floor(fallback[0] * n) rows of the shuffle are train, up to floor(fallback[1] * n)
     validation, the rest test (0.8 / 1.0 for the main model, 0.7 / 0.85 for the per-label one).
+
+    Which groups fall back is looked up first (a job over the group and year columns). None, as usual: the split is a
+    column of the samples, with no shuffle. Up to LISTED_GROUPS: they are named in a filter. More: they are joined.
     """
+    cols = [group] if isinstance(group, str) else list(group)
     yr = F.col("SeasonYear")
     by_year = F.when(yr <= train_max_year, "train").when(yr == valid_year, "val")
     if test_min_year is not None:
         by_year = by_year.when(yr >= test_min_year, "test")
-    flags = samples.groupBy(group).agg(F.coalesce(F.max((yr <= train_max_year).cast("int")), F.lit(0)).alias("_t"))
-    flagged = samples.join(flags, same_group(samples, flags, [group])).select(samples["*"], flags["_t"])
-    timed = flagged.filter(F.col("_t") == 1).drop("_t").withColumn("split", by_year)
-    ranked = seeded_rank(flagged.filter(F.col("_t") == 0).drop("_t"), [group], list(key_cols), seed)
+    bare = (samples.groupBy(*cols).agg(F.coalesce(F.max((yr <= train_max_year).cast("int")), F.lit(0)).alias("_t"))
+            .filter(F.col("_t") == 0).select(*cols))
+    listed = bare.limit(LISTED_GROUPS + 1).collect()
+    if not listed:
+        return samples.withColumn("split", by_year)
+    if len(listed) <= LISTED_GROUPS:
+        falls_back = F.lit(False)
+        for row in listed:
+            this = F.lit(True)
+            for c in cols:
+                this = this & F.col(c).eqNullSafe(F.lit(row[c]))
+            falls_back = falls_back | this
+        timed, random = samples.filter(~falls_back), samples.filter(falls_back)
+    else:
+        timed = samples.join(bare, same_group(samples, bare, cols), "left_anti")
+        random = samples.join(bare, same_group(samples, bare, cols), "left_semi")
+    ranked = seeded_rank(random, cols, list(key_cols), seed)
     random_split = fraction_split(F.col("_rank"), F.col("_n"), fallback[0], fallback[1])
-    return timed.unionByName(ranked.withColumn("split", random_split).drop("_rank", "_n"))
+    return timed.withColumn("split", by_year).unionByName(ranked.withColumn("split", random_split).drop("_rank", "_n"))
 
 
 def task_split(samples: DataFrame, task_keys: list[str], *, min_train: int = MIN_TRAIN_PER_EVENT,
@@ -123,6 +155,12 @@ def event_ids(allowed: DataFrame, group: str = "Gender") -> DataFrame:
     return allowed.select(group, "event", (F.row_number().over(w) - 1).alias("event_id"))
 
 
+def inverse_z(z: F.Column | str, mu: F.Column | str, sd: F.Column | str) -> F.Column:
+    """A standardised value (or a forecast of one) in its event's own unit."""
+    z, mu, sd = (F.col(c) if isinstance(c, str) else c for c in (z, mu, sd))
+    return z * sd + mu
+
+
 def event_stats(samples: DataFrame, group: str = "Gender") -> DataFrame:
     """Per-event mean and population std of the target on training rows; (0, 1) if none; std < 1e-6 -> 1."""
     tr = F.col("split") == "train"
