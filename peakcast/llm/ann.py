@@ -68,8 +68,14 @@ class Index:
         return r, k, dist[r, k]
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that their largest component lies in [0.5, 1): a cosine's products neither
+    overflow nor vanish, and its value stays the same to the last bit."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _units(x: np.ndarray) -> np.ndarray:
-    x = x / np.maximum(np.abs(x).max(axis=1, keepdims=True), 1e-300)
+    x = _scaled(x)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -193,7 +199,7 @@ def nearest(embeddings: DataFrame, is_query, k: int = 5) -> DataFrame:
         for b in batches:
             for i in range(len(b)):
                 ent, vis = b.column("entries")[i].values, b.column("visitors")[i].values
-                x, y = _vectors(ent.field("v")), _vectors(vis.field("v"))
+                x, y = _scaled(_vectors(ent.field("v"))), _scaled(_vectors(vis.field("v")))
                 ids = ent.field("ids")
                 owner = np.repeat(np.arange(len(ids)), np.diff(np.asarray(ids.offsets)))
                 flat = np.asarray(ids.flatten(), np.int64)

@@ -1,15 +1,18 @@
 """License scan by diagonal voting.
 
 All rolling word k-gram hashes of the documents are joined to the positions of the same hashes in license
-templates (a fixed set, so the broadcast side has a fixed size). A hit votes for the diagonal (document
+templates (a parameter of any length; the broadcast side has a row for each template word and is counted). A hit votes for the diagonal (document
 position minus template position); neighbouring diagonals, which differ by words put in or left out, are
-merged, and a merged span counts if it covers enough of the template's words.
+merged, and a merged span counts if it covers enough of the template's words. Covered positions are held as bits, in
+parts of PART positions, so a template may be a whole license text.
 
 Base phrases are templates of their own that must stand unchanged: their one hash covers the whole phrase.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -19,7 +22,7 @@ from .wordcols import ascii_words, hash_at
 
 # Phrases and labels of the base scan.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-# Sentences of public license notices (words in lower case), 63 words at most each.
+# Sentences and whole texts of public license notices (words in lower case).
 TEMPLATES = [
     ("apache-2.0", "licensed under the apache license version 2 0"),
     ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in "
@@ -42,37 +45,67 @@ TEMPLATES = [
     ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
             "granted"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+            "documentation files the software to deal in the software without restriction including without limitation the "
+            "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+            "persons to whom the software is furnished to do so subject to the following conditions the above copyright "
+            "notice and this permission notice shall be included in all copies or substantial portions of the software the "
+            "software is provided as is without warranty of any kind express or implied including but not limited to the "
+            "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the "
+            "authors or copyright holders be liable for any claim damages or other liability whether in an action of "
+            "contract tort or otherwise arising from out of or in connection with the software or the use or other dealings "
+            "in the software"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+            "granted provided that the above copyright notice and this permission notice appear in all copies the software "
+            "is provided as is and the author disclaims all warranties with regard to this software including all implied "
+            "warranties of merchantability and fitness in no event shall the author be liable for any special direct "
+            "indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether "
+            "in an action of contract negligence or other tortious action arising out of or in connection with the use or "
+            "performance of this software"),
 ]
 K = 3
 #: Share of a template's words that a span must cover.
 COVER = 0.75
 #: Diagonals this close are one span.
 SLIP = 2
+#: Positions of a template whose bits are held in one long (a gram may reach K - 1 bits further before it is cut).
+PART = 60
+#: Words of all templates together up to which their grams are broadcast; beyond, they are joined by shuffle.
+MAX_BROADCAST = 200_000
+
+
+def template_words(text: str) -> list[str]:
+    """Words of a template, by the documents' rule."""
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
 
 
-def _templates(spark) -> DataFrame:
-    """kind (k-gram length), gram hash, template number (negative for base phrases), position. Fixed size."""
-    rows = [(-i - 1, len(p.split()), p.split(), 0) for i, p in enumerate(BASE)]
-    for i, (_, t) in enumerate(TEMPLATES):
-        w = t.split()
-        assert K <= len(w) <= 63
-        rows += [(i, K, w, p) for p in range(len(w) - K + 1)]
-    df = spark.createDataFrame(rows, "template int, kind int, words array<string>, at int")
+def _templates(spark, cut: list[list[str]]) -> DataFrame:
+    """gram hash, template number (negative for base phrases), position: a row for each word of the templates."""
+    rows = [(-i - 1, len(p.split()), p.split(), [0]) for i, p in enumerate(BASE)]
+    rows += [(i, K, w, list(range(len(w) - K + 1))) for i, w in enumerate(cut)]
+    df = (spark.createDataFrame(rows, "template int, kind int, words array<string>, places array<int>")
+          .select("template", "kind", "words", F.explode("places").alias("at")))
     key = F.lit(None).cast("long")
     for k in sorted({K, *(len(p.split()) for p in BASE)}):
         key = F.when(F.col("kind") == k, hash_at(F.col("words"), F.col("at"), tuple(range(k)), k)).otherwise(key)
-    return df.select(key.alias("gram"), "template", "at")
+    grams = df.select(key.alias("gram"), "template", "at")
+    return F.broadcast(grams) if sum(map(len, cut)) <= MAX_BROADCAST else grams
 
 
-def license_scan(docs: DataFrame) -> DataFrame:
+def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """Per document: doc_id, n_words, n_base (places of base phrases), first_word, last_word (smallest and largest
     start of those, else null), base_labels, labels (both sorted, distinct, comma-joined), score (best cover of a
     template, 1 with a base phrase), spans (label, first and last word, cover of each verified span, in order).
+    ``templates`` lists (label, text); texts of fewer than K words are refused.
 
     Null and empty texts have no words and no labels. Identical repeated rows are one document; rows of one id with
     different texts give a row each. A null id is a document as any other. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    cut = [template_words(t) for _, t in templates]
+    short = [label for (label, _), c in zip(templates, cut) if len(c) < K]
+    if short:
+        raise ValueError(f"templates of fewer than {K} words: {short}")
     w, pos = F.col("words"), F.col("pos")
     sizes = sorted({K, *(len(p.split()) for p in BASE)})
     grams = (doc_text(docs).select("doc_id", F.xxhash64("text").alias("version"), ascii_words(F.col("text")).alias("words"))
@@ -80,7 +113,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
              .select("doc_id", "version", F.size("words").alias("n_words"), "pos",
                      F.posexplode(F.array(*(hash_at(w, pos, tuple(range(k)), k) for k in sizes))).alias("i", "gram")))
     # One row marks each document, so that one pass over the texts gives the hits and the documents without any.
-    hits = (grams.join(F.broadcast(_templates(spark)), "gram", "left")
+    hits = (grams.join(_templates(spark, cut), "gram", "left")
             .filter(F.col("template").isNotNull() | ((F.coalesce("pos", F.lit(0)) == 0) & (F.col("i") == 0)))
             .select("doc_id", "version", "n_words", "pos", "template", "at").distinct())
     hits = stored(hits, "license-hits")
@@ -95,19 +128,23 @@ def license_scan(docs: DataFrame) -> DataFrame:
         F.min(F.when(is_base, pos)).cast("long").alias("first_word"), F.max(F.when(is_base, pos)).cast("long").alias("last_word"),
         F.collect_set(base_label).alias("base"))
 
+    # The gram's K bits in each part that it touches (one, or two at a border).
+    inside = F.col("at") - F.col("part") * PART
+    bits = F.when(inside >= 0, F.expr(f"shiftleft({2 ** K - 1}L, at - part * {PART}) & {2 ** PART - 1}L")).otherwise(
+        F.expr(f"shiftright({2 ** K - 1}L, part * {PART} - at)"))
     votes = (hits.filter(F.col("template") >= 0).withColumn("diagonal", pos - F.col("at"))
-             .groupBy(*doc, "template", "diagonal")
-             .agg(F.expr(f"bit_or(shiftleft({2 ** K - 1}L, at))").alias("covered"), F.min("pos").alias("lo"),
-                  (F.max("pos") + K - 1).alias("hi")))
-    by = W.partitionBy(*doc, "template").orderBy("diagonal")
+             .withColumn("part", F.explode(F.expr(f"sequence(int(at div {PART}), int((at + {K - 1}) div {PART}))")))
+             .withColumn("bits", bits).groupBy(*doc, "template", "diagonal", "part")
+             .agg(F.bit_or("bits").alias("covered"), F.min("pos").alias("lo"), (F.max("pos") + K - 1).alias("hi")))
+    by = W.partitionBy(*doc, "template").orderBy("diagonal", "part")
     new = F.when(F.col("diagonal") - F.lag("diagonal").over(by) <= SLIP, 0).otherwise(1)
     spans = (votes.withColumn("new", new).withColumn("span", F.sum("new").over(by))
+             .groupBy(*doc, "template", "span", "part")
+             .agg(F.bit_count(F.bit_or("covered")).alias("n_covered"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
              .groupBy(*doc, "template", "span")
-             .agg(F.expr("bit_count(bit_or(covered))").alias("n_covered"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-    size, label = F.lit(None).cast("int"), F.lit(None).cast("string")
-    for i, (name, t) in enumerate(TEMPLATES):
-        size = F.when(F.col("template") == i, len(t.split())).otherwise(size)
-        label = F.when(F.col("template") == i, F.lit(name)).otherwise(label)
+             .agg(F.sum("n_covered").alias("n_covered"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+    size = F.element_at(F.array(*(F.lit(len(c)) for c in cut)), F.col("template") + 1)
+    label = F.element_at(F.array(*(F.lit(name) for name, _ in templates)), F.col("template") + 1)
     spans = spans.withColumn("cover", F.col("n_covered") / size).withColumn("label", label)
     good = F.col("cover") >= COVER
     # Of a label's spans only the places are listed; their number grows with the text alone.

@@ -208,26 +208,45 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: documents with 100 * |A and B| >= percent * |A or B| are linked.
 
     Null, empty and blank texts have no shingles and are linked with nothing. Rows that repeat a doc_id are one
-    document and give one row; if their texts differ, the one with the smallest set name stands for it, an empty one only
-    if the id has no other. Rows with a
-    null id are never linked: each distinct one gives a row with a null component_id and kept true. An empty table
-    gives no rows.
+    document and give one row: if their texts differ, the document is linked with whatever one of them is linked with,
+    and n_shingles is that of the text with the smallest set name (of an empty one only if the id has no other). Rows
+    with a null id are never linked: each distinct one gives a row with a null component_id and kept true. An empty
+    table gives no rows.
     """
     raw = stored(signatures(docs, percent), "signatures")
-    best = F.min(F.struct(F.col("set1").isNull().alias("empty"), "set1", "set2", "n_shingles", "bands"))
     # A hot id is combined before the shuffle; null ids stay apart by their set.
-    sig = stored(raw.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(best.alias("s")).select("doc_id", "s.*").drop("empty"), "documents")
-    reps = stored(sig.filter(F.col("n_shingles") > 0).groupBy("set1", "set2")
-                  .agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n"), F.min("bands").alias("bands")), "classes")
+    sig = stored(raw.filter(F.col("doc_id").isNotNull()).groupBy("doc_id", "set1", "set2")
+                 .agg(F.min("n_shingles").alias("n_shingles"), F.min("bands").alias("bands")), "texts")
+    full = sig.filter(F.col("n_shingles") > 0)
+    several = stored(full.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("set1", "set2")).alias("first"))
+                     .filter(F.col("c") > 1).select("doc_id", F.col("first.set1").alias("first1"), F.col("first.set2").alias("first2")), "several")
+    clashes = not several.isEmpty()
+    if clashes:  # further texts of an id get keys of their own
+        first = F.col("first1").isNull() | ((F.col("set1") == F.col("first1")) & (F.col("set2") == F.col("first2")))
+        full = (full.join(several, "doc_id", "left")
+                .withColumn("key", F.when(first, F.col("doc_id")).otherwise(F.xxhash64(F.lit("text"), "doc_id", "set1", "set2"))))
+    else:
+        full = full.withColumn("key", F.col("doc_id"))
+    reps = stored(full.groupBy("set1", "set2")
+                  .agg(F.min("key").alias("id"), F.min_by("doc_id", "key").alias("doc"), F.min("doc_id").alias("least"),
+                       F.min("n_shingles").alias("n"), F.min("bands").alias("bands")), "classes")
     members = reps.select(F.explode("bands").alias("bucket"), "id", "n")
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > 1)
     members = stored(members.join(shared, "bucket"), "members")
     popular = stored(members.groupBy("id").agg(F.sum("m").alias("met")), "popular")
-    wanted = stored(members.select("id").distinct().join(reps.select("id", "set1", "set2"), "id"), "candidates")
-    texts = doc_text(docs).join(broadcast_if_small(wanted.select(F.col("id").alias("doc_id")), BROADCAST_IDS), "doc_id")
-    sets = stored(shingle_sets(texts).withColumnRenamed("doc_id", "id").join(wanted, ["id", "set1", "set2"])
+    wanted = stored(members.select("id").distinct().join(reps.select("id", "doc", "set1", "set2"), "id"), "candidates")
+    texts = doc_text(docs).join(broadcast_if_small(wanted.select(F.col("doc").alias("doc_id")).distinct(), BROADCAST_IDS), "doc_id")
+    sets = stored(shingle_sets(texts).withColumnRenamed("doc_id", "doc").join(wanted, ["doc", "set1", "set2"])
                   .select("id", "shingles").dropDuplicates(["id"]), "sets")
     labels = wanted.select("id", F.col("id").alias("comp"))
+    if clashes:  # each of an id's texts is linked with the first of them: a star, whatever their number
+        class_of = reps.select("set1", "set2", "id")
+        ends = (full.join(several.select("doc_id"), "doc_id", "left_semi").join(class_of.withColumnRenamed("id", "a"), ["set1", "set2"])
+                .join(class_of.select(F.col("set1").alias("first1"), F.col("set2").alias("first2"), F.col("id").alias("b")), ["first1", "first2"])
+                .select("a", "b").distinct())
+        ends = stored(ends, "same-id")
+        ids = labels.select("id").union(ends.select("a")).union(ends.select("b")).distinct()
+        labels = components(stored(ids.select("id", F.col("id").alias("comp")), "ids"), ends)
     tested = None
 
     for proposal in ("leaders", "prefixes"):
@@ -261,10 +280,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         labels = components(labels, ends)
         tested = pairs if tested is None else tested.union(pairs)
 
-    named = labels.groupBy("comp").agg(F.min("id").alias("component_id"))
+    least = reps.select("id", "least")
+    named = labels.join(least, "id").groupBy("comp").agg(F.min("least").alias("component_id"))
     names = labels.join(named, "comp").select("id", "component_id")
-    classes = stored(reps.join(names, "id", "left").select("set1", "set2", F.coalesce("component_id", "id").alias("component_id")), "named")
-    out = sig.select("doc_id", "n_shingles", "set1", "set2").join(classes, ["set1", "set2"], "left")
+    classes = stored(reps.select("id", "set1", "set2", "least").join(names, "id", "left")
+                     .select("set1", "set2", F.coalesce("component_id", "least").alias("component_id")), "named")
+    best = F.min(F.struct(F.col("set1").isNull().alias("empty"), "set1", "set2", "n_shingles"))
+    out = sig.groupBy("doc_id").agg(best.alias("s")).select("doc_id", "s.n_shingles", "s.set1", "s.set2").join(classes, ["set1", "set2"], "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     nameless = (raw.filter(F.col("doc_id").isNull()).select("doc_id", "n_shingles", "set1", "set2").distinct()
                 .select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id")))

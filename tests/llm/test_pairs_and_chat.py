@@ -85,6 +85,21 @@ def test_near_duplicates_prefer_a_text_to_none(spark):
     assert got == [(7, 3, 7, True), (8, 3, 7, False)]
 
 
+def test_near_duplicates_link_all_texts_of_an_id(spark):
+    """An id with several texts is linked with what any of them is linked with, and joins their components."""
+    rng = random.Random(9)
+    v = vocabulary(300, rng)
+    texts = [" ".join(rng.choice(v) for _ in range(60)) for _ in range(6)]
+    rows = [(20, texts[0]), (20, texts[1]), (20, texts[2] + " z"), (20, None), (5, texts[0]), (31, texts[1] + " more"), (9, texts[2]),
+            (40, texts[3]), (41, texts[3]), (50, texts[4]), (50, texts[5]), (60, texts[5]), (61, "")]
+    rows += [(70, f"only here {i} a b c") for i in range(40)]  # many texts that nothing else has
+    got = {r.doc_id: (r.component_id, r.kept) for r in near_dup.near_duplicates(docs_of(spark, rows).repartition(3)).collect()}
+    assert got == {20: (5, False), 5: (5, True), 31: (5, False), 9: (5, False), 40: (40, True), 41: (40, False), 50: (50, True), 60: (50, False),
+                   61: (61, True), 70: (70, True)}
+    left = near_dup.deduplicate(docs_of(spark, rows))
+    assert sorted(r.doc_id for r in left.collect()) == [5, 40, 50, 50, 61] + [70] * 40
+
+
 def test_bands_miss_at_most_as_stated():
     for percent in (80, 85):
         assert (1 - (percent / 100) ** near_dup.ROWS) ** near_dup.n_bands(percent) <= near_dup.MISS
@@ -160,6 +175,20 @@ def test_nearest_with_an_id_on_many_vectors(spark):
     assert len(got[50]) == 5 and got[50][0] == (7, pytest.approx(want[50][0][1]))
 
 
+def test_nearest_with_very_large_and_very_small_components(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(30, 4))
+    x *= np.where(np.arange(30) % 3 == 0, 1e200, np.where(np.arange(30) % 3 == 1, 1e-200, 1.0))[:, None]
+    x[29] = 5e-324
+    e = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = [r for r in ann.nearest(e, lambda c: c == 0).orderBy("rank").collect()]
+    u = [[math.ldexp(c, -math.frexp(max(map(abs, v)))[1]) for c in v.tolist()] for v in x]
+    u = [np.array(v) / np.linalg.norm(v) for v in u]
+    want = sorted(((float(u[0] @ u[i]), i) for i in range(1, 30)), key=lambda e: (-e[0], e[1]))[:5]
+    assert [r.vec_id for r in got] == [i for _, i in want]
+    assert all(r.score == pytest.approx(s, abs=1e-12) for r, (s, _) in zip(got, want))
+
+
 def test_graph_search_finds_what_a_scan_finds():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(3000, 16))

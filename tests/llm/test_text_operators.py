@@ -231,6 +231,50 @@ def test_license_scan(spark):
     assert licenses.license_scan(docs_of(spark, [])).count() == 0
 
 
+def brute_cover(text, template):
+    """Best cover of the template: hits of 3 words by diagonal, diagonals at most SLIP apart together."""
+    w, t = licenses.template_words(text or ""), licenses.template_words(template)
+    hits = {}
+    for i in range(len(w) - 2):
+        for j in range(len(t) - 2):
+            if w[i:i + 3] == t[j:j + 3]:
+                hits.setdefault(i - j, set()).update((j, j + 1, j + 2))
+    best, cells, last = 0, set(), None
+    for d in sorted(hits):
+        cells = cells | hits[d] if last is not None and d - last <= licenses.SLIP else hits[d]
+        best, last = max(best, len(cells)), d
+    return best / len(t)
+
+
+def test_license_templates_of_any_length(spark):
+    rng = random.Random(6)
+    v = vocabulary(400, rng)
+    long = [rng.choice(v) for _ in range(700)]
+    templates = [("long", " ".join(long)), ("edge", "Three Short, words"), ("sixty", " ".join(long[:licenses.PART])),
+                 ("border", " ".join(long[100:100 + licenses.PART + 1]))]
+    edited = list(long)
+    for i in range(0, 600, 40):
+        edited[i] = "x"
+    del edited[300:303]
+    rows = [(1, " ".join(long)), (2, "intro " + " ".join(edited) + " end"), (3, " ".join(long[:350])), (4, "three short words"),
+            (5, " ".join(long[58:200])), (6, None), (7, " ".join(long + long[:90])), (8, " ".join(long[100:150] + ["x"] + long[150:]))]
+    got = {r.doc_id: r for r in licenses.license_scan(docs_of(spark, rows), templates).collect()}
+    for d, text in rows:
+        covers = {name: brute_cover(text, t) for name, t in templates}
+        assert got[d].score == pytest.approx(max(covers.values())), d
+        assert got[d].labels == ",".join(sorted(n for n, c in covers.items() if c >= licenses.COVER)), d
+    assert "long" in got[2].labels and "long" not in got[3].labels and got[1].score == 1
+    with pytest.raises(ValueError):
+        licenses.license_scan(docs_of(spark, rows), [("short", "two words")])
+
+
+def test_whole_license_text_is_found(spark):
+    mit = max((t for label, t in licenses.TEMPLATES if label == "mit"), key=len)
+    assert len(mit.split()) > 150
+    got = licenses.license_scan(docs_of(spark, [(1, "Copyright 2020 someone. " + mit.capitalize() + ".")])).head()
+    assert got.labels == "mit" and any(s.last - s.first + 1 == len(mit.split()) and s.cover == 1 for s in got.spans)
+
+
 # ---- 9: token counts -----------------------------------------------------------------------
 
 TRICKY = ["", " ", "it's we'll ''s 'S they'RE", "a<|endoftext|>b", "<|startoftext|>", "Ünïcode ÉCOLE İstanbul ΑΣ Σας", "١٢٣ 12³ ½", "é é",
