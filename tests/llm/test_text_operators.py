@@ -255,7 +255,7 @@ def test_license_templates_of_any_length(spark):
     edited = list(long)
     for i in range(0, 600, 40):
         edited[i] = "x"
-    del edited[300:303]
+    del edited[300:302]
     rows = [(1, " ".join(long)), (2, "intro " + " ".join(edited) + " end"), (3, " ".join(long[:350])), (4, "three short words"),
             (5, " ".join(long[58:200])), (6, None), (7, " ".join(long + long[:90])), (8, " ".join(long[100:150] + ["x"] + long[150:]))]
     got = {r.doc_id: r for r in licenses.license_scan(docs_of(spark, rows), templates).collect()}
