@@ -26,9 +26,11 @@ from .textio import Texts, chunks
 
 SPACE = "▁".encode()
 #: Bytes of text that a worker encodes at a time (a longer text is alone).
-CHUNK = 1 << 20
+CHUNK = 1 << 19
+#: Ids that a worker decodes at a time (a longer text is alone).
+DECODED = 100_000
 #: Words that a worker's cache may hold before it starts anew, and their greatest length there.
-CACHE_WORDS, CACHE_LENGTH = 500_000, 32
+CACHE_WORDS, CACHE_LENGTH = 200_000, 32
 #: Words that the library gets as one text.
 JOINED = 200
 #: A word with the blanks before it (the last one of a text: those after it, too), in the text or in its normalised form.
@@ -249,8 +251,11 @@ def decode(ids, path: str):
     @F.arrow_udf("string")
     def text(column: pa.Array) -> pa.Array:
         lib, out = _Worker(path).encoder.lib, []
-        for lo in range(0, len(column), 256):
-            rows = column.slice(lo, 256)
+        before = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+        hi = 0
+        while hi < len(column):
+            lo, hi = hi, max(hi + 1, int(np.searchsorted(before, before[hi] + DECODED, "right")) - 1)
+            rows = column.slice(lo, hi - lo)
             live = rows.drop_null()
             ids, ends = live.flatten().to_numpy(zero_copy_only=False), np.cumsum(live.value_lengths().to_numpy(zero_copy_only=False))
             lists = [x.tolist() for x in np.split(ids, ends[:-1])] if len(live) else []
