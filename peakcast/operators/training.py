@@ -130,15 +130,16 @@ def task_split(samples: DataFrame, task_keys: list[str], *, min_train: int = MIN
     yr = F.col("SeasonYear")
     by_year = (F.when(yr <= train_max_year, "train").when(yr == valid_year, "val")
                .when(yr >= test_min_year, "test"))
-    n_train = samples.groupBy(*task_keys).agg(F.count_if(yr <= train_max_year).alias("_ntr"))
-    ranked = seeded_rank(samples, task_keys, list(key_cols), seed)
-    ranked = ranked.join(n_train, same_group(ranked, n_train, task_keys)).select(ranked["*"], n_train["_ntr"])
-    a = F.greatest(F.lit(min_train), F.floor(F.col("_n") * 0.7).cast("long"))
-    fallback = F.col("_ntr") < min_train
-    return (ranked.filter(~fallback | (a < F.col("_n")))
-            .withColumn("split", F.when(fallback, fraction_split(F.col("_rank"), F.col("_n"), 0.7, 0.85, min_train))
-                        .otherwise(by_year))
-            .drop("_rank", "_n", "_ntr"))
+    tasks = samples.groupBy(*task_keys).agg(F.count_if(yr <= train_max_year).alias("_ntr"), F.count(F.lit(1)).alias("_all"))
+    a = lambda n: F.greatest(F.lit(min_train), F.floor(n * 0.7).cast("long"))
+    enough = tasks.filter(F.col("_ntr") >= min_train)
+    thin = tasks.filter((F.col("_ntr") < min_train) & (a(F.col("_all")) < F.col("_all")))
+    timed = samples.join(enough, same_group(samples, enough, task_keys), "left_semi")
+    # Only rows of thin tasks are ranked.
+    random = samples.join(thin, same_group(samples, thin, task_keys), "left_semi")
+    ranked = seeded_rank(random, task_keys, list(key_cols), seed)
+    random_split = fraction_split(F.col("_rank"), F.col("_n"), 0.7, 0.85, min_train)
+    return timed.withColumn("split", by_year).unionByName(ranked.withColumn("split", random_split).drop("_rank", "_n"))
 
 
 def allowed_events(samples: DataFrame, min_train: int = MIN_TRAIN_PER_EVENT,

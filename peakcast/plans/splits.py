@@ -70,7 +70,7 @@ def w9_task_fallback_rows(spark, sf):
     validation); tasks that training would take whole are left out."""
     peaks = family_season_peaks(core.prepared(spark, sf, variant="event"), key="key",
                                 attrs=("SeasonYear", "SeasonLabel", "Event", "Gender"))
-    targets = core.materialize(next_season_targets_join(peaks, key="key").withColumnRenamed("Event", "event"), "event_targets")
+    targets = core.materialize(next_season_targets_join(core.materialize(peaks, "event_peaks"), key="key").withColumnRenamed("Event", "event"), "event_targets")
     split = task_split(targets, FC.TASK_KEYS, train_max_year=2020, valid_year=2021, test_min_year=2022)
     return split.select("key", "season_key", "event", "Gender", "SeasonLabel", "split")
 

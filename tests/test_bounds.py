@@ -5,6 +5,7 @@ import os
 import numpy as np
 import pandas as pd
 
+from peakcast.operators import training
 from peakcast.session import scratch_path
 from peakcast.sources import io as IO
 from peakcast.sources.layout import INT_COLUMNS, RAW_COLUMNS
@@ -32,3 +33,15 @@ def test_one_long_value_does_not_widen_a_whole_file(monkeypatch):
     pdf = pd.DataFrame({c: [1] * 64 if c in INT_COLUMNS else ["x" * (1000 if i == 7 else 1) for i in range(64)] for c in RAW_COLUMNS})
     arrays = list(IO._npy_records(pdf))
     assert sum(map(len, arrays)) == 64 and all(a.nbytes <= 20_000 or len(a) == 1 for a in arrays)
+
+
+def test_only_thin_tasks_are_ranked(spark, monkeypatch):
+    ranked = []
+    rank = training.seeded_rank
+    monkeypatch.setattr(training, "seeded_rank", lambda df, *a: (ranked.append(df.count()), rank(df, *a))[1])
+    rows = [(e, f"k{i}", "s", 2020 if e == "big" or i < 3 else 2024) for e, n in (("big", 200), ("thin", 100), ("tiny", 10), (None, 90)) for i in range(n)]
+    df = spark.createDataFrame(rows, "event string, key string, season_key string, SeasonYear int")
+    out = {(r.event, r.split): r["count"] for r in training.task_split(df, ["event"], min_train=60).groupBy("event", "split").count().collect()}
+    assert ranked == [190]
+    assert out == {("big", "train"): 200, ("thin", "train"): 70, ("thin", "val"): 15, ("thin", "test"): 15,
+                   (None, "train"): 63, (None, "val"): 13, (None, "test"): 14}
