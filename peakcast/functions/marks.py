@@ -13,15 +13,13 @@ from pyspark.sql import functions as F
 from .events import FIELD_EVENTS, RUN_EVENTS, RUN_EVENTS_BETA
 from .text import pystrip
 
-# Marks that mean "no time".
-NO_TIME_CODES = ("dnf", "dq", "fs", "nt", "ns")
-NO_DISTANCE_CODES = ("nm",)
 # Accepted date layouts, tried in this order (Spark pattern letters).
 DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "MMM d, yyyy", "MMM d yyyy")
-# Shape of each layout: a parse is only attempted when the text has that shape, so no
-# row pays for failed parses (each failure costs an exception inside the parser).
-DATE_SHAPES = (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$",
-               r"^[A-Za-z]{3} [0-9]{1,2}, [0-9]{4}$", r"^[A-Za-z]{3} [0-9]{1,2} [0-9]{4}$")
+# Their shapes, the last two in one. A text of a shape is put in the order of the first, which a cast reads: a pattern
+# parser costs several times as much, and each of its failures an exception.
+ISO_SHAPE, SLASH_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
+MONTH_SHAPE = r"^[A-Za-z]{3} [0-9]{1,2},? [0-9]{4}$"
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 NUM = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 FLOAT_RE = rf"^\s*{NUM}\s*$"
@@ -31,7 +29,7 @@ TIME2_RE = rf"^\s*([+-]?[0-9]+)\s*:\s*({NUM})\s*$"
 TIME3_RE = rf"^\s*([+-]?[0-9]+)\s*:\s*([+-]?[0-9]+)\s*:\s*({NUM})\s*$"
 FEET_INCHES_RE = r"^([0-9]{1,3})-([0-9]{1,2}(?:\.[0-9]+)?)$"
 # A number with at most one trailing m (the m is dropped before the number is read).
-METRES_RE = rf"^\s*({NUM})\s*m?$"
+METRES_RE = rf"^\s*({NUM})\s*[mM]?$"
 
 
 def _to_double(s: Column) -> Column:
@@ -43,7 +41,8 @@ def _strip(s: Column, stripped: bool) -> Column:
 
 
 def parse_time_to_seconds(s: Column, *, stripped: bool = False) -> Column:
-    """``m:s`` / ``h:m:s`` with integer minutes and hours, else a plain number; null for codes and junk.
+    """``m:s`` / ``h:m:s`` with integer minutes and hours, else a plain number; null for codes (DNF, DQ, FS, NT, NS) and
+    junk, neither of which has the shape of a number.
 
     ``stripped=True`` skips the leading/trailing whitespace removal when the caller already did it.
     """
@@ -58,23 +57,21 @@ def parse_time_to_seconds(s: Column, *, stripped: bool = False) -> Column:
              + g(TIME3_RE, 3).cast("double"))
     return (
         F.when(st.isNull() | (st == ""), F.lit(None).cast("double"))
-        .when(F.lower(st).isin(*NO_TIME_CODES), F.lit(None).cast("double"))
+        .when(~ns.contains(":"), F.when(ns.rlike(FLOAT_RE), ns.cast("double")))
         .when(ns.rlike(TIME2_RE), two)
         .when(ns.rlike(TIME3_RE), three)
-        .when(~ns.contains(":") & ns.rlike(FLOAT_RE), ns.cast("double"))
     )
 
 
 def parse_distance_to_meters(s: Column, *, stripped: bool = False) -> Column:
-    """Feet-inches ``f-i`` to metres, else one trailing ``m`` dropped and a plain number."""
-    low = F.lower(_strip(s, stripped))
-    feet_inches = (F.regexp_extract(low, FEET_INCHES_RE, 1).cast("long") * 12
-                   + F.regexp_extract(low, FEET_INCHES_RE, 2).cast("double")) * 0.0254
+    """Feet-inches ``f-i`` to metres, else one trailing ``m`` or ``M`` dropped and a plain number (a code, NM, is none)."""
+    st = _strip(s, stripped)
+    feet_inches = (F.regexp_extract(st, FEET_INCHES_RE, 1).cast("long") * 12
+                   + F.regexp_extract(st, FEET_INCHES_RE, 2).cast("double")) * 0.0254
     return (
-        F.when(low.isNull() | (low == ""), F.lit(None).cast("double"))
-        .when(low.isin(*NO_DISTANCE_CODES), F.lit(None).cast("double"))
-        .when(low.rlike(FEET_INCHES_RE), feet_inches)
-        .when(low.rlike(METRES_RE), F.regexp_extract(low, METRES_RE, 1).cast("double"))
+        F.when(st.isNull() | (st == ""), F.lit(None).cast("double"))
+        .when(st.contains("-") & st.rlike(FEET_INCHES_RE), feet_inches)
+        .when(st.rlike(METRES_RE), F.regexp_extract(st, METRES_RE, 1).cast("double"))
     )
 
 
@@ -104,10 +101,17 @@ def wind_mps(wind: Column) -> Column:
 
 
 def parse_date(s: Column, *, stripped: bool = False) -> Column:
-    """First of the four accepted layouts that parses; else null."""
+    """A date in one of the four accepted layouts (DATE_FORMATS); else null."""
     t = _strip(s, stripped)
-    return F.coalesce(*[F.when(t.rlike(shape), F.try_to_date(t, f))
-                        for shape, f in zip(DATE_SHAPES, DATE_FORMATS)])
+    year = F.substring(t, -4, 4)
+    name = F.translate(F.substring(t, 1, 3), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    at = F.position(name, F.lit(MONTHS)) + 2
+    month = F.when(at % 3 == 0, (at / 3).cast("int").cast("string"))
+    day = F.rtrim(F.substring(t, 5, 2), F.lit(", "))
+    iso = (F.when(t.rlike(ISO_SHAPE), t)
+           .when(t.rlike(SLASH_SHAPE), F.concat(year, F.lit("-"), F.replace(F.substring_index(t, "/", 2), F.lit("/"), F.lit("-"))))
+           .when(t.rlike(MONTH_SHAPE), F.concat(year, F.lit("-"), month, F.lit("-"), day)))
+    return iso.try_cast("date")
 
 
 # ---- scoring-input parsers ------------------------------------------------

@@ -7,6 +7,7 @@ import pandas as pd
 
 from peakcast.operators import training
 from peakcast.session import scratch_path
+from peakcast.sources import fixture
 from peakcast.sources import io as IO
 from peakcast.sources.layout import INT_COLUMNS, RAW_COLUMNS
 
@@ -45,3 +46,9 @@ def test_only_thin_tasks_are_ranked(spark, monkeypatch):
     assert ranked == [190]
     assert out == {("big", "train"): 200, ("thin", "train"): 70, ("thin", "val"): 15, ("thin", "test"): 15,
                    (None, "train"): 63, (None, "val"): 13, (None, "test"): 14}
+
+
+def test_generated_methods_stay_compilable(spark):
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    fixture.raw_marks(spark, "/root/testdata/sf0.001")
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
