@@ -71,7 +71,7 @@ def parse_distance_to_meters(s: Column, *, stripped: bool = False) -> Column:
     return (
         F.when(st.isNull() | (st == ""), F.lit(None).cast("double"))
         .when(st.contains("-") & st.rlike(FEET_INCHES_RE), feet_inches)
-        .when(st.rlike(METRES_RE), F.regexp_extract(st, METRES_RE, 1).cast("double"))
+        .otherwise(F.regexp_extract(st, METRES_RE, 1).try_cast("double"))  # '' where it has no such shape
     )
 
 
@@ -108,9 +108,10 @@ def parse_date(s: Column, *, stripped: bool = False) -> Column:
     at = F.position(name, F.lit(MONTHS)) + 2
     month = F.when(at % 3 == 0, (at / 3).cast("int").cast("string"))
     day = F.rtrim(F.substring(t, 5, 2), F.lit(", "))
-    iso = (F.when(t.rlike(ISO_SHAPE), t)
-           .when(t.rlike(SLASH_SHAPE), F.concat(year, F.lit("-"), F.replace(F.substring_index(t, "/", 2), F.lit("/"), F.lit("-"))))
-           .when(t.rlike(MONTH_SHAPE), F.concat(year, F.lit("-"), month, F.lit("-"), day)))
+    # A pattern is only tried on texts that hold its separator.
+    iso = (F.when(t.contains("-") & t.rlike(ISO_SHAPE), t)
+           .when(t.contains("/") & t.rlike(SLASH_SHAPE), F.concat(year, F.lit("-"), F.replace(F.substring_index(t, "/", 2), F.lit("/"), F.lit("-"))))
+           .when(t.contains(" ") & t.rlike(MONTH_SHAPE), F.concat(year, F.lit("-"), month, F.lit("-"), day)))
     return iso.try_cast("date")
 
 

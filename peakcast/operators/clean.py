@@ -35,11 +35,18 @@ def ordinal(cols: list[str], digits: dict[str, int] | None = None) -> Column:
         return F.struct(*[F.col(c) for c in cols])
     from decimal import Decimal
     dec = "decimal(38,0)"
-    packed, ok = F.lit(Decimal(0)).cast(dec), F.lit(True)
+    # Neighbours of 18 digits in all are put together as longs, which costs far less than decimal arithmetic.
+    parts, ok = [], F.lit(True)
     for c in cols:
-        w = digits[c]
-        packed = (packed * F.lit(Decimal(10) ** w).cast(dec) + F.col(c).cast(dec)).cast(dec)
+        w, value = digits[c], F.col(c).cast("long")
+        if parts and parts[-1][1] + w <= 18:
+            parts[-1] = (parts[-1][0] * F.lit(10 ** w) + value, parts[-1][1] + w)
+        else:
+            parts.append((value, w))
         ok = ok & (F.col(c) >= 0) & (F.col(c) < F.lit(10 ** w))
+    packed = parts[0][0].cast(dec)
+    for value, w in parts[1:]:
+        packed = (packed * F.lit(Decimal(10) ** w).cast(dec) + value.cast(dec)).cast(dec)
     return F.when(ok, packed).otherwise(F.raise_error(F.lit("ordinal key outside its declared width")).cast(dec))
 
 
@@ -64,10 +71,11 @@ def prepare_marks(raw: DataFrame, ordinal_cols: list[str], *, variant: str = "fa
     # Parsed intermediates get their own projection: each is referenced several times below,
     # so Catalyst keeps it apart and every parser runs once per row.
     run = RUN_EVENTS_BETA if beta else RUN_EVENTS
+    df = df.select("*", F.col("Event").isin(*run).alias("_run"), F.col("Event").isin(*FIELD_EVENTS).alias("_field"))
+    # A run event's mark is no distance and a field event's no time, so only other events' marks are read as both.
     df = df.select("*", parse_date(F.col("MeetDate"), stripped=True).alias("date"),
-                   parse_time_to_seconds(F.col("MarkOrTime"), stripped=True).alias("_t"),
-                   parse_distance_to_meters(F.col("MarkOrTime"), stripped=True).alias("_d"),
-                   F.col("Event").isin(*run).alias("_run"), F.col("Event").isin(*FIELD_EVENTS).alias("_field"))
+                   F.when(~F.col("_field"), parse_time_to_seconds(F.col("MarkOrTime"), stripped=True)).alias("_t"),
+                   F.when(~F.col("_run"), parse_distance_to_meters(F.col("MarkOrTime"), stripped=True)).alias("_d"))
     value, is_time = orient_mark(F.col("_t"), F.col("_d"), F.col("MarkOrTime"), F.col("_run"), F.col("_field"))
     keep = value.isNotNull() & ~F.isnan(value)
     for c in ("date", "Event", "Athlete", "SeasonLabel", "SeasonYear"):
