@@ -6,8 +6,10 @@ whatever order marks arrive in. State is sized by the number of seasons, not mar
 trigger emits only the seasons it changed; ``foreachBatch`` merges them into a versioned table.
 
 The table is a list of bucket folders (hash of the key) that a numbered pointer names (``sources.versions``). A batch
-reads the folders of the buckets it touches and no others, writes these buckets anew beside them, and then publishes
-the list with its own folders put in: readers see the table before or after a batch, whole. The list also says which
+writes its rows of a large bucket as one more folder beside it, where a season's newest row counts; a small bucket, or one
+whose later folders have come to hold as many rows as its first, is read and written anew. So a row is written a bounded
+number of times on average, however many batches come. Buckets that a batch doesn't touch stay as they are. Then the list
+is published with the new folders put in: readers see the table before or after a batch, whole. The list also says which
 batch of which stream it holds, so a batch that is replayed after its pointer is skipped, and one that died before it
 starts over from the same table. Buckets double when they hold more than ROWS_PER_BUCKET rows on average.
 """
@@ -17,6 +19,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +32,8 @@ KEYS = ["fam_key", "season_key"]
 ATTRS = ("SeasonYear", "SeasonLabel", "Gender", "family")
 #: Buckets of a new table, and rows that a bucket holds on average before their number is doubled.
 BUCKETS, ROWS_PER_BUCKET = 16, 500_000
+#: A bucket of fewer rows is always written anew; one of more folders than that as well.
+SMALL_BUCKET, MAX_FOLDERS = 10_000, 64
 
 
 def streaming_peak_state(marks: DataFrame) -> DataFrame:
@@ -46,8 +51,27 @@ def _table(spark: SparkSession, root: str, buckets: int) -> dict:
     return json.loads(found[1]) | {"version": found[0]} if found else {"buckets": buckets, "paths": {}, "rows": {}, "applied": {}, "version": 0}
 
 
+def _folders(table: dict, bucket: str | int) -> list[str]:
+    """A bucket's folders, oldest first (older lists name one folder as a text)."""
+    found = table["paths"].get(str(bucket), [])
+    return [found] if isinstance(found, str) else found
+
+
+def _newest_rows(spark: SparkSession, buckets: list[list[str]], schema=None) -> DataFrame:
+    """The rows of some buckets (lists of folders, oldest first): of each season that of the newest folder."""
+    read = spark.read.schema(schema) if schema is not None else spark.read
+    single, several = [b[0] for b in buckets if len(b) == 1], [b for b in buckets if len(b) > 1]
+    parts = [read.parquet(*single)] if single else []
+    if several:
+        layers = [read.parquet(*(b[i] for b in several if i < len(b))).withColumn("_layer", F.lit(i)) for i in range(max(map(len, several)))]
+        rows = reduce(DataFrame.unionByName, layers)
+        row = F.struct(*[c for c in rows.columns if c != "_layer"])
+        parts.append(rows.groupBy(*KEYS).agg(F.max_by(row, "_layer").alias("_row")).select("_row.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def merge_batch(root: str, buckets: int = BUCKETS, source: str = "stream", rows_per_bucket: int = ROWS_PER_BUCKET,
-                before_publish: Callable[[], None] | None = None):
+                before_publish: Callable[[], None] | None = None, small_bucket: int = SMALL_BUCKET):
     """foreachBatch function that merges changed seasons into the table at ``root``. ``source`` names the stream that
     batch numbers belong to; one writer at a time (a second one fails at its pointer). ``before_publish`` is called
     between writing and publishing (tests)."""
@@ -63,13 +87,21 @@ def merge_batch(root: str, buckets: int = BUCKETS, source: str = "stream", rows_
         of = lambda df, k: df.withColumn("bucket", F.pmod(F.xxhash64("fam_key"), F.lit(k)).cast("int"))
         new = of(batch, n).persist()
         try:
-            touched = {r["bucket"] for r in new.select("bucket").distinct().collect()}  # n of them at most
-            # A power of two times as many buckets: an old one's rows go to those that equal it modulo the old number.
-            old_touched = {b % t["buckets"] for b in touched} if n == t["buckets"] else set(map(int, t["paths"]))
-            paths = [t["paths"][str(b)] for b in sorted(old_touched) if str(b) in t["paths"]]
+            touched = {str(r["bucket"]): r["count"] for r in new.groupBy("bucket").count().collect()}  # n of them at most
+
+            def grows(b: str) -> bool:
+                """Whether the batch's rows become one more folder of the bucket."""
+                later = t["rows"].get(b, 0) - t.get("first", t["rows"]).get(b, 0) + touched[b]
+                return (n == t["buckets"] and small_bucket <= t["rows"].get(b, 0) and later < t.get("first", t["rows"]).get(b, 0)
+                        and len(_folders(t, b)) < MAX_FOLDERS)
+
+            added = {b for b in touched if grows(b)}
+            # With more buckets than before, all of them are written anew.
+            anew = sorted(set(touched) - added if n == t["buckets"] else t["paths"], key=int)
+            paths = [_folders(t, b) for b in anew if _folders(t, b)]
             merged = new
             if paths:
-                old = of(spark.read.schema(batch.schema).parquet(*paths), n)
+                old = of(_newest_rows(spark, paths, batch.schema), n)
                 merged = old.join(new.select(*KEYS), KEYS, "left_anti").unionByName(new)
             out = f"{root}/data/{batch_id}-{uuid.uuid4().hex}"
             merged.repartition("bucket").write.partitionBy("bucket").parquet(out)
@@ -77,8 +109,10 @@ def merge_batch(root: str, buckets: int = BUCKETS, source: str = "stream", rows_
             new.unpersist()
         rows = {str(r["bucket"]): r["count"] for r in spark.read.parquet(out).groupBy("bucket").count().collect()} if touched or paths else {}
         keep = {} if n != t["buckets"] else t["paths"]
-        table = {"buckets": n, "paths": keep | {b: f"{out}/bucket={b}" for b in rows},
-                 "rows": {b: c for b, c in t["rows"].items() if b in keep} | rows, "applied": t["applied"] | {source: batch_id}}
+        before, first = ({b: c for b, c in x.items() if b in keep} for x in (t["rows"], t.get("first", t["rows"])))
+        table = {"buckets": n, "paths": keep | {b: [*(_folders(t, b) if b in added else []), f"{out}/bucket={b}"] for b in rows},
+                 "rows": before | {b: c + (before[b] if b in added else 0) for b, c in rows.items()},
+                 "first": first | {b: c for b, c in rows.items() if b not in added}, "applied": t["applied"] | {source: batch_id}}
         if before_publish is not None:
             before_publish()
         if not versions.point(spark, root, t["version"] + 1, json.dumps(table)):
@@ -91,14 +125,15 @@ def read_peaks(spark: SparkSession, root: str, version: int | None = None) -> Da
     t = json.loads(versions.read_pointer(spark, root, version)) if version else _table(spark, root, BUCKETS)
     if not t["paths"]:
         raise FileNotFoundError(f"no version under {root}")
-    return spark.read.parquet(*(t["paths"][b] for b in sorted(t["paths"], key=int)))
+    return _newest_rows(spark, [_folders(t, b) for b in sorted(t["paths"], key=int)])
 
 
 def vacuum(spark: SparkSession, root: str, keep: int = 2) -> int:
     """Delete bucket folders that none of the newest ``keep`` versions (one at least) names, and older pointers. Returns
     the number of deleted folders. Not while a batch is being merged: its folders are named only at its end."""
     numbers = versions.pointers(spark, root)
-    live = {p for v in numbers[-max(keep, 1):] for p in json.loads(versions.read_pointer(spark, root, v))["paths"].values()}
+    lists = [json.loads(versions.read_pointer(spark, root, v)) for v in numbers[-max(keep, 1):]]
+    live = {p for t in lists for b in t["paths"] for p in _folders(t, b)}
     fs, data = _fs(spark, f"{root}/data")
     deleted = 0
     for folder in (fs.listStatus(data) if numbers and fs.exists(data) else []):
