@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -25,9 +25,9 @@ from .textio import Texts, chunks
 FOLDS, HELD_OUT = 3, 1
 #: Length of profiles and of documents' lists.
 TOP = 300
-#: Documents that a language's profile is learned from, at most (those of smallest id hash).
-MAX_TRAIN = 1500
 UNKNOWN = "und"
+#: Bins in which the median of scores is looked for.
+BINS = 4096
 #: The pipeline rejects documents scored more than this many deviations under the training documents' mean at their
 #: number of n-grams.
 DEVIATIONS = 4.5
@@ -120,42 +120,78 @@ class Floor:
         return np.polyval(self.mean, x) - deviations * np.sqrt(self.variance[0] + self.variance[1] * np.exp(-x))
 
 
-def fit_floor(size: np.ndarray, score: np.ndarray) -> Floor:
-    """Least squares; a number of n-grams weighs the root of its documents, most of which have TOP. Scores far under the
-    median, and then those far under the fit, are left out of the next one: a few junk documents among the training
-    ones neither lower the mean nor widen the variance, which has a least value for tables of few or equal texts."""
-    if not len(score):
+def _middle(counts: DataFrame, value: Column) -> float:
+    """The median of ``value`` (0 to 1) over rows that each stand for ``n``: first the bins that hold the middle ranks, then
+    the values in these."""
+    d = counts.select(value.alias("v"), "n").withColumn("bin", F.floor(F.col("v") * BINS))
+    bins = sorted((r["bin"], r["n"]) for r in d.groupBy("bin").agg(F.sum("n").alias("n")).collect())  # BINS + 1 rows at most
+    upto = np.cumsum([n for _, n in bins])
+    ranks = np.array([(upto[-1] - 1) // 2, upto[-1] // 2])
+    first, last = np.searchsorted(upto, ranks, "right")
+    before = int(upto[first - 1]) if first else 0
+    rows = sorted((r["v"], r["n"]) for r in d.filter(F.col("bin").between(bins[first][0], bins[last][0])).groupBy("v").agg(F.sum("n").alias("n")).collect())
+    at = np.searchsorted(np.cumsum([n for _, n in rows]) + before, ranks, "right")
+    return float(np.mean([rows[i][0] for i in at]))
+
+
+def fit_floor(counts: DataFrame) -> Floor:
+    """Least squares over ``counts`` (size, score, n: how many texts have them); a number of n-grams weighs the root of its
+    documents, most of which have TOP. Scores far under the median, and then those far under the fit, are left out of the
+    next one: a few junk documents among the training ones neither lower the mean nor widen the variance, which has a
+    least value for tables of few or equal texts. The driver sees sums by number of n-grams, TOP rows at most."""
+    if not counts.head(1):
         return Floor(0.0, 0.0, np.zeros(1), (0.0, 0.0))
-    x = np.log(np.maximum(size, 1))
-    middle = np.median(score)
-    keep = score >= middle - max(0.25, 5 * np.median(np.abs(score - middle)))
+    sizes = np.arange(TOP + 1)
+    logs = np.log(np.maximum(sizes, 1))
+
+    def sums(low: np.ndarray, high: np.ndarray | None = None) -> np.ndarray:
+        """Rows n, sum and sum of squares by number of n-grams, of the scores from ``low`` to ``high`` at that number."""
+        at = lambda bound: F.get(F.array(*(F.lit(float(x)) for x in bound)), F.col("size").cast("int"))
+        kept = counts.filter(F.col("score") >= at(low))
+        if high is not None:
+            kept = kept.filter(F.col("score") <= at(high))
+        out = np.zeros((3, TOP + 1))
+        off = F.col("score") - (at(high) if high is not None else F.lit(0.0))
+        for r in kept.groupBy("size").agg(F.sum("n").alias("n"), F.sum(F.col("n") * off).alias("s"), F.sum(F.col("n") * off * off).alias("q")).collect():
+            out[:, r["size"]] = r["n"], r["s"], r["q"]
+        return out
+
+    middle = _middle(counts, F.col("score"))
+    low = np.full(TOP + 1, middle - max(0.25, 5 * _middle(counts, F.abs(F.col("score") - middle))))
+    n, total, _ = sums(low)
     for _ in range(8):
-        _, at, n = np.unique(size[keep], return_inverse=True, return_counts=True)
-        weight = 1 / np.sqrt(n[at])
-        mean = np.polyfit(x[keep], score[keep], min(2, len(n) - 1, int(keep.sum()) // 20), w=np.sqrt(weight))
-        off = score - np.polyval(mean, x)
-        below = keep & (off <= 0)
-        inverse, square, weight = np.exp(-x[below]), off[below] ** 2, weight[below[keep]]
-        slope = max(0.0, float(np.polyfit(inverse, square, 1, w=np.sqrt(weight))[0])) if len(np.unique(inverse)) > 20 else 0.0
+        has = n > 0
+        x, weight = logs[has], 1 / np.sqrt(n[has])
+        mean = np.polyfit(x, total[has] / n[has], min(2, int(has.sum()) - 1, int(n.sum()) // 20), w=np.sqrt(n[has] * weight))
+        below, _, square = (v[has] for v in sums(low, np.polyval(mean, logs)))
+        some = below > 0
+        inverse, square, weight = np.exp(-x[some]), square[some] / below[some], (below * weight)[some]
+        slope = max(0.0, float(np.polyfit(inverse, square, 1, w=np.sqrt(weight))[0])) if some.sum() > 20 else 0.0
         level = float((weight * (square - slope * inverse)).sum() / max(weight.sum(), 1e-12))
-        fit = Floor(float(x[keep].min()), float(x[keep].max()), mean, (max(0.04 ** 2, level), slope))
-        fewer = keep & (score >= fit.at(size, DEVIATIONS))
-        if (fewer == keep).all():
+        fit = Floor(float(x.min()), float(x.max()), mean, (max(0.04 ** 2, level), slope))
+        low = np.maximum(low, fit.at(sizes, DEVIATIONS))
+        fewer, total, _ = sums(low)
+        if fewer.sum() == n.sum():
             break
-        keep = fewer
+        n = fewer
     return fit
 
 
-def training_ids(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+def training_ids(docs: DataFrame, max_train: int) -> DataFrame:
     """doc_id, lang of at most ``max_train`` documents for each language, outside the held-out fold."""
     d = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
          .filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT)))
     return smallest_by_hash(d, "lang", "doc_id", max_train)
 
 
-def training_texts(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """lang, text of the training documents, a row each however often an id stands there. More than MAX_GROUPS languages
+def training_texts(docs: DataFrame, max_train: int | None = None) -> DataFrame:
+    """lang, text of the training documents: every row outside the held-out fold that has a language, or with ``max_train``
+    a row for each of that many documents of a language, however often an id stands there. More than MAX_GROUPS languages
     are an error."""
+    if max_train is None:
+        rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
+        rows = rows.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT))
+        return bounded_groups(rows, "lang").select("lang", "text")
     ids = bounded_groups(stored(training_ids(docs, max_train), "training-ids"), "lang")
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                        F.col("text").cast("string").alias("text"))
@@ -163,7 +199,8 @@ def training_texts(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
 
 
 def learn(texts: DataFrame, top: int = TOP) -> Profiles:
-    """Profiles of the languages of ``texts`` (lang, text; a bounded number of rows): at most ``top`` entries each."""
+    """Profiles of the languages of ``texts`` (lang, text): at most ``top`` entries each. N-grams are counted in the tasks and
+    summed by Spark; only the profiles reach the driver."""
     def work(batches):
         for b in batches:
             langs = np.asarray(b.column(0).to_pylist(), object)
@@ -200,7 +237,7 @@ def _predictor(docs: DataFrame, profiles: Profiles):
     return predict
 
 
-def identify(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+def identify(docs: DataFrame, max_train: int | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred (a learned language, or ``und``), score (0 to 1), per input row.
 
     Texts that are null or have no letter are ``und`` with score 0; texts with letters that no profile has get the
@@ -220,16 +257,17 @@ def identify(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
 
 
 def floor(texts: DataFrame, profiles: Profiles) -> Floor:
-    """The floor of the scores of ``texts`` (the training texts, a bounded number of rows)."""
-    p = (texts.select(_predictor(texts, profiles)(F.col("text")).alias("p")).filter(F.col("p.size") > 0)
-         .select("p.size", "p.score").toArrow())
-    return fit_floor(np.asarray(p.column("size"), np.int64), np.asarray(p.column("score"), float))
+    """The floor of the scores of ``texts`` (the training texts), all of which are scored."""
+    p = texts.select(_predictor(texts, profiles)(F.col("text")).alias("p")).select("p.size", "p.score").filter(F.col("size") > 0)
+    return fit_floor(stored(p.groupBy("size", "score").agg(F.count(F.lit(1)).alias("n")), "training-scores"))
 
 
-def accept(docs: DataFrame, max_train: int = MAX_TRAIN, deviations: float = DEVIATIONS) -> DataFrame:
+def accept(docs: DataFrame, max_train: int | None = None, deviations: float = DEVIATIONS) -> DataFrame:
     """``docs`` (all its columns) without the rows that no learned language fits: null texts, texts without letters, and
     scores under the training documents' floor at the text's number of n-grams, whatever its length."""
-    texts = stored(training_texts(docs, max_train), "training-texts")
+    texts = training_texts(docs, max_train)
+    if max_train is not None:
+        texts = stored(texts, "training-texts")
     profiles = learn(texts)
     if not profiles.languages:
         return docs.limit(0)
