@@ -47,6 +47,8 @@ def wide_metrics(per_event: DataFrame, overall: DataFrame, n_events: DataFrame,
                  group: str = "Gender") -> DataFrame:
     """One row per gender: overall_val_mae, n_events and a ``ValMAE_<event>`` column for each of ``events`` (null
     where the gender has no value). The list fixes the columns, so no job looks for pivot values."""
+    if not events:  # nothing was valued, so there is no column to add
+        return overall.join(n_events, group, "left")
     wide = per_event.groupBy(group).agg(*(F.max(F.when(F.col("event") == e, F.col("val_mae"))).alias(f"ValMAE_{e}")
                                           for e in events))
     return overall.join(n_events, group, "left").join(wide, group, "left")

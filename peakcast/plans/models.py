@@ -143,7 +143,7 @@ def a14_other_metrics(spark, sf):
     n_events = pred.groupBy("Gender").agg(F.countDistinct("event").alias("n_events"))
     row = (FC.wide_metrics(per_event, FC.overall_mae(pred), n_events, events)
            .join(FC.other_metrics(per_event, events), "Gender", "left"))
-    columns = F.array(*(F.struct(F.lit(e).alias("event"), F.col(f"`ValMAE_{e}`").alias("val_mae"), F.lit(True).alias("has_column")) for e in events))
+    columns = F.array(*(F.struct(F.lit(e).alias("event"), F.col(f"`ValMAE_{e}`").alias("val_mae"), F.lit(True).alias("has_column")) for e in events)).cast("array<struct<event: string, val_mae: double, has_column: boolean>>")
     rest = F.transform(F.map_entries(F.coalesce("other_val_mae", F.create_map().cast("map<string,double>"))),
                        lambda x: F.struct(x["key"].alias("event"), x["value"].alias("val_mae"), F.lit(False).alias("has_column")))
     return (row.select("Gender", F.inline(F.concat(columns, rest))).filter(F.col("val_mae").isNotNull())
