@@ -26,6 +26,8 @@ FOLDS, HELD_OUT = 3, 1
 #: Length of profiles and of documents' lists.
 TOP = 300
 UNKNOWN = "und"
+#: Bytes of text whose n-grams a worker holds at a time while learning (12 bytes for each).
+LEARN_BYTES = 1 << 18
 #: Bins in which the median of scores is looked for.
 BINS = 4096
 #: The pipeline rejects documents scored more than this many deviations under the training documents' mean at their
@@ -185,13 +187,16 @@ def training_ids(docs: DataFrame, max_train: int) -> DataFrame:
 
 
 def training_texts(docs: DataFrame, max_train: int | None = None) -> DataFrame:
-    """lang, text of the training documents: every row outside the held-out fold that has a language, or with ``max_train``
-    a row for each of that many documents of a language, however often an id stands there. More than MAX_GROUPS languages
-    are an error."""
+    """lang, text of the training documents, a row each however often an id stands there: all documents outside the held-out
+    fold that have a language, or with ``max_train`` that many of each language. More than MAX_GROUPS languages are an error."""
     if max_train is None:
         rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
-        rows = rows.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT))
-        return bounded_groups(rows, "lang").select("lang", "text")
+        rows = bounded_groups(rows.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT)), "lang")
+        # Only the texts of ids that stand there several times are grouped; few as these are, the others are not shuffled.
+        keys = ["lang", "doc_id"]
+        repeated = stored(rows.groupBy(*keys).count().filter("count > 1").select(*keys), "repeated-ids")
+        return (rows.join(repeated, keys, "left_anti").select("lang", "text")
+                .unionByName(one_text(rows.join(repeated, keys, "left_semi"), keys).select("lang", "text")))
     ids = bounded_groups(stored(training_ids(docs, max_train), "training-ids"), "lang")
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                        F.col("text").cast("string").alias("text"))
@@ -204,7 +209,7 @@ def learn(texts: DataFrame, top: int = TOP) -> Profiles:
     def work(batches):
         for b in batches:
             langs = np.asarray(b.column(0).to_pylist(), object)
-            for lo, hi, t in chunks(b.column(1)):
+            for lo, hi, t in chunks(b.column(1), LEARN_BYTES):
                 found = list(ranked(t, None))
                 for lang in sorted(set(langs[lo:hi])):
                     mine = [x for x, who in zip(found, langs[lo:hi]) if who == lang]

@@ -56,3 +56,10 @@ def test_every_training_row_teaches(spark):
     profile = language.learn(texts)
     first = profile.codes[np.argmin(profile.ranks[0])]
     assert first in {ord("w"), ord("o"), ord("r"), ord("d")}
+
+
+def test_a_repeated_row_teaches_once(spark):
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    odd = spark.createDataFrame([(0, None, "en"), (None, "x", "en"), (2, "x", None)], "doc_id long, text string, lang string")
+    texts = lambda d: sorted(r.text for r in language.training_texts(d).collect())
+    assert texts(docs.unionByName(docs).unionByName(docs.filter("doc_id % 2 = 0")).unionByName(odd)) == texts(docs)
