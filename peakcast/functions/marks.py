@@ -71,7 +71,7 @@ def parse_distance_to_meters(s: Column, *, stripped: bool = False) -> Column:
     return (
         F.when(st.isNull() | (st == ""), F.lit(None).cast("double"))
         .when(st.contains("-") & st.rlike(FEET_INCHES_RE), feet_inches)
-        .otherwise(F.regexp_extract(st, METRES_RE, 1).try_cast("double"))  # '' where it has no such shape
+        .otherwise(F.nullif(F.regexp_extract(st, METRES_RE, 1), F.lit("")).cast("double"))  # '' where it has no such shape
     )
 
 

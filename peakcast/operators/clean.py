@@ -14,6 +14,7 @@ from ..functions.marks import (FLOAT_RE, orient_mark, parse_distance_to_meters,
                                parse_time_to_seconds)
 from ..functions import (canonical_event, event_key, event_to_family, family_key,
                          mark_to_numeric, parse_date, pystrip, season_key, athlete_key)
+from ..functions.text import pystrip_edges
 
 # Fixed value: the eleven raw columns kept by the cleaning step.
 KEEP_COLS = ["Division", "School", "Gender", "SeasonLabel", "SeasonYear", "Event",
@@ -59,10 +60,12 @@ def prepare_marks(raw: DataFrame, ordinal_cols: list[str], *, variant: str = "fa
     ``blank_as_null`` turns empty strings into nulls before the null filter.
     """
     beta = variant == "event"
+    run = RUN_EVENTS_BETA if beta else RUN_EVENTS
     str_cols = [c for c in KEEP_COLS if c != "SeasonYear"]
-    df = raw.select(*ordinal_cols, ordinal(ordinal_cols, ordinal_digits).alias(ORD),
-                    F.col("SeasonYear").cast("int").alias("SeasonYear"),
-                    *[pystrip(F.col(c).cast("string")).alias(c) for c in str_cols])
+    df = raw.select(*ordinal_cols, F.col("SeasonYear").cast("int").alias("SeasonYear"),
+                    *[F.col(c).cast("string").alias(c) for c in str_cols])
+    df = df.select(*ordinal_cols, ordinal(ordinal_cols, ordinal_digits).alias(ORD), "SeasonYear",
+                   *[pystrip_edges(F.col(c)).alias(c) for c in str_cols])
     if blank_as_null:
         df = df.select(*ordinal_cols, ORD, "SeasonYear",
                        *[F.nullif(F.col(c), F.lit("")).alias(c) for c in str_cols])
@@ -70,30 +73,30 @@ def prepare_marks(raw: DataFrame, ordinal_cols: list[str], *, variant: str = "fa
     df = df.withColumn("Event", canonical_event(F.col("Event"), beta=beta, stripped=True))
     # Parsed intermediates get their own projection: each is referenced several times below,
     # so Catalyst keeps it apart and every parser runs once per row.
-    run = RUN_EVENTS_BETA if beta else RUN_EVENTS
-    df = df.select("*", F.col("Event").isin(*run).alias("_run"), F.col("Event").isin(*FIELD_EVENTS).alias("_field"))
+    is_run, is_field = F.col("Event").isin(*run), F.col("Event").isin(*FIELD_EVENTS)
     # A run event's mark is no distance and a field event's no time, so only other events' marks are read as both.
     df = df.select("*", parse_date(F.col("MeetDate"), stripped=True).alias("date"),
-                   F.when(~F.col("_field"), parse_time_to_seconds(F.col("MarkOrTime"), stripped=True)).alias("_t"),
-                   F.when(~F.col("_run"), parse_distance_to_meters(F.col("MarkOrTime"), stripped=True)).alias("_d"))
-    value, is_time = orient_mark(F.col("_t"), F.col("_d"), F.col("MarkOrTime"), F.col("_run"), F.col("_field"))
+                   F.when(~is_field, parse_time_to_seconds(F.col("MarkOrTime"), stripped=True)).alias("_t"),
+                   F.when(~is_run, parse_distance_to_meters(F.col("MarkOrTime"), stripped=True)).alias("_d"))
+    value, is_time = orient_mark(F.col("_t"), F.col("_d"), F.col("MarkOrTime"), is_run, is_field)
     keep = value.isNotNull() & ~F.isnan(value)
     for c in ("date", "Event", "Athlete", "SeasonLabel", "SeasonYear"):
         keep = keep & F.col(c).isNotNull()
     # Row drops are a 0-or-1 element generator rather than a Filter: a Filter would be pushed
     # below this projection with the parsers inlined into it (parsed twice, oversized codegen).
-    one = F.array(F.struct(value.alias("value"), is_time.alias("is_time")))
-    row_cols = [c for c in df.columns if c not in ("_t", "_d", "_run", "_field")]
-    df = df.select(*row_cols, F.inline(F.when(keep, one)))
+    # Its parts are columns of their own: Spark compiles a projection, but interprets a generator's own input. (That input
+    # must not be a single column, or Spark would infer such a filter from it.)
+    row_cols = [c for c in df.columns if c not in ("_t", "_d")]
+    df = df.select(*row_cols, keep.alias("_keep"), value.alias("_v"), is_time.alias("_i"))
+    one = F.array(F.struct(F.col("_v").alias("value"), F.col("_i").alias("is_time")))
+    df = df.select(*row_cols, F.inline(F.when(F.col("_keep"), one)))
+    season = season_key(F.col("SeasonYear"), F.col("SeasonLabel")).alias("season_key")
     if beta:
-        df = df.withColumn("key", event_key(F.col("Athlete"), F.col("Event"), F.col("Gender")))
-    else:
-        df = (df.withColumn("family", event_to_family(F.col("Event"), F.col("Gender"), canonical=True,
-                                                      stripped=True))
-                .withColumn("ath_key", athlete_key(F.col("Athlete"), F.col("Gender"), stripped=True))
-                .withColumn("fam_key", family_key(F.col("Athlete"), F.col("Gender"), F.col("family"),
-                                                  stripped=True)))
-    return df.withColumn("season_key", season_key(F.col("SeasonYear"), F.col("SeasonLabel")))
+        return df.select("*", event_key(F.col("Athlete"), F.col("Event"), F.col("Gender")).alias("key"), season)
+    # One projection, in which Spark evaluates the family that two columns hold once.
+    family = event_to_family(F.col("Event"), F.col("Gender"), canonical=True, stripped=True)
+    return df.select("*", family.alias("family"), athlete_key(F.col("Athlete"), F.col("Gender"), stripped=True).alias("ath_key"),
+                     family_key(F.col("Athlete"), F.col("Gender"), family, stripped=True).alias("fam_key"), season)
 
 
 def typed_layout(rows: DataFrame) -> DataFrame:
