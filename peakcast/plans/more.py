@@ -78,7 +78,10 @@ FROM samples s LEFT JOIN wsteps w USING (fam_key, season_key) GROUP BY s.fam_key
 def v7_flat_vectors(spark, sf):
     """The dense K * L * 3 vector: its size, and its sum weighted by position (which fixes padding and order)."""
     x = flat_features(core.samples(spark, sf))
-    weighted = F.aggregate(F.transform("x", lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, b: a + b)
+    # a mark's three terms are added first, as in the twin: sums of doubles depend on their order
+    term = lambda v, i: F.get("x", i * 3 + v) * (i * 3 + v + 1)
+    per_mark = F.transform(F.sequence(F.lit(0), F.lit(core.K_SEASONS * core.SEQLEN - 1)), lambda i: term(0, i) + term(1, i) + term(2, i))
+    weighted = F.aggregate(per_mark, F.lit(0.0), lambda a, b: a + b)
     return x.select("fam_key", "season_key", F.size("x").alias("size"), F.round(weighted, 2).alias("weighted"))
 
 
