@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.events import FIELD_EVENTS, RUN_EVENTS, RUN_EVENTS_BETA
 from ..functions.marks import (FLOAT_RE, orient_mark, parse_distance_to_meters,
                                parse_time_to_seconds)
+from ..functions.text import pystrip_edges
 from ..functions import (canonical_event, event_key, event_to_family, family_key,
                          mark_to_numeric, parse_date, pystrip, season_key, athlete_key)
 
@@ -19,6 +20,9 @@ from ..functions import (canonical_event, event_key, event_to_family, family_key
 KEEP_COLS = ["Division", "School", "Gender", "SeasonLabel", "SeasonYear", "Event",
              "Athlete", "MarkOrTime", "Wind", "Meet", "MeetDate"]
 
+# Texts that the keys of marks are made of.
+KEY_TEXTS = ("Event", "Athlete", "Gender", "SeasonLabel")
+
 # Name of the struct column holding the source position used to break ties.
 ORD = "_ord"
 
@@ -61,11 +65,13 @@ def prepare_marks(raw: DataFrame, ordinal_cols: list[str], *, variant: str = "fa
     beta = variant == "event"
     run = RUN_EVENTS_BETA if beta else RUN_EVENTS
     str_cols = [c for c in KEEP_COLS if c != "SeasonYear"]
-    df = raw.select(*ordinal_cols, ordinal(ordinal_cols, ordinal_digits).alias(ORD),
-                    F.col("SeasonYear").cast("int").alias("SeasonYear"),
-                    *[pystrip(F.col(c).cast("string")).alias(c) for c in str_cols])
+    # The strip reads a text several times, so texts are columns before it. The source position is packed last: its parts
+    # are longs, which pass from step to step at less cost than a decimal.
+    df = raw.select(*ordinal_cols, F.col("SeasonYear").cast("int").alias("SeasonYear"),
+                    *[F.col(c).cast("string").alias(c) for c in str_cols])
+    df = df.select(*ordinal_cols, "SeasonYear", *[pystrip_edges(F.col(c)).alias(c) for c in str_cols])
     if blank_as_null:
-        df = df.select(*ordinal_cols, ORD, "SeasonYear",
+        df = df.select(*ordinal_cols, "SeasonYear",
                        *[F.nullif(F.col(c), F.lit("")).alias(c) for c in str_cols])
     # every string column is stripped above, so the helpers skip their own strip
     df = df.withColumn("Event", canonical_event(F.col("Event"), beta=beta, stripped=True))
@@ -73,21 +79,24 @@ def prepare_marks(raw: DataFrame, ordinal_cols: list[str], *, variant: str = "fa
     # so Catalyst keeps it apart and every parser runs once per row.
     is_run, is_field = F.col("Event").isin(*run), F.col("Event").isin(*FIELD_EVENTS)
     # A run event's mark is no distance and a field event's no time, so only other events' marks are read as both.
-    df = df.select("*", parse_date(F.col("MeetDate"), stripped=True).alias("date"),
+    df = df.select("*", parse_date(F.col("MeetDate"), stripped=True).alias("date"), is_run.alias("_run"), is_field.alias("_field"),
                    F.when(~is_field, parse_time_to_seconds(F.col("MarkOrTime"), stripped=True)).alias("_t"),
                    F.when(~is_run, parse_distance_to_meters(F.col("MarkOrTime"), stripped=True)).alias("_d"))
-    value, is_time = orient_mark(F.col("_t"), F.col("_d"), F.col("MarkOrTime"), is_run, is_field)
+    value, is_time = orient_mark(F.col("_t"), F.col("_d"), F.col("MarkOrTime"), F.col("_run"), F.col("_field"))
     keep = value.isNotNull() & ~F.isnan(value)
     for c in ("date", "Event", "Athlete", "SeasonLabel", "SeasonYear"):
         keep = keep & F.col(c).isNotNull()
     # Row drops are a 0-or-1 element generator rather than a Filter: a Filter would be pushed
     # below this projection with the parsers inlined into it (parsed twice, oversized codegen).
     # Its parts are columns of their own: Spark compiles a projection, but interprets a generator's own input. (That input
-    # must not be a single column, or Spark would infer such a filter from it.)
-    row_cols = [c for c in df.columns if c not in ("_t", "_d")]
+    # must not be a single column, or Spark would infer such a filter from it.) The texts that keys are made of pass through
+    # it, so a filter on a key (joins infer them) stays above it, where it does not grow by the steps of the cleaning.
+    row_cols = [c for c in df.columns if c not in ("_t", "_d", "_run", "_field")]
     df = df.select(*row_cols, keep.alias("_keep"), value.alias("_v"), is_time.alias("_i"))
-    one = F.array(F.struct(F.col("_v").alias("value"), F.col("_i").alias("is_time")))
-    df = df.select(*row_cols, F.inline(F.when(F.col("_keep"), one)))
+    one = F.array(F.struct(F.col("_v").alias("value"), F.col("_i").alias("is_time"), *KEY_TEXTS))
+    df = df.select(*[c for c in row_cols if c not in KEY_TEXTS], F.inline(F.when(F.col("_keep"), one)))
+    rest = [c for c in row_cols if c not in ordinal_cols]
+    df = df.select(*ordinal_cols, ordinal(ordinal_cols, ordinal_digits).alias(ORD), *rest, "value", "is_time")
     season = season_key(F.col("SeasonYear"), F.col("SeasonLabel")).alias("season_key")
     if beta:
         return df.select("*", event_key(F.col("Athlete"), F.col("Event"), F.col("Gender")).alias("key"), season)
