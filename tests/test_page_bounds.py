@@ -51,3 +51,45 @@ def test_row_body_is_what_balanced_reading_gives(spark, rest):
             break
     got = spark.createDataFrame([(rest,)], "x string").select(row_body(F.col("x")), element_body(F.col("x"))).head()
     assert tuple(got) == (rest[:at], rest[:at])
+
+
+def test_pages_are_joined_without_looking_for_null_urls_in_every_row(spark):
+    """Spark would infer a null test of the URL and push it, slugs and all, below the grouping of the rows."""
+    from peakcast.plans.registry import RAW_SCHEMA_DDL
+    from peakcast.sources.rendered import result_pages
+    raw = spark.range(1).select(*[F.col("id").cast(c.split()[1]).alias(c.split()[0]) for c in RAW_SCHEMA_DDL.split(", ")])
+    pages, catalogue = result_pages(raw.filter(F.rand() >= 0))
+    plan = _plan(pages.join(catalogue, "url"))
+    assert "regexp_replace" in plan
+    assert not [line for line in plan.splitlines() if "Filter" in line and "regexp_replace" in line]
+
+
+FLAT = ['<div data-label="Time">7.11</div><div class="col-athlete"><a> Ann </a></div>', "<div\n  class='cell  col-athlete x' title=a>Ann</div><DIV data-label = Time >7.11</DIV >",
+        '<div class="col-athlete"><div class="icon"><div></div></div><a>&#65;nn</a></div><div data-label="T&#105;me"><div>7.11</div></div>',
+        '<div data-label=Time id="x">7.11</div> stray <b <div class="cell" data-label="Wind">1.0</div><div class="col-athlete">Ann&nbsp;</div>']
+OTHERWISE = ['<div class="col-athlete">Ann</div><div class="wrap"><div data-label="Time">7.11</div></div>', '<div DATA-LABEL="x" data-label="Time">0</div><div class="col-athlete">Ann</div>',
+             '<div class="col-athlete">Ann<div><div><div></div></div></div></div><div data-label="Time">7.11</div>', '<div class="col-athlete">Ann</div><div title="a<b" data-label="Time">7.11</div>',
+             '<div class="col-athlete">Ann</div><div data-label="Time">7.11</div><div class="a&amp;b"></div>', '<div class="col-athlete">Ann</div><div data-label="Time&nbsp;">7.11</div>',
+             '<div class="col-athlete">Ann</div><div data-label="Time">7.11</div><p>\u0001</p>']
+
+
+@pytest.mark.parametrize("cells, flat", [*((c, True) for c in FLAT), *((c, False) for c in OTHERWISE)])
+def test_usual_rows_are_cut_in_one_match_a_cell_and_read_alike(spark, cells, flat):
+    from peakcast.operators import pages as P
+    frag = cells + "</div>\n<div data-label='Time'>9.9</div><div class='col-athlete'>Nobody</div>"
+    one = spark.createDataFrame([(1, "u", f'<div class="col-lg-12"><h3>Mile</h3></div><div class="{P.ROW_CLASS}">{frag}', frag)], "page_id long, url string, html string, frag string")
+    rewritten = F.regexp_replace("frag", P.FLAT_ROW_RE, P.FLAT_ROW)
+    assert one.select(P._is_flat(F.col("frag"), rewritten)).head()[0] is flat
+    mark = "" if "DATA-LABEL" in cells else "7.11"  # the first attribute of that name counts, however it is written
+    assert [tuple(r) for r in page_rows(one).select("Event", "Athlete", "MarkOrTime").collect()] == [("Mile", "Ann", mark)]
+
+
+@pytest.mark.parametrize("ref, text", [("&colon;", ":"), ("&amp", "&"), ("&Aacute;", "Á"), ("&zwj;", "‍"), ("&nosuch;", "&nosuch;"), ("&NotEqualTilde;", "≂̸"), ("&z;", "&z;")])
+def test_named_references_are_found_by_their_first_letter(spark, ref, text):
+    from peakcast.functions.text import decode_entities
+    assert spark.createDataFrame([(f"a{ref} b",)], "x string").select(decode_entities(F.col("x"))).head()[0] == f"a{text} b"
+
+
+def test_a_reference_is_looked_up_in_a_short_text():
+    from peakcast.functions import text
+    assert max(map(len, text._NAMES)) < 5000  # all names together have some 35,000 characters
