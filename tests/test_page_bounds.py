@@ -55,13 +55,13 @@ def test_row_body_is_what_balanced_reading_gives(spark, rest):
 
 def test_pages_are_joined_without_looking_for_null_urls_in_every_row(spark):
     """Spark would infer a null test of the URL and push it, slugs and all, below the grouping of the rows."""
-    from peakcast.plans.registry import RAW_SCHEMA_DDL
+    from peakcast.sources.fixture import raw_marks_from_lineitem
     from peakcast.sources.rendered import result_pages
-    raw = spark.range(1).select(*[F.col("id").cast(c.split()[1]).alias(c.split()[0]) for c in RAW_SCHEMA_DDL.split(", ")])
-    pages, catalogue = result_pages(raw.filter(F.rand() >= 0))
+    lines = spark.range(1).selectExpr("nullif(id, -1) id").selectExpr("id l_orderkey", "int(id) l_linenumber", "id l_partkey", "id l_suppkey", "double(id) l_quantity",
+                                                                      "timestamp '1996-03-13' + make_interval(0, int(id)) l_shipdate")
+    pages, catalogue = result_pages(raw_marks_from_lineitem(lines))
     plan = _plan(pages.join(catalogue, "url"))
-    assert "regexp_replace" in plan
-    assert not [line for line in plan.splitlines() if "Filter" in line and "regexp_replace" in line]
+    assert "regexp_replace" in plan and not [line for line in plan.splitlines() if ("Filter" in line or "Join" in line) and "regexp_replace" in line]
 
 
 FLAT = ['<div data-label="Time">7.11</div><div class="col-athlete"><a> Ann </a></div>', "<div\n  class='cell  col-athlete x' title=a>Ann</div><DIV data-label = Time >7.11</DIV >",
@@ -92,4 +92,5 @@ def test_named_references_are_found_by_their_first_letter(spark, ref, text):
 
 def test_a_reference_is_looked_up_in_a_short_text():
     from peakcast.functions import text
-    assert max(map(len, text._NAMES)) < 5000  # all names together have some 35,000 characters
+    names = [text._NAMES] if isinstance(text._NAMES, str) else text._NAMES
+    assert max(map(len, names)) < 5000  # all names together have some 35,000 characters
