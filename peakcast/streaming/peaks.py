@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import ORD, prepare_marks
-from ..session import _fs
+from ..session import _fs, list_dirs
 from ..sources import versions
 
 KEYS = ["fam_key", "season_key"]
@@ -85,32 +85,43 @@ def merge_batch(root: str, buckets: int = BUCKETS, source: str = "stream", rows_
         while total > n * rows_per_bucket:
             n *= 2
         of = lambda df, k: df.withColumn("bucket", F.pmod(F.xxhash64("fam_key"), F.lit(k)).cast("int"))
-        new = of(batch, n).persist()
-        try:
-            touched = {str(r["bucket"]): r["count"] for r in new.groupBy("bucket").count().collect()}  # n of them at most
-
-            def grows(b: str) -> bool:
-                """Whether the batch's rows become one more folder of the bucket."""
-                later = t["rows"].get(b, 0) - t.get("first", t["rows"]).get(b, 0) + touched[b]
-                return (n == t["buckets"] and small_bucket <= t["rows"].get(b, 0) and later < t.get("first", t["rows"]).get(b, 0)
-                        and len(_folders(t, b)) < MAX_FOLDERS)
-
-            added = {b for b in touched if grows(b)}
-            # With more buckets than before, all of them are written anew.
-            anew = sorted(set(touched) - added if n == t["buckets"] else t["paths"], key=int)
-            paths = [_folders(t, b) for b in anew if _folders(t, b)]
-            merged = new
-            if paths:
-                old = of(_newest_rows(spark, paths, batch.schema), n)
-                merged = old.join(new.select(*KEYS), KEYS, "left_anti").unionByName(new)
+
+        def write(df: DataFrame) -> tuple[str, dict[str, int]]:
+            """A folder with the rows by bucket, and how many of them each bucket has."""
             out = f"{root}/data/{batch_id}-{uuid.uuid4().hex}"
-            merged.repartition("bucket").write.partitionBy("bucket").parquet(out)
-        finally:
-            new.unpersist()
-        rows = {str(r["bucket"]): r["count"] for r in spark.read.parquet(out).groupBy("bucket").count().collect()} if touched or paths else {}
+            of(df, n).repartition("bucket").write.partitionBy("bucket").parquet(out)
+            if not any(d.startswith("bucket=") for d in list_dirs(spark, out)):
+                return out, {}
+            return out, {str(r["bucket"]): r["count"] for r in spark.read.schema("bucket int").parquet(out).groupBy("bucket").count().collect()}  # n at most
+
+        # The batch's rows are written at once and read from there: each use of the batch itself would run the aggregation,
+        # its state stores included, again (Spark doesn't find a persisted batch in a plan that names it twice).
+        out, touched = write(batch)
+
+        def grows(b: str) -> bool:
+            """Whether the batch's rows become one more folder of the bucket."""
+            later = t["rows"].get(b, 0) - t.get("first", t["rows"]).get(b, 0) + touched[b]
+            return (n == t["buckets"] and small_bucket <= t["rows"].get(b, 0) and later < t.get("first", t["rows"]).get(b, 0)
+                    and len(_folders(t, b)) < MAX_FOLDERS)
+
+        added = {b for b in touched if grows(b)}
+        # With more buckets than before, all of them are written anew.
+        anew = sorted((b for b in (set(touched) - added if n == t["buckets"] else t["paths"]) if _folders(t, b)), key=int)
+        rows, paths = dict(touched), {b: f"{out}/bucket={b}" for b in touched}
+        if anew:
+            all_rows = _newest_rows(spark, [_folders(t, b) for b in anew], batch.schema)
+            fresh = [paths[b] for b in touched if b in anew or n != t["buckets"]]
+            if fresh:
+                new = spark.read.schema(batch.schema).parquet(*fresh)
+                all_rows = all_rows.join(new.select(*KEYS), KEYS, "left_anti").unionByName(new)
+            merged, counts = write(all_rows)
+            rows, paths = rows | counts, paths | {b: f"{merged}/bucket={b}" for b in counts}
+            for folder in fresh:  # now part of the buckets written anew, and named by no list
+                fs, p = _fs(spark, folder)
+                fs.delete(p, True)
         keep = {} if n != t["buckets"] else t["paths"]
         before, first = ({b: c for b, c in x.items() if b in keep} for x in (t["rows"], t.get("first", t["rows"])))
-        table = {"buckets": n, "paths": keep | {b: [*(_folders(t, b) if b in added else []), f"{out}/bucket={b}"] for b in rows},
+        table = {"buckets": n, "paths": keep | {b: [*(_folders(t, b) if b in added else []), paths[b]] for b in rows},
                  "rows": before | {b: c + (before[b] if b in added else 0) for b, c in rows.items()},
                  "first": first | {b: c for b, c in rows.items() if b not in added}, "applied": t["applied"] | {source: batch_id}}
         if before_publish is not None:
@@ -146,11 +157,25 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> int:
     return deleted
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """State stores that a new peak stream deals its seasons out to: two for each core. Each batch writes files of its own for
+    every store, however few seasons it changes, so Spark's usual number costs a small cluster more than the marks do."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(BUCKETS, 2 * spark.sparkContext.defaultParallelism))
+
+
 def stream_peaks(spark: SparkSession, raw_dir: str, raw_schema: str, ordinal_cols: list[str], out_root: str,
                  checkpoint: str, files_per_trigger: int = 1):
-    """Start the incremental peak query over raw mark files; returns the StreamingQuery (availableNow)."""
+    """Start the incremental peak query over raw mark files; returns the StreamingQuery (availableNow). A checkpoint keeps
+    the number of state stores that it began with."""
     src = (spark.readStream.format("parquet").schema(raw_schema)
            .option("maxFilesPerTrigger", files_per_trigger).load(raw_dir))
     state = streaming_peak_state(prepare_marks(src, ordinal_cols))
-    return (state.writeStream.outputMode("update").foreachBatch(merge_batch(out_root))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    writer = (state.writeStream.outputMode("update").foreachBatch(merge_batch(out_root))
+              .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    setting = "spark.sql.shuffle.partitions"  # the query takes a copy of the session's settings as it starts
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(state_partitions(spark)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(setting, before)
